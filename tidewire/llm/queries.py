@@ -5,10 +5,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewire.llm import decision_list
+from tidewire.llm import decision_list, mixture, secrets
 from tidewire.llm.common import table
 
 
+def op2_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = secrets.scan_secrets(table(spark, sf_dir, "documents"))
+    count = lambda kind: F.size(F.filter("base", lambda x: x["kind"] == kind)).cast("long")
+    return out.select(
+        "doc_id", count("assign").alias("n_assign"), count("access").alias("n_access"), count("hex").alias("n_hex"),
+        F.sha2(secrets.joined(F.col("base")), 256).alias("base_sha256"), secrets.joined(F.col("spans")).alias("spans"), "n_live", "n_example",
+    )
+
+
+def op8_source_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = mixture.mix_sources(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "size", "source_size", F.round("target", 6).alias("target"), "taken", "shards")
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     rules = decision_list.fit_quality_rules(docs, table(spark, sf_dir, "labels"))
@@ -17,6 +31,8 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_secret_scans": op2_secret_scans,
+    "op8_source_mixture": op8_source_mixture,
     "op9_quality_rules": op9_quality_rules,
 }
 
