@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewire.llm import decision_list, mixture, secrets
+from tidewire.llm import decision_list, mixture, secrets, simhash_anchors
 from tidewire.llm.common import table
 
 
@@ -18,6 +18,10 @@ def op2_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_simhash_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_anchors.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op8_source_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = mixture.mix_sources(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "size", "source_size", F.round("target", 6).alias("target"), "taken", "shards")
@@ -32,6 +36,7 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_secret_scans": op2_secret_scans,
+    "op7_simhash_anchors": op7_simhash_anchors,
     "op8_source_mixture": op8_source_mixture,
     "op9_quality_rules": op9_quality_rules,
 }
