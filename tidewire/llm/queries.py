@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewire.llm import decision_list, mixture, secrets, simhash_anchors
+from tidewire.llm import bpe_automaton, decision_list, mixture, secrets, simhash_anchors
 from tidewire.llm.common import table
 
 
@@ -34,11 +34,23 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def vocabulary_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op10_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = bpe_automaton.encode_decode(table(spark, sf_dir, "documents"), vocabulary_path())
+    return out.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 QUERIES = {
     "op2_secret_scans": op2_secret_scans,
     "op7_simhash_anchors": op7_simhash_anchors,
     "op8_source_mixture": op8_source_mixture,
     "op9_quality_rules": op9_quality_rules,
+    "op10_bpe_automaton": op10_bpe_automaton,
 }
 
 ORACLE_SQL: dict[str, str] = {}
