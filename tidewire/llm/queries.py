@@ -5,10 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewire.llm import bpe_automaton, decision_list, mixture, secrets, simhash_anchors
+from tidewire.llm import bpe_automaton, decision_list, mixture, quality_nbsvm, secrets, simhash_anchors, toxicity_ftrl
 from tidewire.llm.common import table
 
 
+def op1_quality_nbsvm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_nbsvm.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op3_toxicity_ftrl(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity_ftrl.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op2_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = secrets.scan_secrets(table(spark, sf_dir, "documents"))
     count = lambda kind: F.size(F.filter("base", lambda x: x["kind"] == kind)).cast("long")
@@ -46,7 +54,9 @@ def op10_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_quality_nbsvm": op1_quality_nbsvm,
     "op2_secret_scans": op2_secret_scans,
+    "op3_toxicity_ftrl": op3_toxicity_ftrl,
     "op7_simhash_anchors": op7_simhash_anchors,
     "op8_source_mixture": op8_source_mixture,
     "op9_quality_rules": op9_quality_rules,
