@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewire.llm import bpe_automaton, decision_list, mixture, quality_nbsvm, secrets, simhash_anchors, toxicity_ftrl
+from tidewire.llm import ann_partitions, bpe_automaton, decision_list, mixture, quality_nbsvm, secrets, sentence_spans, simhash_anchors, toxicity_ftrl
 from tidewire.llm.common import table
 
 
@@ -26,6 +26,14 @@ def op2_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_ann_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann_partitions.nearest_neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+def op6_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentence_spans.remove_repeated_spans(table(spark, sf_dir, "documents"))
+
+
 def op7_simhash_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_anchors.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -57,6 +65,8 @@ QUERIES = {
     "op1_quality_nbsvm": op1_quality_nbsvm,
     "op2_secret_scans": op2_secret_scans,
     "op3_toxicity_ftrl": op3_toxicity_ftrl,
+    "op5_ann_partitions": op5_ann_partitions,
+    "op6_sentence_spans": op6_sentence_spans,
     "op7_simhash_anchors": op7_simhash_anchors,
     "op8_source_mixture": op8_source_mixture,
     "op9_quality_rules": op9_quality_rules,
