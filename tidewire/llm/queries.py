@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewire.llm import ann_partitions, bpe_automaton, decision_list, mixture, quality_nbsvm, secrets, sentence_spans, simhash_anchors, toxicity_ftrl
+from tidewire.llm import ann_partitions, bpe_automaton, decision_list, mixture, quality_nbsvm, secrets, sentence_spans, simhash_anchors, toxicity_ftrl, wrapper_induction
 from tidewire.llm.common import table
 
 
@@ -26,6 +26,11 @@ def op2_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_wrapper_induction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = wrapper_induction.extract_main_text(table(spark, sf_dir, "pages"))
+    return out.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op5_ann_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann_partitions.nearest_neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
@@ -65,6 +70,7 @@ QUERIES = {
     "op1_quality_nbsvm": op1_quality_nbsvm,
     "op2_secret_scans": op2_secret_scans,
     "op3_toxicity_ftrl": op3_toxicity_ftrl,
+    "op4_wrapper_induction": op4_wrapper_induction,
     "op5_ann_partitions": op5_ann_partitions,
     "op6_sentence_spans": op6_sentence_spans,
     "op7_simhash_anchors": op7_simhash_anchors,
