@@ -1,29 +1,68 @@
-"""A training corpus from ``documents``: filter, deduplicate, redact, mix, tokenize."""
+"""A training corpus from ``documents``: filter, deduplicate, redact, mix, tokenize.
+
+Each stage takes (spark, docs, sf_dir); all but the last return the columns of ``documents``.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tidewire.llm import bpe_automaton, decision_list, mixture, secrets, simhash_anchors
 from tidewire.llm.common import scratch, table
-from tidewire.llm import decision_list
+from tidewire.llm.queries import vocabulary_path
 
-COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the rules reject go."""
     rules = decision_list.fit_quality_rules(docs, table(spark, sf_dir, "labels"))
-    return decision_list.apply_quality_rules(docs, rules, keep=tuple(COLUMNS)).where("kept").select(*COLUMNS)
+    return decision_list.apply_quality_rules(docs, rules, keep=COLUMNS).where("kept").select(*COLUMNS)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies stays, that of the smallest doc_id; rows repeating its id go too."""
+    kept = simhash_anchors.near_duplicates(docs).where("kept").select(F.col("doc_id").alias("kid")).distinct()
+    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["kid"]), "left_semi").dropDuplicates(["doc_id"]).select(*COLUMNS)
+
+
+def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secrets are masked, and n_chars follows the text."""
+    spans = secrets.scan_secrets(docs, keep=COLUMNS)
+    text = F.when(F.size("spans") > 0, secrets.redact(F.col("text"), F.col("spans"))).otherwise(F.col("text"))
+    return spans.select("doc_id", text.alias("text"), "lang", "source", F.when(F.size("spans") > 0, F.length(text).cast("long")).otherwise(F.col("n_chars")).alias("n_chars"))
+
+
+def source_mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """A document stands as often as the mix takes it, in random order within its output shard."""
+    plan = mixture.mix_sources(docs).where(F.size("shards") > 0).select(F.col("doc_id").alias("pid"), "shards", "place")
+    rows = docs.join(plan, docs["doc_id"].eqNullSafe(plan["pid"]))
+    repeats = rows.select(*COLUMNS, F.posexplode("shards").alias("pass", "shard"), "place")
+    return repeats.repartition("shard", F.pmod("place", F.lit(64))).sortWithinPartitions("shard", F.xxhash64("place", "pass")).select(*COLUMNS)
+
+
+def bpe_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token counts and digests of ids and decoded text, one row per document of the mix."""
+    out = bpe_automaton.encode_decode(docs, vocabulary_path(), keep=("doc_id", "source"))
+    return out.select("doc_id", "source", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
-STAGES = [("quality rules", quality_rules)]
-#: SQL can't express learned rules, fingerprints or tokens; tests hold the rows against a plain version.
+STAGES = [
+    ("quality rules", quality_rules),
+    ("SimHash near-dedup", near_dedup),
+    ("secret scans", secret_scans),
+    ("mixing sources to target weights", source_mixture),
+    ("BPE encoding and decoding", bpe_tokens),
+]
+#: SQL can't express learned rules, XXH64 fingerprints or tokens; tests/llm holds the rows against a plain version.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Apply the stages to ``documents``, each one's rows written as Parquet and read by the next."""
     docs = table(spark, sf_dir, "documents")
-    for k, (name, stage) in enumerate(STAGES):
+    for k, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if k < len(STAGES) - 1:
             docs = scratch(docs, f"stage-{k}")
