@@ -52,13 +52,13 @@ def balanced_parts(x: np.ndarray, near: np.ndarray, parts: int, rounds: int = 8,
     for i, row in enumerate(near):
         for j in row:
             links[j].append(i)
-    room, load = slack * len(x) / parts + 1, np.bincount(part, minlength=parts)
+    room, least, load = slack * len(x) / parts + 1, len(x) / parts / slack - 1, np.bincount(part, minlength=parts)
     for _ in range(rounds):
         moved = 0
         for i in rng.permutation(len(x)):
             votes = np.bincount(part[links[i]], minlength=parts)
-            best = int(np.argmax(np.where(load < room, votes, -1)))
-            if votes[best] > votes[part[i]]:
+            best = int(np.argmax(np.where(load + 1 <= room, votes, -1)))
+            if votes[best] > votes[part[i]] and load[part[i]] > least:
                 load[part[i]] -= 1
                 load[best] += 1
                 part[i] = best
