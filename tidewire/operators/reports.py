@@ -20,3 +20,18 @@ def monthly_counts(df: DataFrame, date_col: str, include: Column) -> DataFrame:
     full = months.join(by_month, ["year", "month"], "left").na.fill(0, ["n", "n_include"])
     w = Window.orderBy("year", "month").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return full.select("year", "month", "n", "n_include", F.sum("n").over(w).alias("n_running"), F.sum("n_include").over(w).alias("n_include_running"))
+
+
+def language_histogram(df: DataFrame, by: str = "language") -> DataFrame:
+    """Rows by language; ``n_reference`` is one less, as older reports counted."""
+    return df.groupBy(by).agg(F.count("*").alias("n"), (F.count("*") - 1).alias("n_reference"))
+
+
+def month_range(spark, start: str, end: str) -> DataFrame:
+    """Month ends from ``start`` on, the last one not after ``end``."""
+    days = spark.range(1).select(F.explode(F.sequence(F.trunc(F.to_date(F.lit(start)), "month"), F.to_date(F.lit(end)), F.expr("interval 1 month"))).alias("m"))
+    return days.select(F.last_day("m").alias("month_end")).where(F.col("month_end") <= F.to_date(F.lit(end)))
+
+
+def eligible_by_month(df: DataFrame, predicate: Column) -> DataFrame:
+    return df.groupBy("year", "month").agg(F.count("*").alias("processed"), F.count_if(predicate).alias("eligible"))
