@@ -7,6 +7,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 #: Marks that end a dateline, with the number of leading characters in which they count. Fixed values.
 DATELINE_MARKS = ((" — ", 30), ("--", 30), (" - ", 30), ("(CNN)", 30), (": ", 20), ("\n", 20))
@@ -96,12 +97,12 @@ def strip_blocks(text: Column) -> Column:
     return out
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def nfc(text: pd.Series) -> pd.Series:
     return text.map(lambda s: None if s is None else unicodedata.normalize("NFC", s))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def strip_accents(text: pd.Series) -> pd.Series:
     """Compatibility decomposition without combining marks."""
     return text.map(lambda s: None if s is None else "".join(c for c in unicodedata.normalize("NFKD", s) if not unicodedata.combining(c)))

@@ -8,6 +8,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType
 
 from tidewire.functions import nested
 
@@ -24,7 +25,7 @@ def field_of(model: str) -> str:
 def score(df: DataFrame, text: Column, load: Callable[[], Callable[[list[str]], np.ndarray]], out: str = "logits") -> DataFrame:
     """Outputs of an injected model for every text. ``load`` runs once a worker and gives a function from texts to rows of outputs."""
 
-    @F.pandas_udf("array<double>")
+    @F.pandas_udf(ArrayType(DoubleType()))
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         model = load()
         for texts in batches:

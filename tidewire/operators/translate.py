@@ -9,6 +9,7 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from tidewire.functions.text import clean_text
 from tidewire.operators.filters import filled, long_enough, untranslated
@@ -53,7 +54,7 @@ def translate_batch(texts: list[str], service: Batch, fallback: Batch | None = N
 def translator(load: Callable[[], tuple[Batch, Batch | None]], batch: int = 30, **options):
     """A column function that translates cleaned texts; ``load`` runs once a worker."""
 
-    @F.pandas_udf("string")
+    @F.pandas_udf(StringType())
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         service, fallback = load()
         for texts in batches:
