@@ -17,8 +17,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-#: Bounds: rows the driver fits on, rows of a block and queries of a chunk that one task compares.
-SAMPLE_ROWS, BLOCK_ROWS, CHUNK_QUERIES = 4096, 4096, 512
+from tidewire.llm.common import hash_sample, scratch
+
+#: Bounds: rows the driver fits on (one in a hundred, within these), rows of a part as wished, and the
+#: rows of a block and queries of a chunk that one task compares.
+LEAST_SAMPLE, MOST_SAMPLE, PART_ROWS, BLOCK_ROWS, CHUNK_QUERIES = 4096, 16384, 2048, 4096, 512
 GRAPH_NEIGHBOURS = 10
 
 
@@ -124,26 +127,30 @@ def usable(vector: Column, dims: int) -> Column:
     return vector.isNotNull() & (F.size(vector) == dims) & finite & F.exists(vector, lambda x: x != 0)
 
 
-def nearest_neighbours(df: DataFrame, queries: Column, id_col: str = "vec_id", vector_col: str = "embedding", k: int = 20, parts: int = 24, recall: float = 0.97, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
+def nearest_neighbours(df: DataFrame, queries: Column, id_col: str = "vec_id", vector_col: str = "embedding", k: int = 20, parts: int | None = None, recall: float = 0.95, sample_rows: int | None = None) -> DataFrame:
     """query_id, rank, id and score of the ``k`` nearest rows found for each row that ``queries`` selects.
 
     Nearest first, ties to the smaller id; a query's own id is no candidate. Vectors that are null,
     zero, of another length than the first by hash, or hold null or non-finite components take no
     part, nor do null ids. Repeated rows (equal ids) are one row, with the vector that sorts first.
-    Every usable row is indexed. Parts of any size are compared in blocks of bounded size. An empty
+    Every usable row is indexed. Unless given, parts grow with the rows, up to one for 64 rows of
+    the sample. Parts of any size are compared in blocks of bounded size. An empty
     table gives an empty result.
     """
     spark = df.sparkSession
     vec = F.transform(F.col(vector_col).cast("array<double>"), lambda x: x)
     rows = df.where(F.col(id_col).isNotNull() & F.col(vector_col).isNotNull()).groupBy(F.col(id_col).cast("bigint").alias("id")).agg(F.min(vec).alias("v"), F.max(queries.cast("boolean")).alias("asks"))
-    sample = rows.where(F.size("v") > 0).orderBy(F.xxhash64("id"), "id").limit(sample_rows).collect()
+    rows = scratch(rows.where(F.size("v") > 0), "vectors")
+    total = rows.count()
+    sample_rows = sample_rows or min(MOST_SAMPLE, max(LEAST_SAMPLE, total // 100))
+    sample = hash_sample(rows, "id", sample_rows, total).collect()
     out_schema = "query_id bigint, rank int, vec_id bigint, score double"
     if not sample:
         return spark.createDataFrame([], out_schema)
     dims = len(sample[0]["v"])
     x = np.array([r["v"] for r in sample if len(r["v"]) == dims and all(c is not None and np.isfinite(c) for c in r["v"]) and any(r["v"])], float).reshape(-1, dims)
     x = x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-300)
-    parts = max(1, min(parts, len(x) // 32))
+    parts = max(1, min(parts or total // PART_ROWS, len(x) // 64))
     near = neighbour_graph(x)
     part = balanced_parts(x, near, parts)
     soft = np.zeros((len(x), parts))
@@ -159,7 +166,7 @@ def nearest_neighbours(df: DataFrame, queries: Column, id_col: str = "vec_id", v
             order = route(w, v)[:, :probes].astype(np.int32)
             yield pa.RecordBatch.from_arrays([b.column("id"), b.column("asks"), pa.array([r.tobytes() for r in v], pa.binary()), pa.array(list(order), pa.list_(pa.int32()))], ["id", "asks", "v", "parts"])
 
-    placed = rows.where(usable(F.col("v"), dims)).mapInArrow(place, "id bigint, asks boolean, v binary, parts array<int>")
+    placed = scratch(rows.where(usable(F.col("v"), dims)).mapInArrow(place, "id bigint, asks boolean, v binary, parts array<int>"), "placed")
     counts = {r["part"]: (r["n"], r["q"]) for r in placed.select(F.posexplode("parts").alias("rank", "part"), "asks").groupBy("part").agg(F.count_if(F.col("rank") == 0).alias("n"), F.count_if("asks").alias("q")).collect()}
     blocks = [max(1, -(-counts.get(p, (0, 0))[0] // BLOCK_ROWS)) for p in range(parts)]
     chunks = [max(1, -(-counts.get(p, (0, 0))[1] // CHUNK_QUERIES)) for p in range(parts)]
