@@ -90,14 +90,14 @@ def mix_sources(df: DataFrame, text_col: str = "text", source_col: str = "source
     Sources by code point, null last, get the weights in turn. A document is taken whole, at most
     ``ceil(cap)`` times. Empty and null texts have size 0 and are never taken. Rows with equal keys
     are told apart by their text, and exact repeats share one fate order; reruns agree as all
-    choices come from hashes of key and text. An empty table gives an empty result.
+    choices come from the MD5 of key and text. An empty table gives an empty result.
     """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     n_words = F.when(F.btrim(text, F.lit(SPACES)) == "", F.lit(0)).otherwise(F.size(words(text))).cast("long")
     sized = scratch(
         df.select(
             F.struct(*[F.col(c) for c in keep]).alias("k"), F.col(source_col).cast("string").alias("src"), n_words.alias("size"),
-            F.xxhash64(F.col(key_col).cast("string"), text, F.lit(seed)).alias("hash"),
+            F.md5(F.concat(F.coalesce(F.col(key_col).cast("string"), F.lit("")), F.lit(f"|{seed}|"), text).cast("binary")).alias("hash"),
         ),
         "sized",
     )
@@ -119,9 +119,9 @@ def mix_sources(df: DataFrame, text_col: str = "text", source_col: str = "source
     plans = F.broadcast(df.sparkSession.range(1).select(F.inline(F.from_json(F.lit(json.dumps(plan)), schema))))
     # One row a source, as many as the driver has just gathered.
     same = F.col("src").eqNullSafe(F.col("psrc"))
-    blocked = sized.join(plans.select("psrc", "blocks"), same).withColumn("block", F.pmod("hash", F.col("blocks")))
+    blocked = sized.join(plans.select("psrc", "blocks"), same).withColumn("block", F.conv(F.substring("hash", 1, 15), 16, 10).cast("long") % F.col("blocks"))
     grouped = blocked.groupBy("src", "block").agg(
-        F.sum("size").alias("words"), F.collect_list(F.struct(F.xxhash64("hash", F.lit(seed + 1)).alias("order"), "hash", "size", "k")).alias("docs")
+        F.sum("size").alias("words"), F.collect_list(F.struct(F.substring("hash", 16, 17).alias("order"), "hash", "size", "k")).alias("docs")
     ).join(plans, same)
     # First fit in random order: a document is taken when what is left of the block's quota holds it.
     # Where the quota is over half of the block, the same fit chooses what to leave out.
