@@ -330,6 +330,68 @@ def gazetteer_enrichment(spark, d):
     return out.groupBy("geonameid", "name", "admin1_name").agg(F.count("*").alias("n"))
 
 
+@_query("""SELECT CAST(year(o_orderdate) AS INTEGER) AS year, CAST(month(o_orderdate) AS INTEGER) AS month, CASE WHEN o_orderpriority LIKE '1%' THEN 'other' ELSE o_orderpriority END AS via, count(*) AS n FROM orders GROUP BY ALL""")
+def histogram_by_month(spark, d):
+    rows = _t(spark, d, "orders").select(F.year("o_orderdate").alias("year"), F.month("o_orderdate").alias("month"), F.when(~F.col("o_orderpriority").like("1%"), F.col("o_orderpriority")).alias("via"))
+    return reports.histogram_by_month(rows, "via")
+
+
+@_query("""SELECT CAST(year(o_orderdate) AS INTEGER) AS year, CAST(month(o_orderdate) AS INTEGER) AS month, count(*) AS processed, count(*) FILTER (o_orderstatus = 'O') AS eligible FROM orders GROUP BY ALL""")
+def eligible_by_month(spark, d):
+    rows = _t(spark, d, "orders").select(F.year("o_orderdate").alias("year"), F.month("o_orderdate").alias("month"), "o_orderstatus")
+    return reports.eligible_by_month(rows, F.col("o_orderstatus") == "O")
+
+
+@_query("""SELECT CAST(count(*) FILTER (doc_id % 10 <> 0 AND lang = 'fr') AS BIGINT) AS modified_count, CAST(count(*) FILTER (doc_id % 10 = 0) AS BIGINT) AS deleted_count FROM documents""")
+def changed_rows(spark, d):
+    docs = _t(spark, d, "documents").select("doc_id", "lang")
+    after = docs.where(F.col("doc_id") % 10 != 0).withColumn("lang", F.when(F.col("lang") == "fr", "FR").otherwise(F.col("lang")))
+    return reports.changed_rows(docs, after, "doc_id", "lang")
+
+
+@_query("""SELECT doc_id, substr(translate(text, chr(10) || '"“', ''), 1, 800) AS body FROM documents""")
+def legacy_clean(spark, d):
+    return _t(spark, d, "documents").select("doc_id", text.legacy_clean(F.col("text")).alias("body"))
+
+
+@_query("""SELECT event_id, CASE WHEN event_id % 3 = 0 THEN CAST(json_extract_string(props, '$.k') AS BIGINT) WHEN event_id % 3 = 1 THEN event_id END AS k FROM events""")
+def polymorphic_maps(spark, d):
+    raw = F.when(F.col("event_id") % 3 == 0, F.col("props")).when(F.col("event_id") % 3 == 1, F.concat(F.lit("{'k': "), F.col("event_id").cast("string"), F.lit(", }"))).otherwise("neither")
+    return _t(spark, d, "events").select("event_id", F.try_element_at(nested.load_map_or_literal(raw, "bigint"), F.lit("k")).alias("k"))
+
+
+@_query("""SELECT o_orderkey FROM orders WHERE year(o_orderdate) * 12 + month(o_orderdate) BETWEEN 1996 * 12 + 3 AND 1998 * 12 + 11""")
+def month_window(spark, d):
+    rows = _t(spark, d, "orders").select("o_orderkey", F.year("o_orderdate").alias("year"), F.month("o_orderdate").alias("month"))
+    return rows.where(tables.month_between((1996, 3), (1998, 11))).select("o_orderkey")
+
+
+@_query("""SELECT c_custkey, n_name, CASE WHEN c_custkey % 5 = 0 THEN 'v2' ELSE 'v1' END AS version FROM customer JOIN nation ON c_nationkey = n_nationkey""")
+def upsert_by_url(spark, d):
+    rows = _t(spark, d, "customer").join(_t(spark, d, "nation"), F.col("c_nationkey") == F.col("n_nationkey")).select(F.col("c_custkey").cast("string").alias("url"), F.col("c_custkey").alias("_id"), "n_name", F.lit("v1").alias("version"))
+    new = rows.where(F.col("_id") % 5 == 0).withColumn("version", F.lit("v2"))
+    return tables.upsert(rows, new).select(F.col("_id").alias("c_custkey"), "n_name", "version")
+
+
+@_query("""SELECT s_nationkey, string_agg(s_name || '@' || CAST(s_suppkey % 4 AS VARCHAR), ',' ORDER BY s_suppkey) AS places FROM supplier GROUP BY s_nationkey""")
+def places_with_coordinates(spark, d):
+    rows = _t(spark, d, "supplier").groupBy("s_nationkey").agg(F.array_sort(F.collect_list(F.struct("s_suppkey", F.col("s_name").alias("name"), F.lit("KE").alias("countryCode"), (F.col("s_suppkey") % 4).cast("double").alias("lat"), F.lit(0.0).alias("lon")))).alias("m"))
+    found = geo.places_by_country(F.concat("m", "m"), {"KE": "KEN"}, with_coordinates=True)
+    return rows.select("s_nationkey", F.array_join(F.transform(F.element_at(found, "KEN"), lambda p: F.concat(p["name"], F.lit("@"), p["lat"].cast("int").cast("string"))), ",").alias("places"))
+
+
+@_query("""SELECT page_id, CASE WHEN page_id % 2 = 0 THEN CAST(TIMESTAMP '2024-01-01 00:00:00' + to_days(CAST(page_id AS INTEGER)) AS VARCHAR) END AS published FROM pages""")
+def linked_data_dates(spark, d):
+    date = F.date_format(F.date_add(F.to_date(F.lit("2024-01-01")), F.col("page_id").cast("int")), "yyyy-MM-dd'T'00:00:00")
+    html = F.when(F.col("page_id") % 2 == 0, F.concat("html", F.lit('<script type="application/ld+json">{"datePublished": "'), date, F.lit('Z"}</script>'))).otherwise(F.col("html"))
+    return _t(spark, d, "pages").select("page_id", text.linked_data_date(html).cast("string").alias("published"))
+
+
+@_query("""SELECT doc_id, CASE WHEN regexp_matches(lower(text), 'worthless|pathetic|idiot|loser') THEN 'coup' ELSE source END AS event_type FROM documents""")
+def keyword_override(spark, d):
+    return _t(spark, d, "documents").select("doc_id", classify.keyword_override(F.col("source"), F.col("text"), "coup", "worthless|pathetic|idiot|loser").alias("event_type"))
+
+
 @_query()
 def reconciled_locations(spark, d):
     """Rows-only: places named by nations and suppliers against a ladder of regions, nations and suppliers."""

@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+import ast
+import json
+
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 
 def map_argmax(scores: Column) -> Column:
@@ -50,6 +55,25 @@ def load_map(text: Column, value: str) -> Column:
     return F.coalesce(F.from_json(text, f"map<string,{value}>"), F.create_map().cast(f"map<string,{value}>"))
 
 
+def _literal_to_json(values: pd.Series) -> pd.Series:
+    def one(text: str | None) -> str | None:
+        try:
+            value = ast.literal_eval(text or "")
+        except (ValueError, SyntaxError, MemoryError, RecursionError):
+            return None
+        return json.dumps(value) if isinstance(value, dict) else None
+
+    return values.map(one)
+
+
+def load_map_or_literal(text: Column, value: str) -> Column:
+    """As ``load_map``, but a Python literal counts too; only texts that aren't JSON reach Python."""
+    kind = f"map<string,{value}>"
+    parsed = F.from_json(text, kind)
+    literal = F.pandas_udf(_literal_to_json, StringType())(F.when(parsed.isNull(), text))
+    return F.coalesce(parsed, F.from_json(literal, kind), F.create_map().cast(kind))
+
+
 def first_filled(*maps: Column) -> Column:
     """The first map that has entries, else an empty one: empty and null count alike."""
     out = F.when(F.size(maps[0]) > 0, maps[0])

@@ -11,6 +11,7 @@ from pyspark.sql.types import StringType
 
 #: Marks that end a dateline, with the number of leading characters in which they count. Fixed values.
 DATELINE_MARKS = ((" — ", 30), ("--", 30), (" - ", 30), ("(CNN)", 30), (": ", 20), ("\n", 20))
+# Advertising phrases to remove, and all but the characters that texts for prompts may keep.
 AD_PHRASES = r"(?i)(-+\s*advertisement\s*-+|advertorial|adverts?|publicit[eé]|sponsored\s+post)"
 ALLOWED_CHARS = r"(?U)[^a-zA-ZÀ-ɏ0-9\s.,;:\-'\"?!()&%$@#=_/\\]+"
 
@@ -127,3 +128,10 @@ def normalize_for_match(text: Column) -> Column:
 def publish_date(raw: Column, formats: tuple[str, ...] = ("yyyy-MM-dd'T'HH:mm:ss", "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd", "dd/MM/yyyy", "d MMM yyyy", "MMM d, yyyy")) -> Column:
     """A timestamp from text, by the first format that fits; null if none does."""
     return F.coalesce(*[F.try_to_timestamp(raw, F.lit(f)) for f in formats], F.try_to_timestamp(raw))
+
+
+def linked_data_date(html: Column) -> Column:
+    """The publishing date in a page's linked data; null without one."""
+    block = F.regexp_extract(html, r"(?is)<script[^>]*application/ld\+json[^>]*>(.*?)</script>", 1)
+    raw = F.regexp_extract(block, r'"datePublished"\s*:\s*"([^"]+)"', 1)
+    return F.when(raw != "", publish_date(F.regexp_replace(raw, r"(\.\d+)?(Z|[+-]\d\d:?\d\d)$", "")))

@@ -35,3 +35,15 @@ def month_range(spark, start: str, end: str) -> DataFrame:
 
 def eligible_by_month(df: DataFrame, predicate: Column) -> DataFrame:
     return df.groupBy("year", "month").agg(F.count("*").alias("processed"), F.count_if(predicate).alias("eligible"))
+
+
+def histogram_by_month(df: DataFrame, by: str, missing: str = "other") -> DataFrame:
+    """Rows by month and value; null values count as ``missing``."""
+    return df.groupBy("year", "month", F.coalesce(by, F.lit(missing)).alias(by)).agg(F.count("*").alias("n"))
+
+
+def changed_rows(before: DataFrame, after: DataFrame, key: str, column: str) -> DataFrame:
+    """One row: how many rows an update changed, and how many it removed."""
+    b, a = before.select(F.col(key).alias("k"), F.col(column).alias("was")), after.select(F.col(key).alias("k2"), F.col(column).alias("now"))
+    joined = b.join(a, F.col("k") == F.col("k2"), "left")
+    return joined.agg(F.count_if(F.col("k2").isNotNull() & ~F.col("was").eqNullSafe(F.col("now"))).alias("modified_count"), F.count_if(F.col("k2").isNull()).alias("deleted_count"))
