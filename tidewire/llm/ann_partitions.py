@@ -19,9 +19,9 @@ from pyspark.sql.window import Window
 
 from tidewire.llm.common import hash_sample, scratch
 
-#: Bounds: rows the driver fits on (one in a hundred, within these), rows of a part as wished, and the
-#: rows of a block and queries of a chunk that one task compares.
-LEAST_SAMPLE, MOST_SAMPLE, PART_ROWS, BLOCK_ROWS, CHUNK_QUERIES = 4096, 16384, 2048, 4096, 512
+#: Bounds: rows the driver fits on (one in a hundred, within these), fewest parts, rows of a part beyond these,
+#: and the rows of a block and queries of a chunk that one task compares.
+LEAST_SAMPLE, MOST_SAMPLE, LEAST_PARTS, PART_ROWS, BLOCK_ROWS, CHUNK_QUERIES = 4096, 16384, 24, 2048, 4096, 512
 GRAPH_NEIGHBOURS = 10
 
 
@@ -127,7 +127,7 @@ def usable(vector: Column, dims: int) -> Column:
     return vector.isNotNull() & (F.size(vector) == dims) & finite & F.exists(vector, lambda x: x != 0)
 
 
-def nearest_neighbours(df: DataFrame, queries: Column, id_col: str = "vec_id", vector_col: str = "embedding", k: int = 20, parts: int | None = None, recall: float = 0.95, sample_rows: int | None = None) -> DataFrame:
+def nearest_neighbours(df: DataFrame, queries: Column, id_col: str = "vec_id", vector_col: str = "embedding", k: int = 20, parts: int | None = None, recall: float = 0.97, sample_rows: int | None = None) -> DataFrame:
     """query_id, rank, id and score of the ``k`` nearest rows found for each row that ``queries`` selects.
 
     Nearest first, ties to the smaller id; a query's own id is no candidate. Vectors that are null,
@@ -150,7 +150,7 @@ def nearest_neighbours(df: DataFrame, queries: Column, id_col: str = "vec_id", v
     dims = len(sample[0]["v"])
     x = np.array([r["v"] for r in sample if len(r["v"]) == dims and all(c is not None and np.isfinite(c) for c in r["v"]) and any(r["v"])], float).reshape(-1, dims)
     x = x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-300)
-    parts = max(1, min(parts or total // PART_ROWS, len(x) // 64))
+    parts = max(1, min(parts or max(LEAST_PARTS, total // PART_ROWS), len(x) // 64))
     near = neighbour_graph(x)
     part = balanced_parts(x, near, parts)
     soft = np.zeros((len(x), parts))
@@ -167,9 +167,10 @@ def nearest_neighbours(df: DataFrame, queries: Column, id_col: str = "vec_id", v
             yield pa.RecordBatch.from_arrays([b.column("id"), b.column("asks"), pa.array([r.tobytes() for r in v], pa.binary()), pa.array(list(order), pa.list_(pa.int32()))], ["id", "asks", "v", "parts"])
 
     placed = scratch(rows.where(usable(F.col("v"), dims)).mapInArrow(place, "id bigint, asks boolean, v binary, parts array<int>"), "placed")
-    counts = {r["part"]: (r["n"], r["q"]) for r in placed.select(F.posexplode("parts").alias("rank", "part"), "asks").groupBy("part").agg(F.count_if(F.col("rank") == 0).alias("n"), F.count_if("asks").alias("q")).collect()}
-    blocks = [max(1, -(-counts.get(p, (0, 0))[0] // BLOCK_ROWS)) for p in range(parts)]
-    chunks = [max(1, -(-counts.get(p, (0, 0))[1] // CHUNK_QUERIES)) for p in range(parts)]
+    by_part = lambda df: {r["part"]: r["n"] for r in df.groupBy("part").agg(F.count("*").alias("n")).collect()}  # noqa: E731  one row a part
+    held, asked_of = by_part(placed.select(F.get("parts", F.lit(0)).alias("part"))), by_part(placed.where("asks").select(F.explode("parts").alias("part")))
+    blocks = [max(1, -(-held.get(p, 0) // BLOCK_ROWS)) for p in range(parts)]
+    chunks = [max(1, -(-asked_of.get(p, 0) // CHUNK_QUERIES)) for p in range(parts)]
     n_blocks, n_chunks = (F.from_json(F.lit(json.dumps(n)), "array<int>") for n in (blocks, chunks))
     cands = placed.select("id", "v", F.get("parts", F.lit(0)).alias("part")).select("id", "v", "part", F.pmod(F.xxhash64("id"), F.get(n_blocks, "part")).cast("int").alias("block"), F.explode(F.sequence(F.lit(0), F.get(n_chunks, "part") - 1)).alias("chunk"))
     asked = placed.where("asks").select("id", "v", F.explode("parts").alias("part")).select("id", "v", "part", F.explode(F.sequence(F.lit(0), F.get(n_blocks, "part") - 1)).alias("block"), F.pmod(F.xxhash64("id", F.lit(1)), F.get(n_chunks, "part")).cast("int").alias("chunk"))
