@@ -435,6 +435,19 @@ def test_copies_of_one_article_are_no_template(spark):
     assert [r.text for r in got] == ["Same\nOne text on all pages"]
 
 
+@pytest.mark.parametrize("body, want", [
+    ('<div class="with-sidebar"><article><p>In a named container</p></article></div>', "In a named container"),
+    ('<article><header class="entry-header"><h1>Title</h1></header><p>Text</p><div class="comments"><p>Nice!</p></div><footer>by X</footer></article>', "Title\nText"),
+    ('<header><h1>Site</h1></header><aside>More</aside><form>Search</form><main><p>Main <span class="ad">buy</span>text</p><ul><li>a<li>b</ul></main>', "Main text\na\nb"),
+    ("<article><p>1 &lt; 2 &amp;&nbsp;3 &#8211; é<table><tr><td>x<td>y</table></article><div id='cookie-consent'>ok?</div>", "1 < 2 & 3 – é\nx\ny"),
+    ("<p>unclosed <b>bold<p>next<script>if (a<b) {}</script><textarea>no</textarea><!-- no --> end", "unclosed bold\nnext end"),
+])
+def test_page_shapes(body, want):
+    html = f"<html><head><title>no</title></head><body class='has-sidebar'>{body}</body></html>"
+    assert wrapper_induction.extract(html, None) == want
+    assert wrapper_induction.extract(html, wrapper_induction.page_wrapper(html)) == want
+
+
 def test_simple_tree_matching():
     tree = lambda s: wrapper_induction.Group([wrapper_induction.parse(s)])
     a, b = tree("<div><p>1</p><ul><li>x</ul></div><h1>t</h1>"), tree("<h2>q</h2><div><ul><li>y<li>z</ul></div><h1>u</h1>")
