@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from tidewire.llm.mixture import BLOCK_DOCS
 from tidewire.llm.secrets import ACCESS, ASSIGN, ASSIGN_CHARS, FEW_OWNERS, HEX
+from tidewire.llm.sentence_spans import LEAST_WORDS, LONE_WORDS
 
 _ASSIGN = ASSIGN.replace("'", "''")
 
@@ -49,3 +50,24 @@ f AS (
   SELECT z.rid, z.source, z.block, z.k, CASE WHEN size > 0 AND size <= remaining THEN remaining - size ELSE remaining END, (size > 0 AND size <= remaining) <> inverse FROM f JOIN z ON z.source IS NOT DISTINCT FROM f.source AND z.block = f.block AND z.k = f.k + 1)
 SELECT doc_id, size, source_size, round(target, 6) AS target, CAST(CASE WHEN size = 0 THEN 0 ELSE size * (full_passes + CAST(taken_in AS INTEGER)) END AS BIGINT) AS taken FROM z JOIN f USING (rid)
 """
+
+_SENTENCE = r"[^.!?\n]*[.!?\n]+[\x20\x09-\x0D]*|[^.!?\n]+"
+
+#: Runs end where the running word count first reaches the least words, found by as-of joins in both directions.
+SENTENCE_SPANS = rf"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),
+p AS (SELECT rid, doc_id, unnest(regexp_extract_all(t, '{_SENTENCE}')) AS s, generate_subscripts(regexp_extract_all(t, '{_SENTENCE}'), 1) AS i FROM d),
+w AS (SELECT *, list_filter(string_split_regex(translate(s, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM p),
+c AS (SELECT rid, doc_id, i, s, array_to_string(ws, ' ') AS norm, CAST(len(ws) AS BIGINT) AS n, CAST(sum(len(ws)) OVER (PARTITION BY rid ORDER BY i) AS BIGINT) AS upto, count(*) OVER (PARTITION BY rid) AS total FROM w),
+e AS (SELECT rid, upto, min(i) AS j FROM c GROUP BY rid, upto),
+b AS (SELECT rid, upto - n AS before, max(i) AS k FROM c GROUP BY rid, upto - n),
+x AS (SELECT rid, i, n, total, upto - n + {LEAST_WORDS} AS least, upto - {LEAST_WORDS} AS most FROM c),
+runs AS (
+  SELECT x.rid, i AS a, CASE WHEN n >= {LONE_WORDS} THEN i ELSE greatest(j, i + 1) END AS z, total FROM x ASOF JOIN e ON x.rid = e.rid AND x.least <= e.upto
+  UNION SELECT x.rid, CASE WHEN n >= {LONE_WORDS} THEN i ELSE least(k, i - 1) END, i, total FROM x ASOF JOIN b ON x.rid = b.rid AND x.most >= b.before),
+h AS (SELECT r.rid, c.doc_id, r.a, r.z, md5(string_agg(c.norm, chr(1) ORDER BY c.i)) AS h FROM runs r JOIN c ON r.rid = c.rid AND c.i BETWEEN r.a AND r.z WHERE r.a >= 1 AND r.z <= r.total GROUP BY ALL),
+later AS (SELECT rid, a, z FROM (SELECT *, rank() OVER (PARTITION BY h ORDER BY doc_id NULLS FIRST, a) AS k FROM h) WHERE k > 1),
+gone AS (SELECT DISTINCT rid, unnest(range(a, z + 1)) AS i FROM later),
+o AS (SELECT c.rid, count(*) AS n_sentences, count(gone.i) AS n_removed, string_agg(c.s, '' ORDER BY c.i) FILTER (gone.i IS NULL) AS text FROM c LEFT JOIN gone ON c.rid = gone.rid AND c.i = gone.i GROUP BY c.rid)
+SELECT doc_id, coalesce(n_sentences, 0) AS n_sentences, coalesce(n_removed, 0) AS n_removed, coalesce(o.text, '') AS text FROM d LEFT JOIN o USING (rid)
+"""

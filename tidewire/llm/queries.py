@@ -80,4 +80,4 @@ QUERIES = {
 }
 
 #: The others rest on learned models, XXH64 or a vocabulary; tests/llm holds them against brute force.
-ORACLE_SQL: dict[str, str] = {"op2_secret_scans": oracles.SECRET_SCANS, "op8_source_mixture": oracles.SOURCE_MIXTURE}
+ORACLE_SQL: dict[str, str] = {"op2_secret_scans": oracles.SECRET_SCANS, "op6_sentence_spans": oracles.SENTENCE_SPANS, "op8_source_mixture": oracles.SOURCE_MIXTURE}
