@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import ast
 import json
+from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import Column
@@ -11,16 +12,19 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 
+def bind(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value computed once. Inside a lambda an expression is computed anew for every element, a bound one isn't."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def map_argmax(scores: Column) -> Column:
     """Key of the largest value; ties go to the first key in map order."""
-    top = F.array_max(F.map_values(scores))
-    return F.get(F.filter(F.map_entries(scores), lambda e: e["value"] == top), F.lit(0))["key"]
+    return bind(F.array_max(F.map_values(scores)), lambda top: F.get(F.filter(F.map_entries(scores), lambda e: e["value"] == top), F.lit(0))["key"])
 
 
 def softmax(logits: Column) -> Column:
-    top = F.array_max(logits)
-    total = F.aggregate(logits, F.lit(0.0), lambda a, x: a + F.exp(x - top))
-    return F.transform(logits, lambda x: F.exp(x - top) / total)
+    powers = bind(logits, lambda l: bind(F.array_max(l), lambda top: F.transform(l, lambda x: F.exp(x - top))))
+    return bind(powers, lambda e: bind(F.aggregate(e, F.lit(0.0), lambda a, x: a + x), lambda total: F.transform(e, lambda x: x / total)))
 
 
 def ranked(vector: Column) -> Column:

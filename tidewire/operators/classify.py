@@ -31,7 +31,8 @@ def score(df: DataFrame, text: Column, load: Callable[[], Callable[[list[str]],
         for texts in batches:
             yield pd.Series(list(np.asarray(model([t or "" for t in texts]), float)) if len(texts) else [], dtype=object)
 
-    return df.withColumn(out, run(text))
+    # The explosion of one element keeps the model's call out of the expressions that decode it.
+    return df.select(*[c for c in df.columns if c != out], run(text).alias("__scored")).select(*[c for c in df.columns if c != out], F.explode(F.array("__scored")).alias(out))
 
 
 def model_labels(models: DataFrame, name: str) -> list[str]:

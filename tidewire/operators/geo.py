@@ -8,6 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewire.functions.nested import bind
 from tidewire.schemas import ADMIN_MENTION, FOCUS, LOCATION, MENTION
 
 
@@ -27,9 +28,10 @@ def iso3(code: Column, codes: dict[str, str], missing: str, extra: dict[str, str
 def group_names(mentions: Column, key: Callable[[Column], Column], value: Callable[[Column], Column], keep: Callable[[Column], Column] | None = None) -> Column:
     """Map of key to distinct values, keys and values in order of first occurrence; null stays null."""
     pairs = F.transform(mentions, lambda m: F.struct(key(m).alias("k"), value(m).alias("v"), (keep(m) if keep else F.lit(True)).alias("ok")))
-    pairs = F.filter(pairs, lambda p: p["ok"])
-    keys = F.array_distinct(F.transform(pairs, lambda p: p["k"]))
-    return F.map_from_arrays(keys, F.transform(keys, lambda k: F.array_distinct(F.transform(F.filter(pairs, lambda p: p["k"] == k), lambda p: p["v"]))))
+    return bind(F.filter(pairs, lambda p: p["ok"]), lambda ok: bind(
+        F.array_distinct(F.transform(ok, lambda p: p["k"])),
+        lambda keys: F.map_from_arrays(keys, F.transform(keys, lambda k: F.array_distinct(F.transform(F.filter(ok, lambda p: p["k"] == k), lambda p: p["v"])))),
+    ))
 
 
 def places_by_country(mentions: Column, codes: dict[str, str], with_coordinates: bool = False) -> Column:
@@ -42,8 +44,8 @@ def places_by_country(mentions: Column, codes: dict[str, str], with_coordinates:
 def places_deduplicated_overall(entities: Column) -> Column:
     """Names by country, each name under the country it is first seen with; countries left without names stay, empty."""
     countries = F.array_distinct(F.transform(entities, lambda e: e["country_code3"]))
-    firsts = F.filter(entities, lambda e, i: F.array_position(F.transform(entities, lambda x: x["name"]), e["name"]) == i + 1)
-    return F.map_from_arrays(countries, F.transform(countries, lambda c: F.transform(F.filter(firsts, lambda e: e["country_code3"] == c), lambda e: e["name"])))
+    firsts = bind(F.transform(entities, lambda x: x["name"]), lambda names: F.filter(entities, lambda e, i: F.array_position(names, e["name"]) == i + 1))
+    return bind(firsts, lambda f: F.map_from_arrays(countries, F.transform(countries, lambda c: F.transform(F.filter(f, lambda e: e["country_code3"] == c), lambda e: e["name"]))))
 
 
 def admin_hierarchy(mentions: Column, focus: Column, country_names: dict[str, str] | None = None) -> Column:
@@ -55,14 +57,14 @@ def admin_hierarchy(mentions: Column, focus: Column, country_names: dict[str, st
         state = F.get(F.filter(focus["states"], lambda s: s["id"] == m["stateGeoNameId"]), F.lit(0))
         country = F.get(F.filter(focus["countries"], lambda s: s["id"] == m["countryGeoNameId"]), F.lit(0))
         by_code = F.try_element_at(names, m["countryCode"])
-        steps = F.array_compact(
+        chain_ = F.array_compact(
             F.array(
                 level(m["name"], m["featureCode"], m["countryCode"]),
                 F.when(state["name"].isNotNull(), level(state["name"], state["featureCode"], state["countryCode"])),
                 F.when(country["name"].isNotNull(), level(country["name"], country["featureCode"], country["countryCode"])).otherwise(F.when(by_code.isNotNull(), level(by_code, F.lit("PCLI"), m["countryCode"]))),
             )
         )
-        return F.filter(steps, lambda s, i: F.array_position(F.transform(steps, lambda x: x["name"]), s["name"]) == i + 1)
+        return bind(chain_, lambda steps: bind(F.transform(steps, lambda x: x["name"]), lambda names: F.filter(steps, lambda s, i: F.array_position(names, s["name"]) == i + 1)))
 
     return F.transform(
         mentions,
