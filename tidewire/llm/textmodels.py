@@ -18,18 +18,23 @@ _TOKEN = re.compile(r"\w+|[^\w\s]+")
 _CHUNK = 1 << 16
 
 
-class _Ids(dict):
-    """Token to 32-bit ids, computed once; emptied when it gets large."""
+class _Tokens(dict):
+    """Numbers of each token, computed once; emptied when the tokens of a call might not fit any more."""
 
-    def __init__(self, of: Callable[[str], int]):
+    def __init__(self, *of: Callable[[str], int], most: int = 400_000):
         super().__init__()
-        self.of = of
+        self.of, self.rows = of, np.zeros((len(of), most), np.uint64)
 
     def __missing__(self, token: str) -> int:
-        if len(self) > 400_000:
+        k = self[token] = len(self)
+        self.rows[:, k] = [f(token) for f in self.of]
+        return k
+
+    def numbers(self, tokens: list[str]) -> np.ndarray:
+        """One row for each function, one column for each token; at most ``_CHUNK`` + 2 tokens."""
+        if len(self) + len(tokens) > self.rows.shape[1]:
             self.clear()
-        out = self[token] = self.of(token)
-        return out
+        return self.rows[:, np.fromiter(map(self.__getitem__, tokens), np.int64, len(tokens))]
 
 
 def _shape(token: str) -> int:
@@ -46,7 +51,7 @@ def _mix(*parts: np.ndarray, salt: int, bits: int) -> np.ndarray:
     for p in parts:
         h = (h ^ p) * np.uint64(0x9E3779B97F4A7C15)
         h ^= h >> np.uint64(29)
-    return (h * np.uint64(0xBF58476D1CE4E5B9)) >> np.uint64(64 - bits)
+    return ((h * np.uint64(0xBF58476D1CE4E5B9)) >> np.uint64(64 - bits)).view(np.int64)
 
 
 class QualityFeatures:
@@ -55,12 +60,10 @@ class QualityFeatures:
     bits = 18
 
     def __init__(self) -> None:
-        self.words = _Ids(lambda t: crc32(t.lower().encode("utf-8", "surrogatepass")))
-        self.shapes = _Ids(_shape)
+        self.tokens = _Tokens(lambda t: crc32(t.lower().encode("utf-8", "surrogatepass")), _shape)
 
     def __call__(self, tokens: list[str]) -> np.ndarray:
-        w = np.fromiter(map(self.words.__getitem__, tokens), np.uint64, len(tokens))
-        s = np.fromiter(map(self.shapes.__getitem__, tokens), np.uint64, len(tokens))
+        w, s = self.tokens.numbers(tokens)
         for gap in (1, 2):
             s[gap:][(w[gap:] == w[:-gap]) & (s[gap:] < 16)] = 12
         return np.concatenate([_mix(w, salt=1, bits=self.bits), _mix(w[:-1], w[1:], salt=2, bits=self.bits), _mix(s, salt=3, bits=self.bits), _mix(s[:-1], s[1:], salt=4, bits=self.bits), _mix(s[:-2], s[1:-1], s[2:], salt=5, bits=self.bits)])
@@ -73,19 +76,19 @@ class ToxicFeatures:
 
     def __init__(self) -> None:
         crc = lambda t: crc32(t.encode("utf-8", "surrogatepass"))
-        self.words = _Ids(lambda t: crc(t.lower()))
-        self.four = _Ids(lambda t: crc(t.lower()[:4]))
-        self.five = _Ids(lambda t: crc(t.lower()[:5]))
+        self.tokens = _Tokens(lambda t: crc(t.lower()), lambda t: crc(t.lower()[:4]), lambda t: crc(t.lower()[:5]))
 
     def __call__(self, tokens: list[str]) -> np.ndarray:
-        w, a, b = (np.fromiter(map(x.__getitem__, tokens), np.uint64, len(tokens)) for x in (self.words, self.four, self.five))
+        w, a, b = self.tokens.numbers(tokens)
         return np.concatenate([_mix(w, salt=1, bits=self.bits), _mix(a, salt=2, bits=self.bits), _mix(b, salt=3, bits=self.bits), _mix(w[:-1], w[1:], salt=4, bits=self.bits), _mix(w[:-2], w[2:], salt=5, bits=self.bits)])
 
 
-def indices(text: str | None, features: Callable[[list[str]], np.ndarray]) -> np.ndarray:
-    """Distinct feature numbers of a whole text; none for null and empty texts."""
+def indices(text: str | None, features: Callable[[list[str]], np.ndarray], among: np.ndarray | None = None) -> np.ndarray:
+    """Distinct feature numbers of a whole text, if given only those marked in ``among``; none for null and empty texts."""
     tokens = _TOKEN.findall(text or "")
     parts = [features(tokens[max(0, k - 2) : k + _CHUNK]) for k in range(0, len(tokens), _CHUNK)]
+    if among is not None:  # sorting out the few that count is cheaper than sorting all
+        parts = [p[among[p]] for p in parts]
     return np.unique(np.concatenate(parts)).astype(np.int32) if parts else np.empty(0, np.int32)
 
 
@@ -124,11 +127,12 @@ def score_texts(df: DataFrame, weights: np.ndarray, bias: float, make: type, kee
         at, values, bias, squares = shared.value
         w = np.zeros(1 << make.bits)
         w[at] = values
+        among = w != 0 if squares is None else None
         features = make()
         for batch in batches:
             margin = []
             for t in batch.column("t").to_pylist():
-                i = indices(t, features)
+                i = indices(t, features, among)
                 length = 1.0 if squares is None else np.sqrt(squares[i].sum(dtype=np.float64)) or 1.0
                 margin.append(bias + w[i].sum() / length)
             score = 1 / (1 + np.exp(-np.clip(sharpness * np.array(margin, float), -500, 500)))
