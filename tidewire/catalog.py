@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewire.functions import nested, text
+from tidewire.functions import nested, placecolumns, text
 from tidewire.operators import classify, curate, filters, geo, kb, reconcile, reports, translate
 from tidewire.sources import tables
 
@@ -392,6 +392,34 @@ def keyword_override(spark, d):
     return _t(spark, d, "documents").select("doc_id", classify.keyword_override(F.col("source"), F.col("text"), "coup", "worthless|pathetic|idiot|loser").alias("event_type"))
 
 
+@_query(r"""WITH k AS (SELECT p_partkey, trim(regexp_replace(regexp_replace(lower(CASE p_partkey % 6 WHEN 0 THEN 'Gulf of ' || p_name WHEN 1 THEN p_name || ' Province' WHEN 2 THEN 'North-East' WHEN 3 THEN 'The World' WHEN 4 THEN p_name || ' Lake River' ELSE p_name || ' school' END), '[^a-z0-9_\s]', ' ', 'g'), '\s+', ' ', 'g')) AS key FROM part),
+t AS (SELECT *, string_split(key, ' ') AS tok, ['gulf','sea','ocean','river','lake','bay','strait','channel','mount','mountain','valley','island','islands'] AS feat, ['north','south','east','west','central','northern','southern','eastern','western','northwest','northeast','southwest','southeast','upper','lower','mid','middle'] AS dirs, regexp_matches(key, 'province|oblast|region|district|state|department|governorate|prefecture|county|commune|municipality') AS unit FROM k)
+SELECT p_partkey, key = 'the world' AS generic, len(list_filter(tok, lambda x: NOT list_contains(dirs, x))) = 0 AS directional, unit,
+ NOT unit AND list_has_any(tok, feat) AND len(list_filter(tok, lambda x: NOT (list_contains(feat, x) OR list_contains(dirs, x) OR x IN ('of', 'the')))) <= 1 AS feature,
+ regexp_matches(key, 'school|university|college|hospital|clinic|airport|road|street|avenue|highway|bridge|station|market|mosque|church|temple|park|reserve|forest') AS poi FROM t""")
+def place_name_tests(spark, d):
+    n, k = F.col("p_name"), F.col("p_partkey") % 6
+    name = F.when(k == 0, F.concat(F.lit("Gulf of "), n)).when(k == 1, F.concat(n, F.lit(" Province"))).when(k == 2, "North-East").when(k == 3, "The World").when(k == 4, F.concat(n, F.lit(" Lake River"))).otherwise(F.concat(n, F.lit(" school")))
+    key = F.col("key")
+    rows = _t(spark, d, "part").select("p_partkey", text.normalize_for_match(name).alias("key"))
+    return rows.select("p_partkey", placecolumns.is_generic(key).alias("generic"), placecolumns.is_directional(key).alias("directional"), placecolumns.is_admin_unit(key).alias("unit"), placecolumns.is_feature(key).alias("feature"), placecolumns.is_poi(key).alias("poi"))
+
+
+@_query("""SELECT s_suppkey, CASE s_suppkey % 5 WHEN 0 THEN 'ADMIN0' WHEN 1 THEN 'ADMIN1' WHEN 2 THEN 'ADMIN2' WHEN 3 THEN 'UNKNOWN' ELSE 'ADMIN2' END AS level, CASE WHEN s_suppkey % 3 = 0 THEN 'Unknown' ELSE s_name END AS admin0, CASE WHEN s_suppkey % 4 = 0 THEN 'KEN' END AS iso FROM supplier""")
+def sanitized_places(spark, d):
+    k = F.col("s_suppkey")
+    raw = F.when(k % 5 == 0, "Country").when(k % 5 == 1, "oblast").when(k % 5 == 2, " City ").when(k % 5 == 3, "galaxy").otherwise("admin2")
+    rows = _t(spark, d, "supplier").select("s_suppkey", raw.alias("raw"), F.when(k % 3 == 0, "not sure").otherwise(F.concat(F.col("s_name"), F.lit(" "))).alias("a0"), F.when(k % 4 == 0, "ken").when(k % 4 == 1, "UNK").otherwise("K3N").alias("code"))
+    key = lambda c: text.normalize_for_match(F.col(c))
+    return rows.select("s_suppkey", placecolumns.level(F.col("raw"), key("raw")).alias("level"), placecolumns.known(F.col("a0"), key("a0")).alias("admin0"), placecolumns.iso_key(F.col("code")).alias("iso"))
+
+
+@_query("""SELECT n_nationkey, lower(n_name) AS phrase, n_nationkey % 2 = 0 AS overlap FROM nation""")
+def clean_phrases(spark, d):
+    rows = _t(spark, d, "nation").select("n_nationkey", text.normalize_for_match(F.concat(F.lit("Republic of "), "n_name", F.lit(" Province"))).alias("key"), text.normalize_for_match(F.when(F.col("n_nationkey") % 2 == 0, F.concat(F.lit("Old "), "n_name")).otherwise("Republic Province")).alias("other"))
+    return rows.select("n_nationkey", placecolumns.clean_phrase(F.col("key")).alias("phrase"), placecolumns.content_overlap(F.col("key"), F.col("other")).alias("overlap"))
+
+
 @_query()
 def reconciled_locations(spark, d):
     """Rows-only: places named by nations and suppliers against a ladder of regions, nations and suppliers."""
