@@ -124,19 +124,22 @@ def mix_sources(df: DataFrame, text_col: str = "text", source_col: str = "source
         F.sum("size").alias("words"), F.collect_list(F.struct(F.substring("hash", 16, 17).alias("order"), "hash", "size", "k")).alias("docs")
     ).join(plans, same)
     # First fit in random order: a document is taken when what is left of the block's quota holds it.
-    # Where the quota is over half of the block, the same fit chooses what to leave out.
+    # Then the smallest one left over is taken too, if that comes nearer to the quota. Where the quota
+    # is over half of the block, the same fit chooses what to leave out.
     words_in, inverse = F.round(F.col("words") * F.col("part")).cast("long"), F.col("part") > 0.5
     grouped = grouped.withColumn("docs", F.array_sort("docs")).withColumn("inverse", inverse).withColumn("quota", F.when(inverse, F.col("words") - words_in).otherwise(words_in))
     fits = lambda a, x: (x["size"] > 0) & (x["size"] <= a["left"])
     picked = F.aggregate(
         "docs",
         F.struct(F.col("quota").alias("left"), F.array().cast("array<boolean>").alias("in")),
-        lambda a, x: F.struct((a["left"] - F.when(fits(a, x), x["size"]).otherwise(0)).alias("left"), F.array_append(a["in"], fits(a, x) != F.col("inverse")).alias("in")),
+        lambda a, x: F.struct((a["left"] - F.when(fits(a, x), x["size"]).otherwise(0)).alias("left"), F.array_append(a["in"], fits(a, x)).alias("in")),
     )
     fitted = grouped.withColumn("fit", picked)
+    smallest = F.array_min(F.transform("docs", lambda x, i: F.when((x["size"] > 0) & ~F.get("fit.in", i), F.struct(x["size"].alias("size"), i.alias("i")))))
+    fitted = fitted.withColumn("smallest", smallest).withColumn("more", F.when(F.col("smallest.size") < 2 * F.col("fit.left"), F.col("smallest.i")).otherwise(-1))
     placed = fitted.select(
         "src", "source_size", "target", "full", "units", "step", "shift", "ends", "blocks", "block",
-        F.inline(F.transform("docs", lambda x, i: F.struct(x["k"].alias("k"), x["hash"].alias("hash"), x["size"].alias("size"), F.get("fit.in", i).alias("in")))),
+        F.inline(F.transform("docs", lambda x, i: F.struct(x["k"].alias("k"), x["hash"].alias("hash"), x["size"].alias("size"), ((F.get("fit.in", i) | (i == F.col("more"))) != F.col("inverse")).alias("in")))),
     )
     times = F.when(F.col("size") > 0, F.col("full") + F.col("in").cast("int")).otherwise(0)
     # Pass p of block b is unit p * blocks + b; its permuted number lies in one shard's range.

@@ -45,10 +45,12 @@ b AS (SELECT d.*, source_size, target, full_passes, part, CAST('0x' || substr(h,
 o AS (SELECT *, row_number() OVER (PARTITION BY source, block ORDER BY substr(h, 16), h, size) AS k, CAST(sum(size) OVER (PARTITION BY source, block) AS BIGINT) AS words FROM b),
 z AS (SELECT *, part > 0.5 AS inverse, CAST(CASE WHEN part > 0.5 THEN words - round(words * part) ELSE round(words * part) END AS BIGINT) AS quota FROM o),
 f AS (
-  SELECT rid, source, block, k, CASE WHEN size > 0 AND size <= quota THEN quota - size ELSE quota END AS remaining, (size > 0 AND size <= quota) <> inverse AS taken_in FROM z WHERE k = 1
+  SELECT rid, source, block, k, size, inverse, CASE WHEN size > 0 AND size <= quota THEN quota - size ELSE quota END AS remaining, size > 0 AND size <= quota AS fits FROM z WHERE k = 1
   UNION ALL
-  SELECT z.rid, z.source, z.block, z.k, CASE WHEN size > 0 AND size <= remaining THEN remaining - size ELSE remaining END, (size > 0 AND size <= remaining) <> inverse FROM f JOIN z ON z.source IS NOT DISTINCT FROM f.source AND z.block = f.block AND z.k = f.k + 1)
-SELECT doc_id, size, source_size, round(target, 6) AS target, CAST(CASE WHEN size = 0 THEN 0 ELSE size * (full_passes + CAST(taken_in AS INTEGER)) END AS BIGINT) AS taken FROM z JOIN f USING (rid)
+  SELECT z.rid, z.source, z.block, z.k, z.size, z.inverse, CASE WHEN z.size > 0 AND z.size <= remaining THEN remaining - z.size ELSE remaining END, z.size > 0 AND z.size <= remaining FROM f JOIN z ON z.source IS NOT DISTINCT FROM f.source AND z.block = f.block AND z.k = f.k + 1),
+g AS (SELECT rid, inverse, fits, size, row_number() OVER (PARTITION BY source, block ORDER BY NOT fits AND size > 0 DESC, size, k) AS s, min(remaining) OVER (PARTITION BY source, block) AS remaining FROM f),
+t AS (SELECT rid, (fits OR (s = 1 AND NOT fits AND size > 0 AND size < 2 * remaining)) <> inverse AS taken_in FROM g)
+SELECT doc_id, size, source_size, round(target, 6) AS target, CAST(CASE WHEN size = 0 THEN 0 ELSE size * (full_passes + CAST(taken_in AS INTEGER)) END AS BIGINT) AS taken FROM z JOIN t USING (rid)
 """
 
 _SENTENCE = r"[^.!?\n]*[.!?\n]+[\x20\x09-\x0D]*|[^.!?\n]+"
