@@ -58,30 +58,45 @@ def read_vocabulary(path: str) -> dict:
 def compile_automaton(vocab: dict) -> dict:
     """Arrays of the minimized automaton and of the label trie."""
     labels, n = vocab["labels"], len(vocab["labels"])
-    no_arc = np.zeros((n + 1, (n + 7) // 8), np.uint8)  # bit v of row u: no arc from state u with label v; row n: the start
-    for a, b, ab in vocab["merges"]:
-        out = no_arc[b].copy()
-        no_arc[a, b >> 3] |= np.uint8(1 << (b & 7))
-        no_arc[ab] = out
-        into = (no_arc[:, a >> 3] >> np.uint8(a & 7)) & np.uint8(1)
-        no_arc[:, ab >> 3] |= into << np.uint8(ab & 7)
+    # Numbers in order of creation, so that a gadget touches only what exists yet.
+    made = {ab for _, _, ab in vocab["merges"]}
+    order = [i for i in range(n) if i not in made] + list(dict.fromkeys(ab for _, _, ab in vocab["merges"]))
+    place = np.empty(n, np.int64)
+    place[order] = np.arange(n)
+    # Bit v & 7 of no_arc[v >> 3, u]: no arc from state u with label v. The last state is the start.
+    no_arc = np.zeros(((n + 7) // 8, n + 1), np.uint8)
+    for a, b, ab in place[np.array(vocab["merges"], np.int64).reshape(-1, 3)].tolist():
+        upto = (ab >> 3) + 1
+        out = no_arc[:upto, b].copy()
+        no_arc[b >> 3, a] |= np.uint8(1 << (b & 7))
+        no_arc[:upto, ab] = out
+        into = (no_arc[a >> 3, : ab + 1] >> np.uint8(a & 7)) & np.uint8(1)
+        no_arc[ab >> 3, : ab + 1] |= into << np.uint8(ab & 7)
+    digest = lambda x: hashlib.blake2b(x, digest_size=16).digest()
     ids: dict[bytes, int] = {}
-    state = np.array([ids.setdefault(hashlib.blake2b(r, digest_size=16).digest(), len(ids)) for r in no_arc], np.int32)
-    rows = no_arc[np.unique(state, return_index=True)[1]]
+    state, rows = np.zeros(n + 1, np.int32), []
+    for k in range(0, n + 1, 1024):
+        for j, row in enumerate(np.ascontiguousarray(no_arc[:, k : k + 1024].T)):
+            key = digest(row)
+            if key not in ids:
+                ids[key] = len(ids)
+                rows.append(row.copy())
+            state[k + j] = ids[key]
     del no_arc
+    states = np.array(rows)
     kinds: dict[bytes, int] = {}
     kind, kept = np.zeros(n, np.int32), []
-    for k in range(0, rows.shape[1], 128):
-        cols = np.unpackbits(rows[:, k : k + 128], axis=1, bitorder="little")
-        packed = np.ascontiguousarray(np.packbits(cols, axis=0).T)
-        for j in range(min(cols.shape[1], n - 8 * k)):
-            key, v = hashlib.blake2b(packed[j], digest_size=16).digest(), 8 * k + j
+    for k in range(0, states.shape[1], 128):
+        cols = np.unpackbits(states[:, k : k + 128], axis=1, bitorder="little")
+        for j, packed in enumerate(np.ascontiguousarray(np.packbits(cols, axis=0).T)[: n - 8 * k]):
+            key = digest(packed)
             if key not in kinds:
                 kinds[key] = len(kinds)
-                kept.append(packed[j])
-            kind[v] = kinds[key]
+                kept.append(packed.copy())
+            kind[8 * k + j] = kinds[key]
     # By label kind, then state: one bit says that the arc is missing.
     table = np.array(kept)
+    state, kind = np.append(state[place], state[n]), kind[place]
 
     nodes: dict[tuple[int, int], int] = {}
     token_at = [-1]
