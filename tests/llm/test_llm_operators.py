@@ -429,6 +429,16 @@ def test_wrapper_finds_slots_without_article(spark):
     assert all(got[i] == f"Varying text number {i} of this page.\nMore about {i * 7}" for i in range(30))
 
 
+@pytest.mark.parametrize("varying", [10, 40])
+def test_template_among_many_siblings(spark, varying):
+    """A text on all pages is template, however many texts of its node vary or stay the same with it."""
+    menu = "".join(f"<li>Constant item {k}</li>" for k in range(30))
+    want = {i: "\n".join(f"Paragraph {k} of page {i}." for k in range(varying)) for i in range(60)}
+    rows = [(i, f"http://h.example/{i}", f"<body><ul class=box>{menu}</ul><div class=body>{''.join(f'<p>{x}</p>' for x in want[i].splitlines())}<p>The same text everywhere</p></div></body>") for i in want]
+    got = dict(wrapper_induction.extract_main_text(spark.createDataFrame(rows, "page_id bigint, url string, html string")).select("page_id", "text").collect())
+    assert got == want
+
+
 def test_copies_of_one_article_are_no_template(spark):
     rows = [(i, f"http://h.example/{i}", page(i, "<article><h1>Same</h1><p>One text on all pages</p></article>")) for i in range(30)]
     got = wrapper_induction.extract_main_text(spark.createDataFrame(rows, "page_id bigint, url string, html string")).select("text").distinct().collect()

@@ -7,7 +7,9 @@ stands in the slots of its article region: the ``article`` or ``main`` nodes, el
 holds most of the varying text outside links.
 
 Wrappers are folded within each task, then merged in two steps (by host and salt, then by host), so
-that a host with very many pages is spread over many tasks and only small trees are shuffled.
+that a host with very many pages is spread over many tasks and only small trees are shuffled. Then
+every page is aligned with its host's wrapper, and the pages of each text at each node are counted
+exactly, by an aggregation that combines before its shuffle.
 """
 
 from __future__ import annotations
@@ -16,7 +18,7 @@ import html as entities
 import json
 import re
 from collections.abc import Iterator
-from zlib import crc32
+from hashlib import blake2b
 
 import pandas as pd
 import pyarrow as pa
@@ -36,8 +38,8 @@ NOISE_TAGS = frozenset("nav footer aside form menu dialog".split())
 NOISE_WORDS = frozenset("ad adbox ads adsense adslot advert advertisement advertising adverts alert alertdialog banner breadcrumb breadcrumbs comentarios comment commentaires commentlist comments complementary consent contentinfo cookie cookies disclaimer discussion disqus footer gdpr header leaderboard login masthead menu modal nav navbar navigation newsletter notice notification pager pagination popup promo promoted related replies reply respond search share sharing sidebar sidenav signup skyscraper social sponsor sponsored subscribe toolbar topnav widget".split())
 CONTENT_TAGS = frozenset(("article", "main"))
 CLOSES_ITSELF = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "td": {"td", "th"}, "th": {"td", "th"}, "tr": {"tr", "td", "th"}}
-#: Texts kept per node, least share of pages of a template text, most nodes of a wrapper.
-KEPT_TEXTS, TEMPLATE_SHARE, LEAST_PAGES, MOST_NODES = 16, 0.85, 8, 2000
+#: Least share of pages of a template text, least pages of a host, most nodes of a wrapper.
+TEMPLATE_SHARE, LEAST_PAGES, MOST_NODES = 0.85, 8, 2000
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:\"[^\"]*\"|'[^']*'|[^\"'>])*)>", re.S)
 _NAMES = re.compile(r"""\b(class|id|role|hidden)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""", re.I)
@@ -166,33 +168,40 @@ class Group:
 
 
 class Slot:
-    """A wrapper node: pages that have it, characters of text and of links, frequent texts, children."""
+    """A wrapper node: pages that have it, characters of text and of links, children.
 
-    __slots__ = ("key", "pages", "chars", "links", "texts", "children")
+    ``load`` numbers the nodes of the whole tree in order; ``template`` holds the template texts.
+    """
+
+    __slots__ = ("key", "pages", "chars", "links", "children", "number", "template", "fixed_chars")
 
     def __init__(self, key: str):
         self.key, self.pages, self.chars, self.links = key, 0, 0, 0
-        self.texts: dict[int, int] = {}
         self.children: list[Slot] = []
+        self.number, self.fixed_chars = 0, 0
+        self.template: set[int] = set()
 
     def dump(self) -> list:
-        return [self.key, self.pages, self.chars, self.links, list(self.texts.items()), [c.dump() for c in self.children]]
+        return [self.key, self.pages, self.chars, self.links, [c.dump() for c in self.children]]
 
     @classmethod
     def load(cls, x: list) -> Slot:
+        out = cls._load(x)
+        for number, s in enumerate(out.nodes()):
+            s.number = number
+        return out
+
+    @classmethod
+    def _load(cls, x: list) -> Slot:
         out = cls(x[0])
-        out.pages, out.chars, out.links, out.texts = x[1], x[2], x[3], dict(x[4])
-        out.children = [cls.load(c) for c in x[5]]
+        out.pages, out.chars, out.links = x[1], x[2], x[3]
+        out.children = [cls._load(c) for c in x[4]]
         return out
 
-    def count(self, texts: dict[int, int]) -> None:
-        """Misra-Gries: a text of more than 1 in KEPT_TEXTS + 1 pages is always kept."""
-        mine = self.texts
-        for h, n in texts.items():
-            mine[h] = mine.get(h, 0) + n
-        if len(mine) > KEPT_TEXTS:
-            least = sorted(mine.values(), reverse=True)[KEPT_TEXTS]
-            self.texts = {h: n - least for h, n in mine.items() if n > least}
+    def nodes(self) -> Iterator[Slot]:
+        yield self
+        for c in self.children:
+            yield from c.nodes()
 
 
 def tree_size(x) -> int:
@@ -230,7 +239,7 @@ def matched_size(x, y) -> int:
 
 
 def text_hash(text: str) -> int:
-    return crc32(text.encode("utf-8", "surrogatepass"))
+    return int.from_bytes(blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "big", signed=True)
 
 
 def as_slot(g: Group) -> Slot:
@@ -241,9 +250,6 @@ def as_slot(g: Group) -> Slot:
         out.links += node.links
         for text in node.texts():
             out.chars += len(text)
-            out.texts[text_hash(text)] = 1
-    if len(out.texts) > KEPT_TEXTS:
-        out.texts = dict(sorted(out.texts.items())[:KEPT_TEXTS])
     out.children = [as_slot(c) for c in g.children]
     return out
 
@@ -253,7 +259,6 @@ def merge(into: Slot, other: Slot, room: list[int]) -> None:
     into.pages += other.pages
     into.chars += other.chars
     into.links += other.links
-    into.count(other.texts)
     pairs = match(into.children, other.children)
     to = {j: into.children[i] for i, j in pairs}
     for j, child in enumerate(other.children):
@@ -283,9 +288,7 @@ def content_roots(wrapper: Slot) -> list[Slot]:
                 named(c)
 
     def varying(s: Slot) -> int:
-        fixed = sum(n for n in s.texts.values() if n >= TEMPLATE_SHARE * s.pages and s.pages >= LEAST_PAGES)
-        own = 0 if fixed >= TEMPLATE_SHARE * s.pages and s.pages >= LEAST_PAGES else max(0, s.chars - 2 * s.links)
-        return own + sum(varying(c) for c in s.children if not _noise(c.key))
+        return max(0, s.chars - s.fixed_chars - 2 * s.links) + sum(varying(c) for c in s.children if not _noise(c.key))
 
     named(wrapper)
     if found:
@@ -298,6 +301,43 @@ def content_roots(wrapper: Slot) -> list[Slot]:
         at = best
 
 
+def align(g: Group, s: Slot) -> Iterator[tuple[Group, Slot]]:
+    """The nodes of a page with those of the wrapper they stand for."""
+    yield g, s
+    for i, j in match(g.children, s.children):
+        yield from align(g.children[i], s.children[j])
+
+
+def article_hash(root: Node) -> int:
+    """Pages of one article have the same: that of the text of the ``article`` and ``main`` elements, or else of the page."""
+    out: list[str] = []
+
+    def walk(node: Node, inside: bool) -> None:
+        inside = inside or node.tag in CONTENT_TAGS
+        if inside:
+            out.extend(node.texts())
+        for child in node.blocks():
+            if not child.noise:
+                walk(child, inside)
+
+    walk(root, False)
+    if not out:
+        walk(root, True)
+    return text_hash("\n".join(out))
+
+
+def page_texts(root: Node, wrapper: Slot) -> dict[tuple[int, int], int]:
+    """Characters of every text by its wrapper node, and under text 0 of node 0 the page itself."""
+    out: dict[tuple[int, int], int] = {(0, 0): 0}
+    for g, s in align(Group([root]), wrapper):
+        if s is not wrapper:
+            for node in g.members:
+                for text in node.texts():
+                    at = s.number, text_hash(text)
+                    out[at] = out.get(at, 0) + len(text)
+    return out
+
+
 def extract(page: str | None, wrapper: Slot | None) -> str:
     """Text of the slots of the article region of one page."""
     root = parse(page or "")
@@ -306,23 +346,12 @@ def extract(page: str | None, wrapper: Slot | None) -> str:
     regions: list[Node] = []
     if wrapper is not None:
         roots = {id(r) for r in content_roots(wrapper)}
-        # Copies of one article don't make its text a template: the same share must not hold for whole pages.
-        copies = max((n for n in wrapper.texts.values()), default=0) if wrapper.texts else 0
-        differ = wrapper.pages >= LEAST_PAGES and copies < 0.5 * wrapper.pages
-
-        def walk(g: Group, s: Slot, inside: bool) -> None:
-            inside = inside or id(s) in roots
+        for g, s in align(group, wrapper):
             if id(s) in roots:
                 regions.extend(g.members)
-            if differ:
-                fixed = {h for h, n in s.texts.items() if n >= TEMPLATE_SHARE * wrapper.pages}
-                if fixed and s is not wrapper:
-                    for node in g.members:
-                        skip[id(node)] = fixed
-            for i, j in match(g.children, s.children):
-                walk(g.children[i], s.children[j], inside)
-
-        walk(group, wrapper, False)
+            if s.template:
+                for node in g.members:
+                    skip[id(node)] = s.template
     out: list[str] = []
 
     def emit(node: Node) -> None:
@@ -364,10 +393,8 @@ def extract(page: str | None, wrapper: Slot | None) -> str:
 
 
 def page_wrapper(page: str | None) -> Slot:
-    """The wrapper of one page; the root's text stands for the page's whole article text."""
-    out = as_slot(Group([parse(page or "")]))
-    out.texts = {text_hash(extract(page, None)): 1}
-    return out
+    """The wrapper of one page."""
+    return as_slot(Group([parse(page or "")]))
 
 
 def _fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -399,16 +426,56 @@ def _merge_all(pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"host": [pdf["host"].iloc[0]], "wrapper": [json.dumps(first.dump())]})
 
 
+class Wrappers:
+    """Wrappers read from their dumps, each once while it is in use."""
+
+    def __init__(self):
+        self.seen: dict[tuple, Slot] = {}
+
+    def get(self, dump: str | None, template: str | None = None) -> Slot | None:
+        if dump is None:
+            return None
+        at = dump, template
+        if at not in self.seen:
+            if len(self.seen) > 500:
+                self.seen.clear()
+            out = self.seen[at] = Slot.load(json.loads(dump))
+            nodes = list(out.nodes())
+            for x in json.loads(template or "[]"):
+                nodes[x["node"]].template.add(x["text"])
+                nodes[x["node"]].fixed_chars += x["chars"]
+        return self.seen[at]
+
+
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    wrappers = Wrappers()
+    for batch in batches:
+        rows = []
+        for host, page, dump in zip(*(batch.column(c).to_pylist() for c in ("host", "html", "wrapper"))):
+            root = parse(page or "")
+            article = article_hash(root)
+            rows += [(host, article, *at, chars) for at, chars in page_texts(root, wrappers.get(dump)).items()]
+        columns = zip(*rows) if rows else [()] * 5
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.string(), *[pa.int64()] * 4))], ["host", "article", "node", "text", "chars"])
+
+
+def template_texts(pages: DataFrame, wrappers: DataFrame) -> DataFrame:
+    """For each host the texts, by node of its wrapper, that stand on at least TEMPLATE_SHARE of its pages.
+
+    Pages with the same article count as one, so that copies don't make its text a template.
+    """
+    texts = pages.join(wrappers, "host").mapInArrow(_count, "host string, article bigint, node bigint, text bigint, chars bigint")
+    once = texts.groupBy("host", "node", "text", "article").agg(F.sum("chars").alias("chars"))
+    counts = scratch(once.groupBy("host", "node", "text").agg(F.count("*").alias("n"), F.sum("chars").alias("chars")).where(F.col("n") >= LEAST_PAGES * TEMPLATE_SHARE), "texts")
+    whole = counts.where("node = 0").select("host", F.col("n").alias("pages"))
+    fixed = counts.where("node <> 0").join(whole, "host").where((F.col("pages") >= LEAST_PAGES) & (F.col("n") >= TEMPLATE_SHARE * F.col("pages")))
+    return fixed.groupBy("host").agg(F.to_json(F.array_sort(F.collect_list(F.struct("node", "text", "chars")))).alias("template"))
+
+
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    seen: dict[str, Slot] = {}
+    wrappers = Wrappers()
     for batch in batches:
-        out = []
-        for page, wrapper in zip(batch.column("html").to_pylist(), batch.column("wrapper").to_pylist()):
-            if wrapper is not None and wrapper not in seen:
-                if len(seen) > 500:
-                    seen.clear()
-                seen[wrapper] = Slot.load(json.loads(wrapper))
-            out.append(extract(page, seen.get(wrapper)))
+        out = [extract(page, wrappers.get(dump, template)) for page, dump, template in zip(*(batch.column(c).to_pylist() for c in ("html", "wrapper", "template")))]
         yield pa.RecordBatch.from_arrays([batch.column("k"), pa.array(out, pa.string())], ["k", "text"])
 
 
@@ -425,6 +492,7 @@ def extract_main_text(df: DataFrame, url_col: str = "url", html_col: str = "html
     salted = parts.groupBy("host", F.pmod(F.xxhash64("wrapper"), F.lit(16)).alias("salt")).applyInPandas(_merge_all, schema)
     wrappers = scratch(salted.groupBy("host").applyInPandas(_merge_all, schema), "wrappers")
     # Both sides are plain scans, so that a host with very many pages can be split.
-    joined = pages.join(wrappers, "host", "left").select("k", "html", "wrapper")
+    template = scratch(wrappers.join(template_texts(pages.select("host", "html"), wrappers), "host", "left"), "template")
+    joined = pages.join(template, "host", "left").select("k", "html", "wrapper", "template")
     out = joined.mapInArrow(_extract, f"k {joined.schema['k'].dataType.simpleString()}, text string")
     return out.select(*[F.col("k")[c].alias(c) for c in keep], "text")
