@@ -22,9 +22,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays, that of the smallest doc_id; rows repeating its id go too."""
-    kept = simhash_anchors.near_duplicates(docs).where("kept").select(F.col("doc_id").alias("kid")).distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["kid"]), "left_semi").dropDuplicates(["doc_id"]).select(*COLUMNS)
+    """One document of each group of near copies stays, the first row of its smallest doc_id."""
+    return simhash_anchors.near_duplicates(docs, keep=COLUMNS).where("kept").select(*COLUMNS)
 
 
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,9 +35,9 @@ def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def source_mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A document stands as often as the mix takes it, in random order within its output shard."""
-    plan = mixture.mix_sources(docs).where(F.size("shards") > 0).select(F.col("doc_id").alias("pid"), "shards", "place")
-    rows = docs.join(plan, docs["doc_id"].eqNullSafe(plan["pid"]))
-    repeats = rows.select(*COLUMNS, F.posexplode("shards").alias("pass", "shard"), "place")
+    rows = scratch(docs.select(*COLUMNS, F.monotonically_increasing_id().alias("rid")), "mixed")  # ids may be null or repeat
+    plan = mixture.mix_sources(rows, keep=("rid",)).where(F.size("shards") > 0).select("rid", "shards", "place")
+    repeats = rows.join(plan, "rid").select(*COLUMNS, F.posexplode("shards").alias("pass", "shard"), "place")
     return repeats.repartition("shard", F.pmod("place", F.lit(64))).sortWithinPartitions("shard", F.xxhash64("place", "pass")).select(*COLUMNS)
 
 

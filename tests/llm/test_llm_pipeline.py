@@ -47,6 +47,23 @@ def test_stages_against_plain_version(spark, sf_dir):
         assert r.decoded_sha256 == hashlib.sha256(got[r.doc_id].text.encode()).hexdigest()
 
 
+def test_near_dedup_keeps_the_marked_rows(spark):
+    """Null and repeated ids with different texts are documents of their own; near copies go, whatever their id."""
+    text = lambda k: " ".join(f"w{k}x{i}" for i in range(60))
+    rows = [(None, text(0)), (None, text(1)), (7, text(2)), (7, text(3)), (8, text(3)), (2, text(4)), (9, text(4)), (9, text(5))]
+    docs = spark.createDataFrame([(i, t, "en", f"s{k}", len(t)) for k, (i, t) in enumerate(rows)], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    got = Counter((r.doc_id, r.text) for r in corpus_pipeline.near_dedup(spark, docs, None).collect())
+    assert got == Counter([(None, text(0)), (None, text(1)), (7, text(2)), (7, text(3)), (2, text(4)), (9, text(5))])
+
+
+def test_mixture_of_null_and_repeated_ids(spark):
+    """Each row stands as often as its own plan says, also where its id is another's."""
+    rows = [(None if k < 20 else 7, f"text {k} " + "word " * 30, "en", f"s{k % 2}", 5) for k in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    want = Counter({r.text: r.taken // r.size for r in mixture.mix_sources(docs, keep=("doc_id", "text")).collect() if r.taken})
+    assert Counter(r.text for r in corpus_pipeline.source_mixture(spark, docs, None).collect()) == want
+
+
 def test_pipeline_odd_rows(spark, odd_docs, labels, tmp_path):
     for name, df in (("documents", odd_docs), ("labels", labels)):
         df.write.parquet(f"{tmp_path}/odd/{name}.parquet")
