@@ -439,6 +439,20 @@ def test_template_among_many_siblings(spark, varying):
     assert got == want
 
 
+@pytest.mark.parametrize("case", ["two pages", "two layouts", "copies"])
+def test_template_by_pages_of_its_node(spark, case):
+    """Removal works from two pages on, on each layout of a host, and beside many copies of one article."""
+    body = lambda i, kind: f"<body><div class=top{kind}><p>Welcome to layout {kind}</p></div><div class=body{kind}><p>Varying text {i} of a page.</p><p>And more of it, {i * 7}</p></div></body>"
+    n = 2 if case == "two pages" else 30
+    rows = [(i, "http://h.example/", body(i, "b" if case == "two layouts" and i % 10 > 6 else "a")) for i in range(n)]
+    copies = [(100 + k, "http://h.example/", "<body><article><p>One text on many pages</p></article></body>") for k in range(60)] if case == "copies" else []
+    if copies:
+        rows = [(i, u, h.replace("class=body", "class=text").replace("<body>", "<body><article>").replace("</body>", "</article></body>")) for i, u, h in rows]
+    got = dict(wrapper_induction.extract_main_text(spark.createDataFrame(rows + copies, "page_id bigint, url string, html string")).select("page_id", "text").collect())
+    assert all(got[i] == f"Varying text {i} of a page.\nAnd more of it, {i * 7}" for i, _, _ in rows)
+    assert all(got[i] == "One text on many pages" for i, _, _ in copies)
+
+
 def test_copies_of_one_article_are_no_template(spark):
     rows = [(i, f"http://h.example/{i}", page(i, "<article><h1>Same</h1><p>One text on all pages</p></article>")) for i in range(30)]
     got = wrapper_induction.extract_main_text(spark.createDataFrame(rows, "page_id bigint, url string, html string")).select("text").distinct().collect()

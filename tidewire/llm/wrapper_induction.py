@@ -38,8 +38,8 @@ NOISE_TAGS = frozenset("nav footer aside form menu dialog".split())
 NOISE_WORDS = frozenset("ad adbox ads adsense adslot advert advertisement advertising adverts alert alertdialog banner breadcrumb breadcrumbs comentarios comment commentaires commentlist comments complementary consent contentinfo cookie cookies disclaimer discussion disqus footer gdpr header leaderboard login masthead menu modal nav navbar navigation newsletter notice notification pager pagination popup promo promoted related replies reply respond search share sharing sidebar sidenav signup skyscraper social sponsor sponsored subscribe toolbar topnav widget".split())
 CONTENT_TAGS = frozenset(("article", "main"))
 CLOSES_ITSELF = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "td": {"td", "th"}, "th": {"td", "th"}, "tr": {"tr", "td", "th"}}
-#: Least share of pages of a template text, least pages of a host, most nodes of a wrapper.
-TEMPLATE_SHARE, LEAST_PAGES, MOST_NODES = 0.85, 8, 2000
+#: Least share of pages of a template text, least pages of a node, most nodes of a wrapper.
+TEMPLATE_SHARE, LEAST_PAGES, MOST_NODES = 0.85, 2, 2000
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:\"[^\"]*\"|'[^']*'|[^\"'>])*)>", re.S)
 _NAMES = re.compile(r"""\b(class|id|role|hidden)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""", re.I)
@@ -327,14 +327,14 @@ def article_hash(root: Node) -> int:
 
 
 def page_texts(root: Node, wrapper: Slot) -> dict[tuple[int, int], int]:
-    """Characters of every text by its wrapper node, and under text 0 of node 0 the page itself."""
-    out: dict[tuple[int, int], int] = {(0, 0): 0}
+    """Characters of every text by its wrapper node, and under text 0 each node that the page has."""
+    out: dict[tuple[int, int], int] = {}
     for g, s in align(Group([root]), wrapper):
-        if s is not wrapper:
-            for node in g.members:
-                for text in node.texts():
-                    at = s.number, text_hash(text)
-                    out[at] = out.get(at, 0) + len(text)
+        out[s.number, 0] = 0
+        for node in g.members:
+            for text in node.texts():
+                at = s.number, text_hash(text)
+                out[at] = out.get(at, 0) + len(text)
     return out
 
 
@@ -460,15 +460,15 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def template_texts(pages: DataFrame, wrappers: DataFrame) -> DataFrame:
-    """For each host the texts, by node of its wrapper, that stand on at least TEMPLATE_SHARE of its pages.
+    """For each host the texts, by node of its wrapper, that stand on at least TEMPLATE_SHARE of the pages with that node.
 
     Pages with the same article count as one, so that copies don't make its text a template.
     """
     texts = pages.join(wrappers, "host").mapInArrow(_count, "host string, article bigint, node bigint, text bigint, chars bigint")
     once = texts.groupBy("host", "node", "text", "article").agg(F.sum("chars").alias("chars"))
-    counts = scratch(once.groupBy("host", "node", "text").agg(F.count("*").alias("n"), F.sum("chars").alias("chars")).where(F.col("n") >= LEAST_PAGES * TEMPLATE_SHARE), "texts")
-    whole = counts.where("node = 0").select("host", F.col("n").alias("pages"))
-    fixed = counts.where("node <> 0").join(whole, "host").where((F.col("pages") >= LEAST_PAGES) & (F.col("n") >= TEMPLATE_SHARE * F.col("pages")))
+    counts = scratch(once.groupBy("host", "node", "text").agg(F.count("*").alias("n"), F.sum("chars").alias("chars")).where(F.col("n") >= LEAST_PAGES), "texts")
+    having = counts.where("text = 0").select("host", "node", F.col("n").alias("pages"))
+    fixed = counts.where("text <> 0").join(having, ["host", "node"]).where(F.col("n") >= TEMPLATE_SHARE * F.col("pages"))
     return fixed.groupBy("host").agg(F.to_json(F.array_sort(F.collect_list(F.struct("node", "text", "chars")))).alias("template"))
 
 
