@@ -453,6 +453,27 @@ def test_template_by_pages_of_its_node(spark, case):
     assert all(got[i] == "One text on many pages" for i, _, _ in copies)
 
 
+def test_layouts_beyond_the_room_of_a_wrapper(spark, monkeypatch):
+    """Template texts and articles are found in nodes that a full wrapper has no place for."""
+    monkeypatch.setattr(wrapper_induction, "MOST_NODES", 12)
+    pages, want = [], {}
+    for i in range(60):
+        kind = i // 6
+        tag = "article" if kind % 2 else "div"
+        pages.append(f"<body><div class=top{kind}><p>Welcome to layout {kind}</p></div><{tag} class=body{kind}><p>Varying text {i} of a page.</p><p>And more of it, {i * 7}</p></{tag}></body>")
+        want[i] = f"Varying text {i} of a page.\nAnd more of it, {i * 7}"
+    first = wrapper_induction.page_wrapper(pages[0])
+    room = [12 - wrapper_induction.tree_size(first)]
+    for p in pages[1:]:
+        wrapper_induction.merge(first, wrapper_induction.page_wrapper(p), room)
+    wrapper = wrapper_induction.Slot.load(first.dump())
+    counts = Counter((at, t) for p in pages for at, t in wrapper_induction.page_texts(wrapper_induction.parse(p), wrapper))
+    template = [{"node": at, "text": t, "chars": 0} for (at, t), n in counts.items() if t and n >= 2 and n >= 0.85 * counts[at, 0]]
+    read = wrapper_induction.Wrappers().get(wrapper_induction.json.dumps(first.dump()), wrapper_induction.json.dumps(template))
+    assert any(s is None for p in pages for _, s, _ in wrapper_induction.align(wrapper_induction.Group([wrapper_induction.parse(p)]), read))
+    assert {i: wrapper_induction.extract(p, read) for i, p in enumerate(pages)} == want
+
+
 def test_copies_of_one_article_are_no_template(spark):
     rows = [(i, f"http://h.example/{i}", page(i, "<article><h1>Same</h1><p>One text on all pages</p></article>")) for i in range(30)]
     got = wrapper_induction.extract_main_text(spark.createDataFrame(rows, "page_id bigint, url string, html string")).select("text").distinct().collect()

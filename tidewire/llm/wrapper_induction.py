@@ -170,16 +170,18 @@ class Group:
 class Slot:
     """A wrapper node: pages that have it, characters of text and of links, children.
 
-    ``load`` numbers the nodes of the whole tree in order; ``template`` holds the template texts.
+    ``load`` numbers the nodes of the whole tree in order; ``template`` holds the template texts, and
+    ``loose``, in the root, those of nodes outside the wrapper, by their number.
     """
 
-    __slots__ = ("key", "pages", "chars", "links", "children", "number", "template", "fixed_chars")
+    __slots__ = ("key", "pages", "chars", "links", "children", "number", "template", "fixed_chars", "loose")
 
     def __init__(self, key: str):
         self.key, self.pages, self.chars, self.links = key, 0, 0, 0
         self.children: list[Slot] = []
         self.number, self.fixed_chars = 0, 0
         self.template: set[int] = set()
+        self.loose: dict[int, set[int]] = {}
 
     def dump(self) -> list:
         return [self.key, self.pages, self.chars, self.links, [c.dump() for c in self.children]]
@@ -301,11 +303,16 @@ def content_roots(wrapper: Slot) -> list[Slot]:
         at = best
 
 
-def align(g: Group, s: Slot) -> Iterator[tuple[Group, Slot]]:
-    """The nodes of a page with those of the wrapper they stand for."""
-    yield g, s
-    for i, j in match(g.children, s.children):
-        yield from align(g.children[i], s.children[j])
+def align(g: Group, s: Slot | None, number: int = 0) -> Iterator[tuple[Group, Slot | None, int]]:
+    """The nodes of a page with those of the wrapper they stand for, and their numbers.
+
+    A node outside the wrapper has none, and a number made of that of the node above and its key.
+    """
+    yield g, s, number
+    to = dict(match(g.children, s.children)) if s else {}
+    for i, child in enumerate(g.children):
+        at = s.children[to[i]] if i in to else None
+        yield from align(child, at, at.number if at else text_hash(f"{number}/{child.key}"))
 
 
 def article_hash(root: Node) -> int:
@@ -329,11 +336,11 @@ def article_hash(root: Node) -> int:
 def page_texts(root: Node, wrapper: Slot) -> dict[tuple[int, int], int]:
     """Characters of every text by its wrapper node, and under text 0 each node that the page has."""
     out: dict[tuple[int, int], int] = {}
-    for g, s in align(Group([root]), wrapper):
-        out[s.number, 0] = 0
+    for g, _, number in align(Group([root]), wrapper):
+        out[number, 0] = 0
         for node in g.members:
             for text in node.texts():
-                at = s.number, text_hash(text)
+                at = number, text_hash(text)
                 out[at] = out.get(at, 0) + len(text)
     return out
 
@@ -345,13 +352,19 @@ def extract(page: str | None, wrapper: Slot | None) -> str:
     skip: dict[int, set[int]] = {}
     regions: list[Node] = []
     if wrapper is not None:
-        roots = {id(r) for r in content_roots(wrapper)}
-        for g, s in align(group, wrapper):
+        roots = {id(r): r for r in content_roots(wrapper)}
+        own: list[Node] = []
+        for g, s, number in align(group, wrapper):
             if id(s) in roots:
                 regions.extend(g.members)
-            if s.template:
+            elif s is None and g.key.partition(".")[0] in CONTENT_TAGS:
+                own.extend(g.members)
+            if fixed := s.template if s else wrapper.loose.get(number):
                 for node in g.members:
-                    skip[id(node)] = s.template
+                    skip[id(node)] = fixed
+        if own:  # articles outside the wrapper count with its own, and before a region found by its text
+            named = all(r.key.partition(".")[0] in CONTENT_TAGS for r in roots.values())
+            regions = regions + own if named else own
     out: list[str] = []
 
     def emit(node: Node) -> None:
@@ -442,8 +455,11 @@ class Wrappers:
             out = self.seen[at] = Slot.load(json.loads(dump))
             nodes = list(out.nodes())
             for x in json.loads(template or "[]"):
-                nodes[x["node"]].template.add(x["text"])
-                nodes[x["node"]].fixed_chars += x["chars"]
+                if 0 <= x["node"] < len(nodes):
+                    nodes[x["node"]].template.add(x["text"])
+                    nodes[x["node"]].fixed_chars += x["chars"]
+                else:
+                    out.loose.setdefault(x["node"], set()).add(x["text"])
         return self.seen[at]
 
 
