@@ -45,7 +45,7 @@ def fingerprint(text: str | None) -> int:
 def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         fp = np.fromiter(map(fingerprint, batch.column("t").to_pylist()), np.uint64, batch.num_rows)
-        yield pa.RecordBatch.from_arrays([batch.column("k"), batch.column("id"), batch.column("rid"), pa.array(fp.view(np.int64))], ["k", "id", "rid", "fp"])
+        yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("rid"), pa.array(fp.view(np.int64))], ["id", "rid", "fp"])
 
 
 def _syndrome(x: np.ndarray) -> np.ndarray:
@@ -163,10 +163,11 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     zero, linked like any other; a null id never names a component, and a component of null ids has
     a null one. Repeated rows share a fingerprint. An empty table gives an empty result.
     """
-    keep = (id_col,) if keep is None else keep
-    docs = df.select(F.struct(*[F.col(c) for c in keep]).alias("k"), F.col(id_col).alias("id"), F.monotonically_increasing_id().alias("rid"), F.col(text_col).cast("string").alias("t"))
-    kind, kept = (docs.schema[c].dataType.simpleString() for c in ("id", "k"))
-    prints = scratch(docs.mapInArrow(_fingerprints, f"k {kept}, id {kind}, rid bigint, fp bigint"), "prints")
+    docs = df.select(*([] if keep is None else [F.struct(*[F.col(c) for c in keep]).alias("k")]), F.col(id_col).alias("id"), F.monotonically_increasing_id().alias("rid"), F.col(text_col).cast("string").alias("t"))
+    kind = docs.schema["id"].dataType.simpleString()
+    if keep is not None:  # written once, so that a row keeps its number
+        docs = scratch(docs.drop("t"), "numbered").withColumn("t", F.col("k")[text_col].cast("string")) if text_col in keep else scratch(docs, "numbered")
+    prints = scratch(docs.select("id", "rid", "t").mapInArrow(_fingerprints, f"id {kind}, rid bigint, fp bigint"), "prints")
     first = F.min(F.when(F.col("id").isNotNull(), F.struct("id", "rid")))
     distinct = scratch(prints.groupBy("fp").agg(first.alias("first"), F.min("rid").alias("rid")), "distinct")
     spread = distinct.select("fp").mapInArrow(_to_anchors, "anchor bigint, fp bigint")
@@ -178,4 +179,8 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     # Plain scans on both sides: one component may hold a third of all fingerprints, one fingerprint of all rows.
     named = scratch(member.join(best, "root").select("fp", F.col("first.id").alias("component_id"), F.coalesce("first.rid", "rid").alias("keeper")), "named")
     out = prints.join(named, "fp")
-    return out.select(*[F.col("k")[c].alias(c) for c in keep], F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", (F.col("rid") == F.col("keeper")).alias("kept"))
+    out = out.select("id", "rid", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", (F.col("rid") == F.col("keeper")).alias("kept"))
+    if keep is None:
+        return out.select(F.col("id").alias(id_col), "fingerprint", "component_id", "kept")
+    # The texts come last, by row number, and only for the rows that a filter on the marks leaves.
+    return docs.select("k", "rid").join(out.drop("id"), "rid").select(*[F.col("k")[c].alias(c) for c in keep], "fingerprint", "component_id", "kept")
