@@ -34,6 +34,13 @@ def test_query_matches_sql(spark, duck, sf_dir, name):
     assert comparable(got.select(cols).collect()) == comparable(want.select(*[f'"{c}"' for c in cols]).fetchall())
 
 
+def test_match_keys_of_whole_texts(spark, tmp_path):
+    texts = {0: "word, " * 100 + "Cafe\u0301 ÀÉÎ - Straße!", 1: "x" * 300 + " İÑ_1", 2: None, 3: "short"}
+    spark.createDataFrame(list(texts.items()), "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = dict(catalog.QUERIES["match_keys_whole"](spark, str(tmp_path)).select("doc_id", "key").collect())
+    assert got == {0: "word " * 100 + "cafe aei straße", 1: "x" * 300 + " in_1", 2: "", 3: "short"}
+
+
 def test_entry_points(spark, sf_dir):
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
     assert __spark_entry__.entry(spark).count() > 0

@@ -144,6 +144,11 @@ def match_keys(spark, d):
     return _t(spark, d, "documents").select("doc_id", text.normalize_for_match(F.substring("text", 1, 200)).alias("key"))
 
 
+@_query()
+def match_keys_whole(spark, d):
+    return _t(spark, d, "documents").select("doc_id", text.normalize_for_match(F.col("text")).alias("key"))
+
+
 @_query("SELECT min(doc_id) AS doc_id, text FROM documents GROUP BY text")
 def dedup_keep_first(spark, d):
     return curate.split_duplicates(_t(spark, d, "documents"), ["text"], "doc_id")[0].select("doc_id", "text")
