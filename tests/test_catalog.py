@@ -41,6 +41,13 @@ def test_match_keys_of_whole_texts(spark, tmp_path):
     assert got == {0: "word " * 100 + "cafe aei straße", 1: "x" * 300 + " in_1", 2: "", 3: "short"}
 
 
+def test_translation_up_to_the_cap_of_the_reference(spark, tmp_path):
+    texts = {0: "mot " * 150 + "fin", 1: "a" * 900, 2: "petit texte"}
+    spark.createDataFrame([(i, t, "fr") for i, t in texts.items()] + [(3, "English text", "en")], "doc_id bigint, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = dict(catalog.QUERIES["translate_cascade_whole"](spark, str(tmp_path)).select("doc_id", "maintext_translated").collect())
+    assert got == {i: t[:800].upper() for i, t in texts.items()} | {3: None}
+
+
 def test_entry_points(spark, sf_dir):
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
     assert __spark_entry__.entry(spark).count() > 0

@@ -285,6 +285,12 @@ def translate_cascade(spark, d):
     return translate.translate_articles(docs, "fr", lambda: (lambda items: [x.upper() for x in items], None), cap=80).select("doc_id", "maintext_translated")
 
 
+@_query()
+def translate_cascade_whole(spark, d):
+    docs = _t(spark, d, "documents").select("doc_id", F.lit(True).alias("include"), F.col("lang").alias("language"), F.concat(F.lit("Title "), "doc_id").alias("title"), F.col("text").alias("maintext"), *[F.lit(None).cast("string").alias(c) for c in ("title_translated", "maintext_translated", "language_translated")])
+    return translate.translate_articles(docs, "fr", lambda: (lambda items: [x.upper() for x in items], None)).select("doc_id", "maintext_translated")
+
+
 @_query("""SELECT doc_id, coalesce(source, '') NOT IN ('src1', 'src2') AS outside, source IN ('src1', 'src3') AS inside, text <> '' AND source IS NOT NULL AS filled FROM documents""")
 def predicates(spark, d):
     return _t(spark, d, "documents").select("doc_id", filters.not_among(F.col("source"), ["src1", "src2"]).alias("outside"), filters.among(F.col("source"), ["src1", "src3"]).alias("inside"), (filters.filled(F.col("text")) & filters.present(F.col("source"))).alias("filled"))
