@@ -21,10 +21,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder of ``spark.checkpoint.dir``; a folder of this process only where that is unset."""
+    """The shared folder of ``spark.checkpoint.dir``; a folder of this process only where that is unset and all runs in one process."""
     shared = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if shared:
         return shared.rstrip("/")
+    master = spark.sparkContext.master
+    if not master.startswith("local") or master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if "dir" not in _own_dir:
         _own_dir["dir"] = (keep := tempfile.TemporaryDirectory(prefix="tidewire-")).name
         atexit.register(keep.cleanup)
