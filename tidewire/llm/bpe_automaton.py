@@ -257,7 +257,9 @@ _encoders: dict[int, Encoder] = {}
 def encode_decode(df: DataFrame, path: str, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """One row per input row: the columns of ``keep``, ``n_tokens``, ``ids`` (joined by commas) and ``decoded``.
 
-    Null texts are empty and have no tokens. Each row stands alone: no shuffle, bounded caches.
+    Null and empty texts have no tokens; texts of any length are encoded whole. Each row stands
+    alone, repeated ones too: no shuffle, bounded caches. Other columns are left out, so clashing names
+    do no harm; an empty table gives an empty result.
     """
     vocab, arrays = load_automaton(df.sparkSession, path)
     shared = df.sparkSession.sparkContext.broadcast((vocab, arrays))  # fixed by the vocabulary, not by the data

@@ -229,13 +229,19 @@ def fit_quality_rules(docs: DataFrame, labels: DataFrame, sample_rows: int = 12_
     chosen = label_sample(labels, "quality", sample_rows)
     rows = text_statistics(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id"), keep=("doc_id", "label"))
     cols = features()
-    got = rows.where(~base_failed()).select("doc_id", "label", *[cols[f].alias(f) for f in FEATURES]).collect()
+    numbers = rows.where(~base_failed()).select("doc_id", "label", F.struct(*[cols[f].alias(f) for f in FEATURES]).alias("x"))
+    got = numbers.groupBy("doc_id", "label").agg(F.min("x").alias("x")).select("doc_id", "label", "x.*").collect()  # a repeated doc_id counts once
     got.sort(key=lambda r: r["doc_id"])
     x = {f: np.array([r[f] for r in got], float) for f in FEATURES}
     return learn_decision_list(x, np.array([r["label"] == 1 for r in got], bool), np.array([r["doc_id"] for r in got]))
 
 
 def apply_quality_rules(docs: DataFrame, rules: DecisionList, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """Statistics, ``base_failed`` and ``kept`` of every document."""
+    """One row per input row: the columns of ``keep``, statistics, ``base_failed`` and ``kept``.
+
+    Null and empty texts have zeros and fail the base rule; texts of any length are read whole;
+    repeated rows are judged each, and alike; columns whose names clash with those made here are left
+    out unless ``keep`` asks for them; an empty table gives an empty result.
+    """
     stats = text_statistics(docs, keep=keep)
     return stats.withColumn("base_failed", base_failed()).withColumn("kept", ~F.col("base_failed") & rules.expression())

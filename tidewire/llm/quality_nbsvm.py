@@ -68,7 +68,8 @@ def score_quality(docs: DataFrame, labels: DataFrame, modulus: int = 3, held_out
     """doc_id, held_out, score and predicted of every document.
 
     Labels of held-out rows are never read into the fit. Null and empty texts get the score of the
-    bias; repeated rows get equal scores; an empty table gives an empty result.
+    bias; texts of any length are read whole; repeated rows get equal scores; other columns are not
+    read, so clashing names do no harm; an empty table gives an empty result.
     """
     r, w, b = fit(docs, labels, fold(modulus) != held_out, sample_rows)
     out = score_texts(docs, w * r, b, QualityFeatures, norm=r, sharpness=4.0)

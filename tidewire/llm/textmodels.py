@@ -11,11 +11,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewire.llm.common import label_sample
+from tidewire.llm.common import label_sample, scratch
 
 _TOKEN = re.compile(r"\w+|[^\w\s]+")
 #: Tokens handled at once, so that one very long text needs no more memory than many short ones.
 _CHUNK = 1 << 16
+#: Tokens before a chunk that are read with it: two that n-grams may reach, and two that these are compared with.
+_LEAD = 4
+#: The bound of what a fit gathers on the driver.
+SAMPLE_BYTES = 96 << 20
 
 
 class _Tokens(dict):
@@ -31,7 +35,7 @@ class _Tokens(dict):
         return k
 
     def numbers(self, tokens: list[str]) -> np.ndarray:
-        """One row for each function, one column for each token; at most ``_CHUNK`` + 2 tokens."""
+        """One row for each function, one column for each token; at most ``_CHUNK`` + ``_LEAD`` tokens."""
         if len(self) + len(tokens) > self.rows.shape[1]:
             self.clear()
         return self.rows[:, np.fromiter(map(self.__getitem__, tokens), np.int64, len(tokens))]
@@ -40,7 +44,7 @@ class _Tokens(dict):
 def _shape(token: str) -> int:
     """Case pattern of a word, or the punctuation itself."""
     if not (token[0].isalnum() or token[0] == "_"):
-        return crc32(token[:8].encode()) | 1
+        return crc32(token.encode("utf-8", "surrogatepass")) | 1
     if token.isdigit():
         return 2
     return 4 if token.islower() else 6 if token.istitle() else 8 if token.isupper() and len(token) > 1 else 10
@@ -62,10 +66,11 @@ class QualityFeatures:
     def __init__(self) -> None:
         self.tokens = _Tokens(lambda t: crc32(t.lower().encode("utf-8", "surrogatepass")), _shape)
 
-    def __call__(self, tokens: list[str]) -> np.ndarray:
+    def __call__(self, tokens: list[str], skip: int = 0) -> np.ndarray:
         w, s = self.tokens.numbers(tokens)
         for gap in (1, 2):
             s[gap:][(w[gap:] == w[:-gap]) & (s[gap:] < 16)] = 12
+        w, s = w[skip:], s[skip:]
         return np.concatenate([_mix(w, salt=1, bits=self.bits), _mix(w[:-1], w[1:], salt=2, bits=self.bits), _mix(s, salt=3, bits=self.bits), _mix(s[:-1], s[1:], salt=4, bits=self.bits), _mix(s[:-2], s[1:-1], s[2:], salt=5, bits=self.bits)])
 
 
@@ -78,25 +83,29 @@ class ToxicFeatures:
         crc = lambda t: crc32(t.encode("utf-8", "surrogatepass"))
         self.tokens = _Tokens(lambda t: crc(t.lower()), lambda t: crc(t.lower()[:4]), lambda t: crc(t.lower()[:5]))
 
-    def __call__(self, tokens: list[str]) -> np.ndarray:
-        w, a, b = self.tokens.numbers(tokens)
+    def __call__(self, tokens: list[str], skip: int = 0) -> np.ndarray:
+        w, a, b = self.tokens.numbers(tokens[skip:])
         return np.concatenate([_mix(w, salt=1, bits=self.bits), _mix(a, salt=2, bits=self.bits), _mix(b, salt=3, bits=self.bits), _mix(w[:-1], w[1:], salt=4, bits=self.bits), _mix(w[:-2], w[2:], salt=5, bits=self.bits)])
 
 
-def indices(text: str | None, features: Callable[[list[str]], np.ndarray], among: np.ndarray | None = None) -> np.ndarray:
-    """Distinct feature numbers of a whole text, if given only those marked in ``among``; none for null and empty texts."""
+def indices(text: str | None, features: Callable[[list[str], int], np.ndarray], among: np.ndarray | None = None) -> np.ndarray:
+    """Distinct feature numbers of a whole text, if given only those marked in ``among``; none for null and empty texts.
+
+    Chunks give what the whole text would: the tokens at the start of one are marked by those before them.
+    """
     tokens = _TOKEN.findall(text or "")
-    parts = [features(tokens[max(0, k - 2) : k + _CHUNK]) for k in range(0, len(tokens), _CHUNK)]
+    parts = [features(tokens[max(0, k - _LEAD) : k + _CHUNK], max(0, min(k, _LEAD) - 2)) for k in range(0, len(tokens), _CHUNK)]
     if among is not None:  # sorting out the few that count is cheaper than sorting all
         parts = [p[among[p]] for p in parts]
     return np.unique(np.concatenate(parts)).astype(np.int32) if parts else np.empty(0, np.int32)
 
 
-def training_set(docs: DataFrame, labels: DataFrame, label: str, learn: Column, make: type, sample_rows: int) -> tuple[np.ndarray, list[np.ndarray]]:
+def training_set(docs: DataFrame, labels: DataFrame, label: str, learn: Column, make: type, sample_rows: int, sample_bytes: int = SAMPLE_BYTES) -> tuple[np.ndarray, list[np.ndarray]]:
     """Labels (0, 1) and feature numbers of at most ``sample_rows`` labelled documents, gathered on the driver.
 
-    The sample takes the smallest hashes of doc_id among the labelled rows that ``learn`` admits,
-    and is the same in every run. Features are made on the executors.
+    The sample takes the smallest hashes of doc_id among the labelled rows that ``learn`` admits, as
+    far as their features fit into ``sample_bytes``, and is the same in every run. A doc_id with
+    several texts counts once. Features are made on the executors.
     """
     chosen = label_sample(labels, label, sample_rows, learn)
     rows = docs.select("doc_id", F.col("text").cast("string").alias("t")).join(F.broadcast(chosen), "doc_id")
@@ -104,11 +113,21 @@ def training_set(docs: DataFrame, labels: DataFrame, label: str, learn: Column,
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         features = make()
         for batch in batches:
-            x = [indices(t, features).tobytes() for t in batch.column("t").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("label"), pa.array(x, pa.binary())], ["doc_id", "label", "x"])
-
-    got = rows.select("doc_id", "label", "t").mapInArrow(work, "doc_id bigint, label int, x binary").collect()
-    got.sort(key=lambda r: (r["doc_id"], bytes(r["x"])))
+            for k in range(batch.num_rows):  # a row alone: the features of very long texts need not fit together
+                x = indices(batch.column("t")[k].as_py(), features).tobytes()
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(k, 1), batch.column("label").slice(k, 1), pa.array([x], pa.binary())], ["doc_id", "label", "x"])
+
+    made = rows.select("doc_id", "label", "t").mapInArrow(work, "doc_id bigint, label int, x binary")
+    made = scratch(made.groupBy("doc_id", "label").agg(F.min("x").alias("x")), "features")
+    sizes = made.select(F.xxhash64("doc_id").alias("h"), F.length("x").alias("n")).collect()  # one short row a sampled document
+    room, last = sample_bytes, -(2**63)
+    for h, n in sorted(map(tuple, sizes)):
+        room -= n
+        if room < 0:
+            break
+        last = h
+    got = made.where(F.xxhash64("doc_id") <= F.lit(last)).collect()
+    got.sort(key=lambda r: r["doc_id"])
     return np.array([r["label"] for r in got], np.int64), [np.frombuffer(bytes(r["x"]), np.int32) for r in got]
 
 

@@ -47,7 +47,8 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, modulus: int = 5, held_ou
     """doc_id, held_out, score and predicted of every document.
 
     Labels of held-out rows are never read into the fit. Null and empty texts get the score of the
-    bias; repeated rows get equal scores; an empty table gives an empty result. Without both classes
+    bias; texts of any length are read whole; repeated rows get equal scores; other columns are not
+    read, so clashing names do no harm; an empty table gives an empty result. Without both classes
     in the sample the model is constant.
     """
     y, x = training_set(docs, labels, "toxic", fold(modulus) != held_out, ToxicFeatures, sample_rows)
