@@ -6,6 +6,7 @@ import atexit
 import tempfile
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,6 +52,22 @@ def scratch(df: DataFrame, label: str) -> DataFrame:
     return out
 
 
+def numbered(df: DataFrame, label: str) -> DataFrame:
+    """``df`` with ``rid``, a number of each row that stays the same however often the plan is run.
+
+    Rows that come one by one from files are named by their file and place, and nothing is written.
+    Other rows are written once, with a running number.
+    """
+    nodes = [line.lstrip(" :+-").split(" ")[0] for line in df._jdf.queryExecution().analyzed().toString().splitlines()]
+    if set(nodes) <= {"Project", "Filter", "SubqueryAlias", "Relation"} and nodes.count("Relation") == 1 and "Relation" in nodes[-1:]:
+        try:
+            file = F.concat_ws("#", F.col("_metadata.file_path"), F.col("_metadata.row_index").cast("string"))
+            return df.select("*", F.unhex(F.md5(file)).alias("rid"))
+        except AnalysisException:  # files of another format
+            pass
+    return scratch(df.withColumn("rid", F.monotonically_increasing_id()), label)
+
+
 def drop_scratch(df: DataFrame) -> None:
     """Remove a scratch table that no later plan reads."""
     path = getattr(df, "_scratch_path", None)

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewire.llm.common import scratch
+from tidewire.llm.common import numbered, scratch
 from tidewire.llm.components import connected_components
 
 SHINGLE, SEED, MOST_BITS = 3, 42, 3
@@ -159,15 +159,16 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """One row per input row: the columns of ``keep``, or else ``id_col``, and ``fingerprint``, ``component_id`` and ``kept``.
 
     ``component_id`` is the smallest id reachable over links of at most 3 differing bits; ``kept``
-    marks one row of each component, the first with that id. Null and empty texts have fingerprint
+    marks one row of each component, one with that id. Null and empty texts have fingerprint
     zero, linked like any other; a null id never names a component, and a component of null ids has
     a null one. Repeated rows share a fingerprint. An empty table gives an empty result.
     """
-    docs = df.select(*([] if keep is None else [F.struct(*[F.col(c) for c in keep]).alias("k")]), F.col(id_col).alias("id"), F.monotonically_increasing_id().alias("rid"), F.col(text_col).cast("string").alias("t"))
-    kind = docs.schema["id"].dataType.simpleString()
-    if keep is not None:  # written once, so that a row keeps its number
-        docs = scratch(docs.drop("t"), "numbered").withColumn("t", F.col("k")[text_col].cast("string")) if text_col in keep else scratch(docs, "numbered")
-    prints = scratch(docs.select("id", "rid", "t").mapInArrow(_fingerprints, f"id {kind}, rid bigint, fp bigint"), "prints")
+    if keep is None:
+        docs = df.select(F.col(id_col).alias("id"), F.monotonically_increasing_id().alias("rid"), F.col(text_col).cast("string").alias("t"))
+    else:
+        docs = numbered(df.select(F.struct(*[F.col(c) for c in keep]).alias("k"), F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("t")), "numbered")
+    kind, number = (docs.schema[c].dataType.simpleString() for c in ("id", "rid"))
+    prints = scratch(docs.select("id", "rid", "t").mapInArrow(_fingerprints, f"id {kind}, rid {number}, fp bigint"), "prints")
     first = F.min(F.when(F.col("id").isNotNull(), F.struct("id", "rid")))
     distinct = scratch(prints.groupBy("fp").agg(first.alias("first"), F.min("rid").alias("rid")), "distinct")
     spread = distinct.select("fp").mapInArrow(_to_anchors, "anchor bigint, fp bigint")
