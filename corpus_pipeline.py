@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewire.llm import bpe_automaton, decision_list, mixture, secrets, simhash_anchors
-from tidewire.llm.common import scratch, table
+from tidewire.llm.common import numbered, scratch, table
 from tidewire.llm.queries import vocabulary_path
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -35,7 +35,7 @@ def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def source_mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A document stands as often as the mix takes it, in random order within its output shard."""
-    rows = scratch(docs.select(*COLUMNS, F.monotonically_increasing_id().alias("rid")), "mixed")  # ids may be null or repeat
+    rows = numbered(docs.select(*COLUMNS), "mixed")  # ids may be null or repeat
     plan = mixture.mix_sources(rows, keep=("rid",)).where(F.size("shards") > 0).select("rid", "shards", "place")
     repeats = rows.join(plan, "rid").select(*COLUMNS, F.posexplode("shards").alias("pass", "shard"), "place")
     return repeats.repartition("shard", F.pmod("place", F.lit(64))).sortWithinPartitions("shard", F.xxhash64("place", "pass")).select(*COLUMNS)
