@@ -29,11 +29,11 @@ def sentences(text: str) -> list[str]:
 
 
 def runs(pieces: list[str]) -> tuple[np.ndarray, np.ndarray, list[int], list[int]]:
-    """Starts and ends (exclusive) of the runs, and two 64-bit halves of their hashes."""
-    from xxhash import xxh3_128_intdigest, xxh64_digest
+    """Starts and ends (exclusive) of the runs, and two 64-bit halves of their hashes, which are made of 128-bit digests of the sentences."""
+    from xxhash import xxh3_128_digest, xxh3_128_intdigest
 
     split = [p.encode("utf-8", "surrogatepass").lower().split() for p in pieces]
-    digests = b"".join([xxh64_digest(b" ".join(w)) for w in split])
+    digests = b"".join([xxh3_128_digest(b" ".join(w)) for w in split])
     words = np.concatenate([[0], np.cumsum([len(w) for w in split])]).astype(np.int64)
     n = len(pieces)
     at = np.arange(n)
@@ -43,7 +43,7 @@ def runs(pieces: list[str]) -> tuple[np.ndarray, np.ndarray, list[int], list[int
     forward, backward = ends <= n, starts >= 0
     code = np.unique(np.concatenate([at[forward] * (n + 1) + ends[forward], starts[backward] * (n + 1) + at[backward] + 1]))
     a, b = code // (n + 1), code % (n + 1)
-    h = [xxh3_128_intdigest(digests[8 * i : 8 * j]) for i, j in zip(a.tolist(), b.tolist())]
+    h = [xxh3_128_intdigest(digests[16 * i : 16 * j]) for i, j in zip(a.tolist(), b.tolist())]
     signed = lambda x: x - (1 << 64) if x >> 63 else x
     return a, b, [signed(x >> 64) for x in h], [signed(x & 0xFFFFFFFFFFFFFFFF) for x in h]
 
@@ -93,7 +93,8 @@ def remove_repeated_spans(df: DataFrame, id_col: str = "doc_id", text_col: str =
 
     The first occurrence of a run is the one of the smallest id (null first), then text hash, then
     place. Null and empty texts have no sentences and stay empty. Rows that repeat both id and text
-    are one document and keep the same sentences. An empty table gives an empty result.
+    are one document and keep the same sentences. Texts of any length are read whole. Other columns
+    are left out, so clashing names do no harm. An empty table gives an empty result.
     """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     docs = df.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("th"), text.alias("t"))
