@@ -116,3 +116,24 @@ def test_row_numbers(spark, sf_dir):
     for df in (docs.union(docs), docs.select(F.explode(F.split("text", " ")).alias("w")), docs.join(docs.select("doc_id"), "doc_id"), spark.createDataFrame([(1,), (1,)], "a int")):
         out = common.numbered(df, "x")
         assert out.select("rid").distinct().count() == out.count() == df.count()
+
+
+@pytest.mark.parametrize("bound", [1 << 16, 6])
+def test_hot_anchors_keep_all_links(spark, monkeypatch, bound):
+    """Anchors that are split give the same components as whole ones, and as comparing all with all."""
+    from test_llm_operators import plain_components
+
+    from tidewire.llm import simhash_anchors
+    from tidewire.llm.components import connected_components
+
+    monkeypatch.setattr(simhash_anchors, "HOT_ANCHOR", bound)
+    rng = np.random.default_rng(5)
+    base = rng.integers(0, 2**62, 6, dtype=np.uint64)
+    fp = np.concatenate([base[rng.integers(0, 6, 500)] ^ (np.uint64(1) << rng.integers(0, 64, 500).astype(np.uint64)) ^ (np.uint64(1) << rng.integers(0, 64, 500).astype(np.uint64)) ^ (np.uint64(1) << rng.integers(32, 64, 500).astype(np.uint64)), (base[0] & np.uint64(0xFFFFFFFF)) | (rng.integers(0, 2**32, 300, dtype=np.uint64) << np.uint64(32))])
+    fp = np.unique(fp)
+    df = spark.createDataFrame([(int(x),) for x in fp.view(np.int64)], "fp bigint")
+    links = simhash_anchors.links_of(df)
+    root = {int(x): int(x) for x in fp.view(np.int64)} | dict(connected_components(links).collect())
+    want = plain_components([int(x) for x in fp])
+    pairs = {(want[int(x)], root[int(np.uint64(x).view(np.int64))]) for x in fp}
+    assert len(pairs) == len(set(want.values())) == len(set(root.values())) < len(fp)

@@ -6,13 +6,14 @@ word within radius 1 (the half's last bit stays out of the key). A fingerprint g
 within covering radius plus threshold, 1 + 1 = 2: its own anchor, and up to 15 at distance 2. The
 own anchor of one end of a link is thus among the anchors of the other, so each link meets there.
 Equal fingerprints are merged first, and each anchor emits a spanning forest of its links instead of
-all pairs.
+all pairs. An anchor of very many fingerprints is split further: its links differ in at most 3 bits of
+the other half, and so agree in at least 3 of 6 parts of it; each choice of 3 parts makes a key.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import repeat
+from itertools import combinations, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -25,6 +26,11 @@ from tidewire.llm.components import connected_components
 SHINGLE, SEED, MOST_BITS = 3, 42, 3
 #: Groups above this size compare by 16-bit blocks within the anchor instead of all with all.
 SMALL_GROUP = 2048
+#: Anchors above this size are split.
+HOT_ANCHOR = 1 << 16
+#: The six parts of a 32-bit half, and the masks of all choices of three of them.
+_PARTS = [0x1F, 0x3E0, 0x7C00, 0xF8000, 0x3F00000, 0xFC000000]
+_CHOICES = np.array([sum(c) for c in combinations(_PARTS, 3)], np.uint64)
 
 
 def fingerprint(text: str | None) -> int:
@@ -89,6 +95,19 @@ def _to_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(part[rows])], ["anchor", "fp"])
 
 
+def _split_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Keys of an anchor and three parts of the half that it leaves open; keys that fall together by chance only compare more."""
+    for batch in batches:
+        anchor, fp = (batch.column(c).to_numpy(zero_copy_only=False).view(np.uint64) for c in ("anchor", "fp"))
+        for k in range(0, len(fp), 1 << 14):
+            a, f = anchor[k : k + (1 << 14)], fp[k : k + (1 << 14)]
+            other = np.where(a >> np.uint64(31) & np.uint64(1), f & np.uint64(0xFFFFFFFF), f >> np.uint64(32))
+            h = (a[:, None] + np.arange(1, len(_CHOICES) + 1, dtype=np.uint64)[None, :] * np.uint64(1 << 32)) * np.uint64(0x9E3779B97F4A7C15)
+            h = ((h ^ (h >> np.uint64(29))) + (other[:, None] & _CHOICES[None, :])) * np.uint64(0xBF58476D1CE4E5B9)
+            h ^= h >> np.uint64(32)
+            yield pa.RecordBatch.from_arrays([pa.array(h.ravel().view(np.int64)), pa.array(np.repeat(f, len(_CHOICES)).view(np.int64))], ["anchor", "fp"])
+
+
 def _roots(parent: np.ndarray, x: np.ndarray) -> np.ndarray:
     x = parent[x]
     while not np.array_equal(y := parent[x], x):
@@ -138,21 +157,37 @@ def forest(key: np.ndarray, fp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def _forests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows come sorted by anchor; an anchor that a batch may cut waits for the next one."""
-    key, fp = np.empty(0, np.int64), np.empty(0, np.uint64)
+    keys: list[np.ndarray] = []
+    prints: list[np.ndarray] = []
+    held = 0
 
     def out(k: np.ndarray, f: np.ndarray) -> pa.RecordBatch:
         a, b = forest(k, f)
         return pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], ["a", "b"])
 
     for batch in batches:
-        key = np.concatenate([key, batch.column("anchor").to_numpy(zero_copy_only=False)])
-        fp = np.concatenate([fp, batch.column("fp").to_numpy(zero_copy_only=False).view(np.uint64)])
-        if len(key) > 1 << 16 and key[0] != key[-1]:
+        key, fp = batch.column("anchor").to_numpy(zero_copy_only=False), batch.column("fp").to_numpy(zero_copy_only=False).view(np.uint64)
+        if not len(key):
+            continue
+        if held > 1 << 16 and keys[0][0] != key[-1]:
             cut = int(np.searchsorted(key, key[-1], side="left"))
-            yield out(key[:cut], fp[:cut])
-            key, fp = key[cut:], fp[cut:]
-    if len(key):
-        yield out(key, fp)
+            yield out(np.concatenate([*keys, key[:cut]]), np.concatenate([*prints, fp[:cut]]))
+            key, fp, keys, prints, held = key[cut:], fp[cut:], [], [], 0
+        keys.append(key)
+        prints.append(fp)
+        held += len(key)
+    if held:
+        yield out(np.concatenate(keys), np.concatenate(prints))
+
+
+def links_of(distinct: DataFrame) -> DataFrame:
+    """A forest of the links between fingerprints (column ``fp``), by anchor, and by parts of hot anchors."""
+    key = "anchor bigint, fp bigint"
+    spread = distinct.select("fp").mapInArrow(_to_anchors, key)
+    hot = scratch(spread.groupBy("anchor").agg(F.count("*").alias("n")).where(F.col("n") > HOT_ANCHOR).select("anchor"), "hot")
+    if not hot.isEmpty():
+        spread = spread.join(hot, "anchor", "left_anti").unionByName(spread.join(hot, "anchor", "left_semi").mapInArrow(_split_anchors, key))
+    return spread.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(_forests, "a bigint, b bigint").distinct()
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] | None = None) -> DataFrame:
@@ -161,7 +196,8 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     ``component_id`` is the smallest id reachable over links of at most 3 differing bits; ``kept``
     marks one row of each component, one with that id. Null and empty texts have fingerprint
     zero, linked like any other; a null id never names a component, and a component of null ids has
-    a null one. Repeated rows share a fingerprint. An empty table gives an empty result.
+    a null one. Repeated rows share a fingerprint. Texts of any length are read whole. Other columns
+    are left out unless ``keep`` asks for them. An empty table gives an empty result.
     """
     if keep is None:
         docs = df.select(F.col(id_col).alias("id"), F.monotonically_increasing_id().alias("rid"), F.col(text_col).cast("string").alias("t"))
@@ -171,9 +207,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     prints = scratch(docs.select("id", "rid", "t").mapInArrow(_fingerprints, f"id {kind}, rid {number}, fp bigint"), "prints")
     first = F.min(F.when(F.col("id").isNotNull(), F.struct("id", "rid")))
     distinct = scratch(prints.groupBy("fp").agg(first.alias("first"), F.min("rid").alias("rid")), "distinct")
-    spread = distinct.select("fp").mapInArrow(_to_anchors, "anchor bigint, fp bigint")
-    links = spread.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(_forests, "a bigint, b bigint").distinct()
-    roots = connected_components(links)
+    roots = connected_components(links_of(distinct))
     member = distinct.join(roots, distinct["fp"] == roots["node"], "left").select("fp", F.coalesce("root", "fp").alias("root"), "first", "rid")
     best = scratch(member.groupBy("root").agg(F.min("first").alias("first"), F.min("rid").alias("rid")), "best")
     member = scratch(member.select("fp", "root"), "member")
