@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from tidewire.llm.mixture import BLOCK_DOCS
-from tidewire.llm.secrets import ACCESS, ASSIGN, ASSIGN_CHARS, FEW_OWNERS, HEX
+from tidewire.llm.secrets import ACCESS, ASSIGN, ASSIGN_CHARS, FEW_OWNERS, HEX, MANY_REPOS
 from tidewire.llm.sentence_spans import LEAST_WORDS, LONE_WORDS
 
 _ASSIGN = ASSIGN.replace("'", "''")
@@ -29,6 +29,12 @@ SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_acc
 FROM d LEFT JOIN g USING (rid)
 """
 
+#: The same candidates, counted by distinct owners and repositories.
+SECRET_OWNERSHIP = SECRET_SCANS.split(",\no AS")[0] + rf""",
+h AS (SELECT sha256(v) AS hash, count(DISTINCT coalesce(source, chr(1))) AS n_owners, count(DISTINCT coalesce(CAST(doc_id AS VARCHAR), chr(1))) AS n_repos FROM c GROUP BY v)
+SELECT hash, n_owners, n_repos, CASE WHEN n_owners > {FEW_OWNERS} THEN 'example' WHEN n_repos > {MANY_REPOS} THEN 'copied' ELSE 'live' END AS verdict FROM h
+"""
+
 _WORDS = r"CASE WHEN trim(t, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) = '' THEN 0 ELSE len(string_split_regex(trim(t, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), '[\x20\x09-\x0D]+')) END"
 
 #: Water filling by the order of cap over weight; first fit walks each block's documents in order.

@@ -26,6 +26,11 @@ def op2_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The counts and verdicts behind op2, by value."""
+    return secrets.secret_values(table(spark, sf_dir, "documents"))
+
+
 def op4_wrapper_induction(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = wrapper_induction.extract_main_text(table(spark, sf_dir, "pages"))
     return out.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
@@ -77,7 +82,8 @@ QUERIES = {
     "op8_source_mixture": op8_source_mixture,
     "op9_quality_rules": op9_quality_rules,
     "op10_bpe_automaton": op10_bpe_automaton,
+    "secret_ownership": secret_ownership,
 }
 
 #: The others rest on learned models, XXH64 or a vocabulary; tests/llm holds them against brute force.
-ORACLE_SQL: dict[str, str] = {"op2_secret_scans": oracles.SECRET_SCANS, "op6_sentence_spans": oracles.SENTENCE_SPANS, "op8_source_mixture": oracles.SOURCE_MIXTURE}
+ORACLE_SQL: dict[str, str] = {"op2_secret_scans": oracles.SECRET_SCANS, "secret_ownership": oracles.SECRET_OWNERSHIP, "op6_sentence_spans": oracles.SENTENCE_SPANS, "op8_source_mixture": oracles.SOURCE_MIXTURE}

@@ -1,13 +1,16 @@
 """Secret scans: spans by pattern, then corpus-wide ownership frequency of every candidate.
 
 Every candidate value is counted over the whole corpus by distinct repositories and owners.
-Values held by many owners are copied examples; values of few owners look live. Pattern spans are
-always reported; opaque tokens without a telling key name are added as ``owned`` spans only when
-few owners hold them. Built-in functions only.
+Values held by many owners are examples; values of few owners look live, unless these hold them in
+very many repositories: then they are copies of an owner's own boilerplate. Pattern spans are always
+reported; opaque tokens without a telling key name are added as ``owned`` spans only when few owners
+hold them. Built-in functions only.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -27,7 +30,9 @@ HEX = r"[0-9a-f]{32,}"
 #: Opaque tokens: long runs that mix letters and digits.
 OPAQUE = r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*[0-9])(?=[0-9+/_-]*[A-Za-z])[A-Za-z0-9_-]{20,}(?![A-Za-z0-9+/_-])"
 KINDS = ("assign", "access", "hex", "owned")
-ASSIGN_CHARS, FEW_OWNERS = 8, 2
+ASSIGN_CHARS, FEW_OWNERS, MANY_REPOS = 8, 2, 50
+#: Matches that one fold walks; longer lists are walked in pieces, so that the work grows with their number.
+PIECE = 512
 
 
 def _spans(text: Column, kind: str, pattern: str, value_group: int = 0) -> Column:
@@ -38,19 +43,37 @@ def _spans(text: Column, kind: str, pattern: str, value_group: int = 0) -> Colum
     whole = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     value = F.regexp_extract_all(text, F.lit(pattern), F.lit(value_group))
     gaps = F.transform(F.split(text, pattern, -1), lambda x: F.length(x))
-    parts = F.arrays_zip(gaps.alias("gap"), whole.alias("whole"), value.alias("value"))
+    matches = F.filter(F.arrays_zip(gaps.alias("gap"), whole.alias("whole"), value.alias("value")), lambda x: x["whole"].isNotNull())
     empty = F.array().cast("array<struct<start:int,kind:string,end:int,value:string>>")
-    return F.aggregate(
-        parts,
-        F.struct(F.lit(0).alias("at"), empty.alias("out")),
-        lambda a, x: F.when(x["whole"].isNull(), a).otherwise(
-            F.struct(
+
+    def walk(piece: Column) -> Column:
+        """Places within a piece of the list, and its length in the text."""
+        return F.aggregate(
+            piece,
+            F.struct(F.lit(0).alias("at"), empty.alias("out")),
+            lambda a, x: F.struct(
                 (a["at"] + x["gap"] + F.length(x["whole"])).alias("at"),
                 F.array_append(a["out"], F.struct((a["at"] + x["gap"]).alias("start"), F.lit(kind).alias("kind"), (a["at"] + x["gap"] + F.length(x["whole"])).alias("end"), x["value"].alias("value"))).alias("out"),
-            )
-        ),
-        lambda a: a["out"],
-    )
+            ),
+        )
+
+    def place(pieces: Column) -> Column:
+        ends = F.aggregate(pieces, F.array(F.lit(0)), lambda a, p: F.array_append(a, F.element_at(a, -1) + p["at"]))
+        moved = lambda p, at: F.transform(p["out"], lambda x: F.struct((x["start"] + at).alias("start"), x["kind"].alias("kind"), (x["end"] + at).alias("end"), x["value"].alias("value")))
+        return _let(ends, lambda e: F.flatten(F.transform(pieces, lambda p, i: moved(p, F.get(e, i)))))
+
+    return _let(F.transform(_pieces(matches), walk), place)
+
+
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _pieces(items: Column) -> Column:
+    """A list cut into lists of PIECE items."""
+    cut = lambda x: F.transform(F.sequence(F.lit(0), F.floor((F.size(x) - 1) / PIECE).cast("int")), lambda k: F.slice(x, k * PIECE + 1, PIECE))
+    return _let(items, lambda x: F.when(F.size(x) > 0, cut(x)).otherwise(F.slice(F.array(x), 1, 0)))
 
 
 def _found(text: Column, probe: str, kind: str, pattern: str, group: int = 0) -> Column:
@@ -85,17 +108,31 @@ def ownership(cands: DataFrame) -> DataFrame:
     Partial aggregation makes one row a task and value of a hot value before the shuffle.
     """
     values = cands.select("repo", "owner", F.explode(F.array_distinct(F.transform(F.concat("base", "more"), lambda x: F.sha2(x["value"], 256)))).alias("hash"))
-    by_repo = values.groupBy("hash", "owner", "repo").agg(F.count("*").alias("n"))
-    by_owner = by_repo.groupBy("hash", "owner").agg(F.count("*").alias("repos"))
-    return by_owner.groupBy("hash").agg(F.count("*").alias("n_owners"), F.sum("repos").alias("n_repos"))
+    held = scratch(values.distinct(), "held")
+    owners = held.groupBy("hash", "owner").agg(F.count("*").alias("n")).groupBy("hash").agg(F.count("*").alias("n_owners"))
+    repos = held.groupBy("hash", "repo").agg(F.count("*").alias("n")).groupBy("hash").agg(F.count("*").alias("n_repos"))
+    return owners.join(repos, "hash")
 
 
-def scan_secrets(df: DataFrame, text_col: str = "text", repo_col: str = "doc_id", owner_col: str = "source", keep: tuple[str, ...] = ("doc_id",), few_owners: int = FEW_OWNERS) -> DataFrame:
+def secret_values(df: DataFrame, text_col: str = "text", repo_col: str = "doc_id", owner_col: str = "source", few_owners: int = FEW_OWNERS, many_repos: int = MANY_REPOS) -> DataFrame:
+    """One row per distinct candidate value: its SHA-256 ``hash``, ``n_owners``, ``n_repos`` and ``verdict``.
+
+    ``example``: more than ``few_owners`` owners hold it; ``copied``: few owners do, in more than
+    ``many_repos`` repositories; ``live``: few owners do, in few repositories. A null repository or
+    owner is one of its own; null and empty texts hold nothing; an empty table gives an empty result.
+    """
+    counts = ownership(candidates(df, text_col, repo_col, owner_col, keep=()))
+    return counts.withColumn("verdict", F.when(F.col("n_owners") > few_owners, "example").when(F.col("n_repos") > many_repos, "copied").otherwise("live"))
+
+
+def scan_secrets(df: DataFrame, text_col: str = "text", repo_col: str = "doc_id", owner_col: str = "source", keep: tuple[str, ...] = ("doc_id",), few_owners: int = FEW_OWNERS, many_repos: int = MANY_REPOS) -> DataFrame:
     """One row per input row: ``base`` and ``spans`` as arrays of (start, kind, end), and counts.
 
     ``n_live`` counts spans whose value at most ``few_owners`` owners hold, ``n_example`` the rest.
-    Null texts are empty; a null repository or owner is one of its own; repeated rows are reported
-    each; an empty table gives an empty result.
+    Each of ``spans`` says by ``copied`` whether more than ``many_repos`` repositories hold its value.
+    Null texts are empty and texts of any length are read whole; a null repository or owner is one of
+    its own; repeated rows are reported each; other columns are left out unless ``keep`` asks for them;
+    an empty table gives an empty result.
     """
     found = scratch(candidates(df, text_col, repo_col, owner_col, keep).select("k", "repo", "owner", "base", "more", F.monotonically_increasing_id().alias("rid")), "secrets")
     some = found.where((F.size("base") > 0) | (F.size("more") > 0))
@@ -103,17 +140,17 @@ def scan_secrets(df: DataFrame, text_col: str = "text", repo_col: str = "doc_id"
     spans = some.select("rid", F.explode(F.concat("base", "more")).alias("s")).select("rid", "s", F.sha2("s.value", 256).alias("hash"))
     # Both sides are plain scans: adaptive execution splits a value that fills many rows.
     judged = spans.join(counts, "hash").groupBy("rid").agg(
-        F.collect_list(F.when((F.col("n_owners") <= few_owners) | (F.col("s.kind") != "owned"), F.struct("s.start", F.array_position(F.array(*map(F.lit, KINDS)), F.col("s.kind")).alias("ord"), "s.kind", "s.end"))).alias("spans"),
+        F.collect_list(F.when((F.col("n_owners") <= few_owners) | (F.col("s.kind") != "owned"), F.struct("s.start", F.array_position(F.array(*map(F.lit, KINDS)), F.col("s.kind")).alias("ord"), "s.kind", "s.end", (F.col("n_repos") > many_repos).alias("copied")))).alias("spans"),
         F.count_if(F.col("n_owners") <= few_owners).alias("n_live"),
         F.count_if(F.col("n_owners") > few_owners).alias("n_example"),
     )
-    plain = "array<struct<start:int,kind:string,end:int>>"
-    tidy = lambda c: F.transform(c, lambda x: F.struct(x["start"].alias("start"), x["kind"].alias("kind"), x["end"].alias("end")))
+    plain = "array<struct<start:int,kind:string,end:int,copied:boolean>>"
+    tidy = lambda c, *more: F.transform(c, lambda x: F.struct(*[x[f].alias(f) for f in ("start", "kind", "end", *more)]))
     out = found.select("rid", "k", F.transform("base", lambda x: F.struct(x["start"].alias("start"), F.array_position(F.array(*map(F.lit, KINDS)), x["kind"]).alias("ord"), x["kind"].alias("kind"), x["end"].alias("end"))).alias("base")).join(judged, "rid", "left")
     return out.select(
         *[F.col("k")[c].alias(c) for c in keep],
         tidy(F.array_sort("base")).alias("base"),
-        F.coalesce(tidy(F.array_sort("spans")), F.array().cast(plain)).alias("spans"),
+        F.coalesce(tidy(F.array_sort("spans"), "copied"), F.array().cast(plain)).alias("spans"),
         F.coalesce("n_live", F.lit(0)).alias("n_live"),
         F.coalesce("n_example", F.lit(0)).alias("n_example"),
     )
@@ -128,13 +165,17 @@ def redact(text: Column, spans: Column, mark: str = "[SECRET]") -> Column:
 
     ``spans`` must be sorted by start.
     """
-    body = F.aggregate(
-        spans,
-        F.struct(F.lit(0).alias("at"), F.lit("").alias("out")),
-        lambda a, x: F.struct(
-            F.greatest(a["at"], x["end"]).alias("at"),
-            F.when((x["start"] < a["at"]) & (a["at"] > 0), a["out"]).otherwise(F.concat(a["out"], F.substr(text, a["at"] + 1, x["start"] - a["at"]), F.lit(mark))).alias("out"),
-        ),
-        lambda a: F.concat(a["out"], F.substr(text, a["at"] + 1, F.length(text))),
-    )
+    def masked(pieces: Column, ends: Column) -> Column:
+        """The text up to the last end, piece by piece of the spans: each cuts its own part of the text."""
+
+        def part(piece: Column, at: Column, to: Column) -> Column:
+            own = lambda own_ends: _let(F.substr(text, at + 1, to - at), lambda t: F.array_join(F.transform(piece, lambda x, i: one(x, F.greatest(at, F.coalesce(F.array_max(F.slice(own_ends, 1, i)), F.lit(0))), t)), ""))
+            one = lambda x, upto, t: F.when(x["start"] >= upto, F.concat(F.substr(t, upto - at + 1, x["start"] - upto), F.lit(mark))).otherwise("")
+            return _let(F.transform(piece, lambda x: x["end"]), own)
+
+        done = F.array_join(F.transform(pieces, lambda p, i: part(p, F.get(ends, i), F.get(ends, i + 1))), "")
+        return F.concat(done, F.substr(text, F.element_at(ends, -1) + 1, F.length(text)))
+
+    last = lambda pieces: F.aggregate(pieces, F.array(F.lit(0)), lambda a, p: F.array_append(a, F.greatest(F.element_at(a, -1), F.array_max(F.transform(p, lambda x: x["end"])))))
+    body = _let(_pieces(spans), lambda pieces: _let(last(pieces), lambda ends: masked(pieces, ends)))
     return F.when(F.size(spans) > 0, body).otherwise(text)
