@@ -1,6 +1,8 @@
 """A training corpus from ``documents``: filter, deduplicate, redact, mix, tokenize.
 
-Each stage takes (spark, docs, sf_dir); all but the last return the columns of ``documents``.
+Each stage takes (spark, docs, sf_dir); all but the last return the columns of ``documents``. Other
+columns are left out, so clashing names do no harm; texts of any length are taken whole; an empty table
+gives an empty result.
 """
 
 from __future__ import annotations
@@ -16,25 +18,35 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the rules reject go."""
+    """Documents that the rules reject go; so do null and empty texts. Repeated rows stay or go alike."""
     rules = decision_list.fit_quality_rules(docs, table(spark, sf_dir, "labels"))
     return decision_list.apply_quality_rules(docs, rules, keep=COLUMNS).where("kept").select(*COLUMNS)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays, the first row of its smallest doc_id."""
+    """One row of each group of near copies stays, one of its smallest doc_id.
+
+    Rows are told apart by their place, so null and repeated ids of different texts stay. Null and
+    empty texts are one group.
+    """
     return simhash_anchors.near_duplicates(docs, keep=COLUMNS).where("kept").select(*COLUMNS)
 
 
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Secrets are masked, and n_chars follows the text."""
-    spans = secrets.scan_secrets(docs, keep=COLUMNS)
+    """Secrets are masked, and n_chars follows the text; a token that an owner repeats everywhere is left alone.
+
+    Every row stays; null texts stay null.
+    """
+    spans = secrets.scan_secrets(docs, keep=COLUMNS).withColumn("spans", F.filter("spans", lambda x: (x["kind"] != "owned") | ~x["copied"]))
     text = F.when(F.size("spans") > 0, secrets.redact(F.col("text"), F.col("spans"))).otherwise(F.col("text"))
     return spans.select("doc_id", text.alias("text"), "lang", "source", F.when(F.size("spans") > 0, F.length(text).cast("long")).otherwise(F.col("n_chars")).alias("n_chars"))
 
 
 def source_mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A document stands as often as the mix takes it, in random order within its output shard."""
+    """A document stands as often as the mix takes it, in random order within its output shard.
+
+    Null and empty texts have no words and are never taken; repeated rows are each taken by their own plan.
+    """
     rows = numbered(docs.select(*COLUMNS), "mixed")  # ids may be null or repeat
     plan = mixture.mix_sources(rows, keep=("rid",)).where(F.size("shards") > 0).select("rid", "shards", "place")
     repeats = rows.join(plan, "rid").select(*COLUMNS, F.posexplode("shards").alias("pass", "shard"), "place")
@@ -42,7 +54,7 @@ def source_mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def bpe_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token counts and digests of ids and decoded text, one row per document of the mix."""
+    """Token counts and digests of ids and decoded text, one row per document of the mix; none for an empty mix."""
     out = bpe_automaton.encode_decode(docs, vocabulary_path(), keep=("doc_id", "source"))
     return out.select("doc_id", "source", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
