@@ -38,8 +38,11 @@ def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     Every row stays; null texts stay null.
     """
     spans = secrets.scan_secrets(docs, keep=COLUMNS).withColumn("spans", F.filter("spans", lambda x: (x["kind"] != "owned") | ~x["copied"]))
-    text = F.when(F.size("spans") > 0, secrets.redact(F.col("text"), F.col("spans"))).otherwise(F.col("text"))
-    return spans.select("doc_id", text.alias("text"), "lang", "source", F.when(F.size("spans") > 0, F.length(text).cast("long")).otherwise(F.col("n_chars")).alias("n_chars"))
+    found = F.size("spans") > 0
+    # A name of its own: inside a lambda, "text" would mean a column made here under that name.
+    masked = spans.withColumn("masked", F.when(found, secrets.redact(F.col("text"), F.col("spans"))).otherwise(F.col("text")))
+    n_chars = F.when(found, F.length("masked").cast("long")).otherwise(F.col("n_chars"))
+    return masked.select("doc_id", F.col("masked").alias("text"), "lang", "source", n_chars.alias("n_chars"))
 
 
 def source_mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
