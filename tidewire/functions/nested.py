@@ -43,6 +43,16 @@ def zip_outputs(labels: Column, vector: Column) -> Column:
     return F.map_from_arrays(labels, vector)
 
 
+def near_equal_parts(items: Column, batch: int) -> Column:
+    """A list cut into one part more than it holds whole batches, of sizes that differ by one at most."""
+    def cut(x: Column) -> Column:
+        parts = F.floor(F.size(x) / batch).cast("int") + 1
+        at = lambda i: F.floor(i.cast("long") * F.size(x) / parts).cast("int")
+        return F.transform(F.sequence(F.lit(0), parts - 1), lambda i: F.slice(x, at(i) + 1, at(i + 1) - at(i)))
+
+    return bind(items, cut)
+
+
 def invert(mapping: Column) -> Column:
     return F.map_from_arrays(F.map_values(mapping), F.map_keys(mapping))
 

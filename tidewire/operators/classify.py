@@ -22,14 +22,16 @@ def field_of(model: str) -> str:
     return FIELD_OF_MODEL.get(model, model)
 
 
-def score(df: DataFrame, text: Column, load: Callable[[], Callable[[list[str]], np.ndarray]], out: str = "logits") -> DataFrame:
-    """Outputs of an injected model for every text. ``load`` runs once a worker and gives a function from texts to rows of outputs."""
+def score(df: DataFrame, text: Column, load: Callable[[], Callable[[list[str]], np.ndarray]], out: str = "logits", batch: int = 320) -> DataFrame:
+    """Outputs of an injected model for every text. ``load`` runs once a worker and gives a function from texts to rows of outputs, which gets at most ``batch`` texts at once."""
 
     @F.pandas_udf(ArrayType(DoubleType()))
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         model = load()
         for texts in batches:
-            yield pd.Series(list(np.asarray(model([t or "" for t in texts]), float)) if len(texts) else [], dtype=object)
+            items = [t or "" for t in texts]
+            rows = [r for k in range(0, len(items), batch) for r in np.asarray(model(items[k : k + batch]), float)]
+            yield pd.Series(rows, dtype=object)
 
     # The explosion of one element keeps the model's call out of the expressions that decode it.
     return df.select(*[c for c in df.columns if c != out], run(text).alias("__scored")).select(*[c for c in df.columns if c != out], F.explode(F.array("__scored")).alias(out))

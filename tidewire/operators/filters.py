@@ -44,6 +44,18 @@ def same_array(c: Column, values: list) -> Column:
     return F.coalesce(c == F.array(*map(F.lit, values)), F.lit(False))
 
 
+def spot(df: DataFrame, domains: list[str] | None = None, not_languages: list[str] | None = None, columns: tuple[str, ...] = (), limit: int | None = None) -> DataFrame:
+    """Articles of some domains and none of some languages, of which only ``columns`` are read, at most ``limit`` if given."""
+    keep = F.lit(True)
+    if domains is not None:
+        keep = keep & among(F.col("source_domain"), domains)
+    if not_languages is not None:
+        keep = keep & not_among(F.col("language"), not_languages)
+    out = df.where(keep)
+    out = out.select(*columns) if columns else out
+    return out if limit is None else out.limit(limit)
+
+
 def long_enough(title: Column, body: Column, least_title: int = 3, least_body: int = 5) -> Column:
     return (F.length(title) >= least_title) & (F.length(body) >= least_body)
 

@@ -33,6 +33,13 @@ def month_range(spark, start: str, end: str) -> DataFrame:
     return days.select(F.last_day("m").alias("month_end")).where(F.col("month_end") <= F.to_date(F.lit(end)))
 
 
+def months_until(spark, start: str, now: str, ahead_days: int | None = None) -> DataFrame:
+    """Month ends from ``start`` until a month after ``now``, or until ``ahead_days`` days after it."""
+    end = F.add_months(F.to_date(F.lit(now)), 1) if ahead_days is None else F.date_add(F.to_date(F.lit(now)), ahead_days)
+    months = spark.range(1).select(F.explode(F.sequence(F.trunc(F.to_date(F.lit(start)), "month"), end, F.expr("interval 1 month"))).alias("m"), end.alias("end"))
+    return months.select(F.last_day("m").alias("month_end"), "end").where(F.col("month_end") <= F.col("end")).drop("end")
+
+
 def eligible_by_month(df: DataFrame, predicate: Column) -> DataFrame:
     return df.groupBy("year", "month").agg(F.count("*").alias("processed"), F.count_if(predicate).alias("eligible"))
 

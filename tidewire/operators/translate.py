@@ -14,6 +14,8 @@ from pyspark.sql.types import StringType
 from tidewire.functions.text import clean_text
 from tidewire.operators.filters import filled, long_enough, untranslated
 
+#: Where a reply holds the English text. A fixed value.
+REPLY = r'"translated_text":\{"en":"(.*)"\}'
 Batch = Callable[[list[str]], list[str]]
 
 
@@ -84,5 +86,6 @@ def translate_articles(df: DataFrame, language: str, load: Callable[[], tuple[Ba
 
 
 def pluck_translation(reply: Column) -> Column:
-    """The English text of a service's JSON reply, without backslashes."""
-    return F.replace(F.get_json_object(reply, "$.translated_text.en"), F.lit("\\"), F.lit(""))
+    """The English text of a service's reply, without backslashes: all up to the last quote, whether the reply is sound JSON or not; null without one."""
+    found = F.regexp_extract(reply, REPLY, 1)
+    return F.when(reply.rlike(REPLY), F.replace(found, F.lit("\\"), F.lit("")))

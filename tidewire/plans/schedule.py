@@ -50,6 +50,15 @@ def run_in_windows(work: Callable[[datetime], bool], start: str, end: str, once:
             sleep(pause)
 
 
+def run_months(months: list, work: Callable[[object], None], stop: datetime | None, now: Callable[[], datetime] = datetime.now) -> list:
+    """Work month by month until ``stop``; the months that are left. A month that began is finished, as its job writes it at once."""
+    for k, month in enumerate(months):
+        if stop is not None and now() >= stop:
+            return months[k:]
+        work(month)
+    return []
+
+
 def with_retries(call: Callable[[], object], tries: int = 6, first: float = 0.5, factor: float = 2.0, most: float = 20.0, jitter: float = 0.2, stop: Callable[[], bool] = lambda: False, sleep: Callable[[float], None] = clock.sleep) -> object:
     """Call until it succeeds; pauses grow up to ``most`` seconds. The last error is raised, and ``stop`` ends the retries."""
     for k in range(tries):

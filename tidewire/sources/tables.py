@@ -35,9 +35,24 @@ def route_by_date(df: DataFrame, raw: str | None = "date_publish_raw") -> DataFr
     return df.withColumns({"year": F.year(date), "month": F.month(date)})
 
 
-def write_articles(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Write by month; overwriting replaces only the months that ``df`` holds."""
-    df.repartition("year", "month", F.pmod(F.xxhash64("_id"), F.lit(16))).write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy("year", "month").parquet(path)
+def write_articles(df: DataFrame, path: str, mode: str = "overwrite", index_by: tuple[str, ...] = ("url",)) -> None:
+    """Write by month; overwriting replaces only the months that ``df`` holds.
+
+    Files are sorted by the columns of ``index_by`` and hold Bloom filters of them, by which lookups
+    skip most files and row groups.
+    """
+    keys = [c for c in index_by if c in df.columns]
+    rows = df.repartition("year", "month", F.pmod(F.xxhash64("_id"), F.lit(16))).sortWithinPartitions("year", "month", *keys)
+    writer = rows.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy("year", "month")
+    for c in keys:
+        writer = writer.option(f"parquet.bloom.filter.enabled#{c}", "true")
+    writer.parquet(path)
+
+
+def tweets_between(tweets: DataFrame, first: str, last: str, language: str | None = None) -> DataFrame:
+    """Tweets of the days from ``first`` to ``last``, of one language if given; day and language prune partitions."""
+    keep = F.col("date").between(F.to_date(F.lit(first)), F.to_date(F.lit(last)))
+    return tweets.where(keep if language is None else keep & (F.col("language") == language))
 
 
 def update_field(articles: DataFrame, results: DataFrame, field: str, key: str = "_id") -> DataFrame:
@@ -100,8 +115,9 @@ def read_kb(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_codes(spark: SparkSession, path: str) -> DataFrame:
-    """Code and name of administrative units; of repeated codes the last by name stays."""
-    return spark.read.csv(path, sep="\t", schema="code string, name string").groupBy("code").agg(F.max("name").alias("name"))
+    """Code and name of administrative units; of repeated codes the last row stays."""
+    rows = spark.read.csv(path, sep="\t", schema="code string, name string").withColumn("at", F.monotonically_increasing_id())
+    return rows.groupBy("code").agg(F.max_by("name", "at").alias("name"))
 
 
 def read_geonames(spark: SparkSession, path: str) -> DataFrame:
