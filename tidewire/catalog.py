@@ -139,12 +139,7 @@ def moderate_clean(spark, d):
     return _t(spark, d, "documents").select("doc_id", text.moderate_clean(F.col("text")).alias("body"))
 
 
-@_query(r"""SELECT doc_id, trim(regexp_replace(regexp_replace(lower(strip_accents(substr(text, 1, 200))), '[^\p{L}\p{N}_\s]', ' ', 'g'), '\s+', ' ', 'g')) AS key FROM documents""")
-def match_keys(spark, d):
-    return _t(spark, d, "documents").select("doc_id", text.normalize_for_match(F.substring("text", 1, 200)).alias("key"))
-
-
-@_query()
+@_query(r"""SELECT doc_id, trim(regexp_replace(regexp_replace(lower(strip_accents(text)), '[^\p{L}\p{N}_\s]', ' ', 'g'), '\s+', ' ', 'g')) AS key FROM documents""")
 def match_keys_whole(spark, d):
     return _t(spark, d, "documents").select("doc_id", text.normalize_for_match(F.col("text")).alias("key"))
 
@@ -279,13 +274,7 @@ def cascade_gate(spark, d):
     return out.select("doc_id", F.col("relevance.result").alias("relevance"), F.col("event.result").alias("event"))
 
 
-@_query("""SELECT doc_id, CASE WHEN length(text) >= 5 AND lang = 'fr' THEN upper(substr(trim(regexp_replace(translate(text, chr(10) || '\\“”’', '  ""' || chr(39)), '\\s+', ' ', 'g')), 1, 80)) END AS maintext_translated FROM documents""".replace("\\\\", "\\"))
-def translate_cascade(spark, d):
-    docs = _t(spark, d, "documents").select("doc_id", F.lit(True).alias("include"), F.col("lang").alias("language"), F.concat(F.lit("Title "), "doc_id").alias("title"), F.col("text").alias("maintext"), *[F.lit(None).cast("string").alias(c) for c in ("title_translated", "maintext_translated", "language_translated")])
-    return translate.translate_articles(docs, "fr", lambda: (lambda items: [x.upper() for x in items], None), cap=80).select("doc_id", "maintext_translated")
-
-
-@_query()
+@_query("""SELECT doc_id, CASE WHEN length(text) >= 5 AND lang = 'fr' THEN upper(substr(trim(regexp_replace(translate(text, chr(10) || '\\“”’', '  ""' || chr(39)), '\\s+', ' ', 'g')), 1, 800)) END AS maintext_translated FROM documents""".replace("\\\\", "\\"))
 def translate_cascade_whole(spark, d):
     docs = _t(spark, d, "documents").select("doc_id", F.lit(True).alias("include"), F.col("lang").alias("language"), F.concat(F.lit("Title "), "doc_id").alias("title"), F.col("text").alias("maintext"), *[F.lit(None).cast("string").alias(c) for c in ("title_translated", "maintext_translated", "language_translated")])
     return translate.translate_articles(docs, "fr", lambda: (lambda items: [x.upper() for x in items], None)).select("doc_id", "maintext_translated")
@@ -443,3 +432,6 @@ def reconciled_locations(spark, d):
     )
     out = reconcile.reconcile_articles(articles, _ladder_kb(spark, d))
     return out.select("_id", F.explode_outer("reconciled_locations").alias("name", "place"), F.col("reconciled_locations_meta.status").alias("status")).select("_id", "name", "place.*", "status")
+
+
+from tidewire import catalog_corpus  # noqa: E402, F401  adds its queries to these
