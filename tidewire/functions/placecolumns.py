@@ -54,6 +54,21 @@ def content_overlap(a: Column, b: Column) -> Column:
     return F.arrays_overlap(words(a), words(b))
 
 
+def poor_target(value: Column, key: Column) -> Column:
+    """Blank, very short and stopword values, unless the key is the value."""
+    telling = (F.length(value) > 3) & ~_in(value, P.STOPWORDS)
+    return ~(telling | (value != "") & (value == key))
+
+
+def words_may_match(key: Column, value: Column) -> Column:
+    """Whether a key of one word may stand for a longer value: that holds it, and beside it only minor words."""
+    minor = lambda t: _in(t, P.QUALIFIERS) | t.rlike(r"^\p{L}{1,3}$") & ~_in(t, P.STOPWORDS)
+    whole = F.array_distinct(_tokens(value))
+    added = F.array_except(whole, _tokens(key))
+    lone = (F.size(_tokens(key)) == 1) & (F.size(_tokens(value)) > 1)
+    return ~lone | (F.size(added) < F.size(whole)) & F.forall(added, minor)
+
+
 def exonym(key: Column) -> Column:
     table = F.create_map(*[F.lit(x) for kv in P.EXONYMS.items() for x in kv])
     return F.coalesce(F.try_element_at(table, key), key)
