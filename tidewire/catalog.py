@@ -434,4 +434,4 @@ def reconciled_locations(spark, d):
     return out.select("_id", F.explode_outer("reconciled_locations").alias("name", "place"), F.col("reconciled_locations_meta.status").alias("status")).select("_id", "name", "place.*", "status")
 
 
-from tidewire import catalog_corpus  # noqa: E402, F401  adds its queries to these
+from tidewire import catalog_corpus, catalog_places  # noqa: E402, F401  add their queries to these
