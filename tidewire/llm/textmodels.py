@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewire.llm.common import label_sample, scratch
+from tidewire.llm.common import label_sample, numbered, scratch
 
 _TOKEN = re.compile(r"\w+|[^\w\s]+")
 #: Tokens handled at once, so that one very long text needs no more memory than many short ones.
@@ -20,6 +20,8 @@ _CHUNK = 1 << 16
 _LEAD = 4
 #: The bound of what a fit gathers on the driver.
 SAMPLE_BYTES = 96 << 20
+#: Bytes of features that leave a Python worker at once.
+_HELD = 4 << 20
 
 
 class _Tokens(dict):
@@ -108,17 +110,23 @@ def training_set(docs: DataFrame, labels: DataFrame, label: str, learn: Column,
     several texts counts once. Features are made on the executors.
     """
     chosen = label_sample(labels, label, sample_rows, learn)
-    rows = docs.select("doc_id", F.col("text").cast("string").alias("t")).join(F.broadcast(chosen), "doc_id")
+    texts = numbered(docs.select("doc_id", F.col("text").cast("string").alias("t")), "texts")
+    # One row of each sampled id, chosen without reading the texts.
+    first = texts.select("doc_id", "rid").join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "label").agg(F.min("rid").alias("rid"))
+    rows = texts.select("rid", "t").join(F.broadcast(first), "rid")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         features = make()
         for batch in batches:
-            for k in range(batch.num_rows):  # a row alone: the features of very long texts need not fit together
-                x = indices(batch.column("t")[k].as_py(), features).tobytes()
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(k, 1), batch.column("label").slice(k, 1), pa.array([x], pa.binary())], ["doc_id", "label", "x"])
-
-    made = rows.select("doc_id", "label", "t").mapInArrow(work, "doc_id bigint, label int, x binary")
-    made = scratch(made.groupBy("doc_id", "label").agg(F.min("x").alias("x")), "features")
+            lo, held, x = 0, 0, []
+            for k in range(batch.num_rows):
+                x.append(indices(batch.column("t")[k].as_py(), features).tobytes())
+                held += len(x[-1])
+                if held > _HELD or k + 1 == batch.num_rows:  # the features of very long texts need not fit together
+                    yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(lo, len(x)), batch.column("label").slice(lo, len(x)), pa.array(x, pa.binary())], ["doc_id", "label", "x"])
+                    lo, held, x = k + 1, 0, []
+
+    made = scratch(rows.select("doc_id", "label", "t").mapInArrow(work, "doc_id bigint, label int, x binary"), "features")
     sizes = made.select(F.xxhash64("doc_id").alias("h"), F.length("x").alias("n")).collect()  # one short row a sampled document
     room, last = sample_bytes, -(2**63)
     for h, n in sorted(map(tuple, sizes)):
