@@ -136,7 +136,7 @@ def training_set(docs: DataFrame, labels: DataFrame, label: str, learn: Column,
         last = h
     got = made.where(F.xxhash64("doc_id") <= F.lit(last)).collect()
     got.sort(key=lambda r: r["doc_id"])
-    return np.array([r["label"] for r in got], np.int64), [np.frombuffer(bytes(r["x"]), np.int32) for r in got]
+    return np.array([r["label"] for r in got], np.int64), [np.frombuffer(r["x"], np.int32) for r in got]
 
 
 def score_texts(df: DataFrame, weights: np.ndarray, bias: float, make: type, keep: tuple[str, ...] = ("doc_id",), text_col: str = "text", norm: np.ndarray | None = None, sharpness: float = 1.0) -> DataFrame:

@@ -27,10 +27,9 @@ def ftrl(y: np.ndarray, x: list[np.ndarray], alpha: float = 1.0, beta: float = 1
         zi, l1_ = z[i], np.where(i == bias, 0.0, l1)
         return np.where(np.abs(zi) <= l1_, 0.0, -(zi - np.sign(zi) * l1_) / ((beta + np.sqrt(n[i])) / alpha + l2))
 
-    rows = [np.append(i, np.int32(bias)) for i in x]
     for _ in range(rounds):
         for k in rng.permutation(len(y)):
-            i = rows[k]
+            i = np.append(x[k], np.int32(bias))
             w = weights(i)
             p = 1 / (1 + np.exp(-min(max(w.sum(), -35.0), 35.0)))
             g = (p - y[k]) * (heavy if y[k] else 1.0)
