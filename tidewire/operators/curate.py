@@ -21,9 +21,9 @@ def split_duplicates(df: DataFrame, keys: list[str], order: str = "_id") -> tupl
     for k in keys:
         no_null = no_null & F.col(k).isNotNull()
     first = df.where(no_null).groupBy(*keys).agg(F.min(order).alias("__first")).select("__first")
-    kept = df.join(first, df[order] == first["__first"], "left_semi").unionByName(df.where(~no_null))
-    gone = df.where(no_null).join(first, df[order] == first["__first"], "left_anti")
-    return kept, gone
+    marked = df.withColumn("__whole", no_null).join(first, F.col(order) == F.col("__first"), "left")
+    keep = F.col("__first").isNotNull() | ~F.col("__whole")
+    return marked.where(keep).drop("__first", "__whole"), marked.where(~keep).drop("__first", "__whole")
 
 
 def set_include(df: DataFrame, domains: list[str]) -> DataFrame:
