@@ -137,3 +137,14 @@ def test_hot_anchors_keep_all_links(spark, monkeypatch, bound):
     want = plain_components([int(x) for x in fp])
     pairs = {(want[int(x)], root[int(np.uint64(x).view(np.int64))]) for x in fp}
     assert len(pairs) == len(set(want.values())) == len(set(root.values())) < len(fp)
+
+
+def test_shards_query_holds_what_op8_takes(spark, sf_dir):
+    """Each repeat of a document has one shard, and shards come near to equal shares of every source's words."""
+    from tidewire.llm import queries
+
+    shards = queries.mixture_shards(spark, sf_dir).collect()
+    taken = {r.doc_id: r.taken // r.size for r in queries.op8_source_mixture(spark, sf_dir).collect() if r.taken}
+    assert Counter(r.doc_id for r in shards) == Counter(taken)
+    assert {r.shard for r in shards} <= set(range(16)) and all(r["pass"] < taken[r.doc_id] for r in shards)
+    assert sorted((r.doc_id, r["pass"], r.shard, r.place) for r in shards) == sorted((r.doc_id, r["pass"], r.shard, r.place) for r in queries.mixture_shards(spark, sf_dir).collect())

@@ -53,6 +53,12 @@ def op8_source_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "source_size", F.round("target", 6).alias("target"), "taken")
 
 
+def mixture_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where op8's tree deals every repeat of a document: its output shard and its random place there."""
+    out = mixture.mix_sources(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", F.posexplode("shards").alias("pass", "shard"), "place")
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     rules = decision_list.fit_quality_rules(docs, table(spark, sf_dir, "labels"))
@@ -83,6 +89,7 @@ QUERIES = {
     "op9_quality_rules": op9_quality_rules,
     "op10_bpe_automaton": op10_bpe_automaton,
     "secret_ownership": secret_ownership,
+    "mixture_shards": mixture_shards,
 }
 
 #: The others rest on learned models, XXH64 or a vocabulary; tests/llm holds them against brute force.
