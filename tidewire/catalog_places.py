@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from tidewire.catalog import _ladder_kb, _query, _t
 from tidewire.functions import placecolumns, text
-from tidewire.operators import grounding, kb, reconcile
+from tidewire.operators import geo, grounding, kb, reconcile
+from tidewire.sources import tables
 
 _LOCATION = "struct<location_level:string,admin0:string,admin1:string,admin2:string>"
 
@@ -189,3 +190,32 @@ def name_pairs(spark, d):
     key = text.normalize_for_match(F.col("n_name"))
     value = F.when(k == 0, F.concat(F.lit("nova "), key)).when(k == 1, F.concat(key, F.lit(" of the st"))).when(k == 2, "new").otherwise(key)
     return _t(spark, d, "nation").select("n_nationkey", (placecolumns.words_may_match(key, value) & ~placecolumns.poor_target(value, key)).alias("alike"))
+
+
+@_query(r"""WITH v AS (SELECT DISTINCT 1 AS level, n_name AS value FROM supplier JOIN nation ON s_nationkey = n_nationkey UNION ALL SELECT DISTINCT 2, s_name FROM supplier JOIN nation ON s_nationkey = n_nationkey),
+t AS (SELECT DISTINCT level, value, unnest(string_split(trim(regexp_replace(regexp_replace(lower(value), '[^a-z0-9_\s]', ' ', 'g'), '\s+', ' ', 'g')), ' ')) AS token FROM v)
+SELECT token, CAST(count(*) AS BIGINT) AS n FROM t GROUP BY token""")
+def kb_token_levels(spark, d):
+    """Units and subunits that hold a token, added up."""
+    return kb.token_frequency(_keyed(spark, d)).select("token", "n")
+
+
+@_query("""SELECT n_nationkey, r_name || '=' || n_name || ';Elsewhere=' AS places FROM nation JOIN region ON n_regionkey = r_regionkey""")
+def countries_left_empty(spark, d):
+    """A name counts for the country it is first seen with; the other country stays, without names."""
+    rows = _t(spark, d, "nation").join(_t(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    entity = lambda c: F.struct(F.col("n_name").alias("name"), c.alias("country_code3"))
+    found = geo.places_deduplicated_overall(F.array(entity(F.col("r_name")), entity(F.lit("Elsewhere")), entity(F.col("r_name"))))
+    return rows.select("n_nationkey", F.array_join(F.transform(F.map_entries(found), lambda e: F.concat(e["key"], F.lit("="), F.array_join(e["value"], ","))), ";").alias("places"))
+
+
+@_query("""SELECT s_suppkey, r_name AS admin1_name, CASE WHEN n_nationkey % 3 = 0 THEN '' ELSE n_name END AS admin2_name FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey""")
+def gazetteer_units(spark, d):
+    """Names of units and subunits by their codes; codes without a name give a blank."""
+    rows = _t(spark, d, "supplier").join(_t(spark, d, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
+    blank = {c: F.lit("") for c in ("name", "asciiname", "alternatenames", "latitude", "longitude", "feature_class", "feature_code", "admin3_code", "admin4_code", "population")}
+    raw = rows.select(F.col("s_suppkey").cast("string").alias("geonameid"), F.lit("KE").alias("country_code"), F.col("n_regionkey").cast("string").alias("admin1_code"), F.col("n_nationkey").cast("string").alias("admin2_code")).withColumns(blank)
+    admin1 = _t(spark, d, "region").select(F.concat(F.lit("KE."), F.col("r_regionkey").cast("string")).alias("code"), F.col("r_name").alias("name"))
+    admin2 = _t(spark, d, "nation").where("n_nationkey % 3 <> 0").select(F.concat_ws(".", F.lit("KE"), F.col("n_regionkey").cast("string"), F.col("n_nationkey").cast("string")).alias("code"), F.col("n_name").alias("name"))
+    out = tables.enrich_geonames(raw, admin1, admin2, {"KE": "KEN"}, expand_ascii=False)
+    return out.select(F.col("geonameid").cast("bigint").alias("s_suppkey"), "admin1_name", "admin2_name")
