@@ -1,5 +1,7 @@
 """Queries that SQL can express, against their SQL."""
 
+import os
+
 import duckdb
 import pytest
 
@@ -8,12 +10,15 @@ from tidewire.llm import queries
 
 @pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
 @pytest.mark.parametrize("odd", [False, True])
-def test_query_matches_sql(spark, sf_dir, odd_docs, tmp_path, name, odd):
+def test_query_matches_sql(spark, sf_dir, odd_docs, labels, tmp_path, name, odd):
     if odd:
         sf_dir = str(tmp_path)
         odd_docs.where("doc_id IS NOT NULL").coalesce(1).write.parquet(f"{sf_dir}/documents.parquet")
+        labels.coalesce(1).write.parquet(f"{sf_dir}/labels.parquet")
     con = duckdb.connect()
-    con.sql(f"CREATE VIEW documents AS SELECT * FROM '{sf_dir}/documents.parquet{'/*.parquet' if odd else ''}'")
+    for source in ("documents", "labels", "conversations"):
+        if os.path.exists(path := f"{sf_dir}/{source}.parquet"):
+            con.sql(f"CREATE VIEW {source} AS SELECT * FROM '{path}{'/*.parquet' if os.path.isdir(path) else ''}'")
     got = queries.QUERIES[name](spark, sf_dir)
     cols = sorted(got.columns)
     want = con.sql(queries.ORACLE_SQL[name])

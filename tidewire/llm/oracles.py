@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from tidewire.llm.filter_audit import FILTERS, LEAST_DISTINCT, LEAST_WORDS as AUDIT_WORDS, MOST_CAPITALS
 from tidewire.llm.mixture import BLOCK_DOCS
 from tidewire.llm.secrets import ACCESS, ASSIGN, ASSIGN_CHARS, FEW_OWNERS, HEX, MANY_REPOS
 from tidewire.llm.sentence_spans import LEAST_WORDS, LONE_WORDS
@@ -79,3 +80,18 @@ gone AS (SELECT DISTINCT rid, unnest(range(a, z + 1)) AS i FROM later),
 o AS (SELECT c.rid, count(*) AS n_sentences, count(gone.i) AS n_removed, string_agg(c.s, '' ORDER BY c.i) FILTER (gone.i IS NULL) AS text FROM c LEFT JOIN gone ON c.rid = gone.rid AND c.i = gone.i GROUP BY c.rid)
 SELECT doc_id, coalesce(n_sentences, 0) AS n_sentences, coalesce(n_removed, 0) AS n_removed, coalesce(o.text, '') AS text FROM d LEFT JOIN o USING (rid)
 """
+
+#: Every document passes through every order, without counting equal documents first.
+FILTER_AUDIT = rf"""
+WITH d AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t FROM documents),
+w AS (SELECT *, list_filter(string_split_regex(t, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws, min(doc_id) OVER (PARTITION BY t) AS first FROM d),
+f AS (SELECT doc_id, part, len(ws) < {AUDIT_WORDS} AS a, 100 * len(list_distinct(ws)) < {LEAST_DISTINCT} * len(ws) AS b, 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > {MOST_CAPITALS} * length(t) AS c, regexp_matches(t, '[#$%&*|]') AS d, coalesce(doc_id > first, false) AS e FROM w),
+l AS (SELECT doc_id, max(quality) = 1 AS good, max(toxic) = 1 AS bad FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id),
+m AS (SELECT part, coalesce(good, false) AS good, coalesce(bad, false) AS bad, CASE WHEN a THEN 'A' ELSE '' END || CASE WHEN b THEN 'B' ELSE '' END || CASE WHEN c THEN 'C' ELSE '' END || CASE WHEN d THEN 'D' ELSE '' END || CASE WHEN e THEN 'E' ELSE '' END AS fails FROM f LEFT JOIN l ON f.doc_id = l.doc_id),
+x AS (SELECT unnest(string_split('{FILTERS}', '')) AS x),
+o AS (SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM x a, x b, x c, x d, x e WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+s AS (SELECT filter_order, unnest([1, 2, 3, 4, 5]) AS step FROM o),
+k AS (SELECT part, good, bad, fails, filter_order, step, filter_order[step] AS letter, contains(fails, filter_order[step]) AS hit, regexp_matches(fails, '[' || filter_order[1:step] || ']') AS gone, step > 1 AND regexp_matches(fails, '[' || filter_order[1:step - 1] || '0]') AS before FROM m, s),
+g AS (SELECT part, filter_order, step, letter, count(*) FILTER (NOT gone) AS kept, count(*) FILTER (hit AND NOT before) AS removed, count(*) FILTER (hit AND before) AS redundant, count(*) FILTER (fails = letter) AS unique_fails, count(*) FILTER (hit AND NOT before AND good) AS good_lost, count(*) FILTER (hit AND NOT before AND bad) AS toxic_lost FROM k GROUP BY ALL)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, kept, removed, redundant, unique_fails, good_lost, toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, letter) AS BIGINT) AS shapley FROM g
+"""
