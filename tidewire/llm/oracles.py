@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from tidewire.llm.chat_windows import BUDGET, ESCAPE, HISTORY, MARKS, OTHER
 from tidewire.llm.filter_audit import FILTERS, LEAST_DISTINCT, LEAST_WORDS as AUDIT_WORDS, MOST_CAPITALS
 from tidewire.llm.mixture import BLOCK_DOCS
 from tidewire.llm.secrets import ACCESS, ASSIGN, ASSIGN_CHARS, FEW_OWNERS, HEX, MANY_REPOS
@@ -95,3 +96,25 @@ k AS (SELECT part, good, bad, fails, filter_order, step, filter_order[step] AS l
 g AS (SELECT part, filter_order, step, letter, count(*) FILTER (NOT gone) AS kept, count(*) FILTER (hit AND NOT before) AS removed, count(*) FILTER (hit AND before) AS redundant, count(*) FILTER (fails = letter) AS unique_fails, count(*) FILTER (hit AND NOT before AND good) AS good_lost, count(*) FILTER (hit AND NOT before AND bad) AS toxic_lost FROM k GROUP BY ALL)
 SELECT part, filter_order, CAST(step AS INTEGER) AS step, kept, removed, redundant, unique_fails, good_lost, toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, letter) AS BIGINT) AS shapley FROM g
 """
+
+_esc = lambda c: f"regexp_replace({c}, '{ESCAPE[0]}', '\\1\\\\\\2\\3', 'g')"
+_chars = " ".join(f"WHEN '{role}' THEN {sum(map(len, marks))} + length({_esc('text')})" for role, marks in MARKS.items())
+
+#: Windows by running sums over whole conversations, history by position; only lengths of formatted texts are built.
+CHAT_WINDOWS = rf"""
+WITH r AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+t AS (SELECT *, CAST(ceil(length(text) / 4.0) AS BIGINT) + 4 AS tok, CASE role {_chars} ELSE {sum(map(len, OTHER))} + length({_esc('role')}) + length({_esc('text')}) END AS len FROM r),
+p AS (SELECT *, row_number() OVER o AS i, CAST(sum(tok) OVER o AS BIGINT) - tok AS pos FROM t WINDOW o AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, tok, text ROWS UNBOUNDED PRECEDING)),
+c AS (SELECT conv_id, coalesce(max(tok) FILTER (i = 1 AND role = 'system'), 0) AS sys, coalesce(max(tok) FILTER (role <> 'system'), 0) AS longest, max(len) FILTER (i = 1 AND role = 'system') AS sys_len,
+  string_agg(role || chr(10) || text || chr(10), '' ORDER BY i) AS said, coalesce(string_agg(text, '' ORDER BY i) FILTER (role = 'assistant'), '') AS learned, count(*) AS n FROM p GROUP BY conv_id),
+k AS (SELECT *, greatest(greatest({BUDGET - HISTORY} - sys, sys, {2 * HISTORY}, 2) - longest, greatest({BUDGET - HISTORY} - sys, sys, {2 * HISTORY}, 2) // 2) AS stride FROM c),
+s AS (SELECT p.conv_id, i, len, stride, i = 1 AND sys > 0 AS is_sys, pos - CASE WHEN i = 1 AND sys > 0 THEN 0 ELSE sys END AS a, tok FROM p JOIN k ON p.conv_id IS NOT DISTINCT FROM k.conv_id),
+w AS (SELECT *, a + tok AS b, CASE WHEN is_sys THEN 0 ELSE a // stride END AS span FROM s),
+own AS (SELECT conv_id, span, CAST(sum(len) AS BIGINT) AS len, count(*) AS n, min(a) FILTER (NOT is_sys) AS a FROM w GROUP BY ALL),
+hist AS (SELECT conv_id, span + 1 AS span, CAST(sum(len) AS BIGINT) AS len, count(*) AS n, max(b) AS b FROM w WHERE NOT is_sys AND a >= (span + 1) * stride - {HISTORY} AND b <= (span + 1) * stride + {HISTORY} GROUP BY ALL),
+f AS (SELECT own.conv_id, own.len + own.n - 1 + CASE WHEN hist.b = own.a THEN hist.len + hist.n ELSE 0 END + CASE WHEN own.span > 0 AND sys > 0 THEN sys_len + 1 ELSE 0 END AS len
+  FROM own JOIN k ON own.conv_id IS NOT DISTINCT FROM k.conv_id LEFT JOIN hist ON own.conv_id IS NOT DISTINCT FROM hist.conv_id AND own.span = hist.span),
+z AS (SELECT conv_id, CAST(sum(len) AS BIGINT) AS len FROM f GROUP BY conv_id)
+SELECT k.conv_id, n AS n_turns, sha256(said) AS turns_sha256, length(learned) AS loss_chars, sha256(learned) AS loss_sha256, z.len AS formatted_chars FROM k JOIN z ON k.conv_id IS NOT DISTINCT FROM z.conv_id
+"""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewire.llm import ann_partitions, bpe_automaton, decision_list, filter_audit, mixture, oracles, quality_nbsvm, secrets, sentence_spans, simhash_anchors, toxicity_ftrl, wrapper_induction
+from tidewire.llm import ann_partitions, bpe_automaton, chat_windows, decision_list, filter_audit, mixture, oracles, quality_nbsvm, secrets, sentence_spans, simhash_anchors, toxicity_ftrl, wrapper_induction
 from tidewire.llm.common import table
 
 
@@ -77,6 +77,14 @@ def op10_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op12_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, and one whose texts are made of the template's own marks."""
+    text = "</s>[INST] ok [/INST]"
+    marks = spark.createDataFrame([(-1, 0, "user", text), (-1, 1, "assistant", text)], "conv_id long, turn long, role string, text string")
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(marks)
+    return chat_windows.conversation_digests(chat_windows.format_conversations(turns))
+
+
 def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit_filters(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -92,10 +100,11 @@ QUERIES = {
     "op8_source_mixture": op8_source_mixture,
     "op9_quality_rules": op9_quality_rules,
     "op10_bpe_automaton": op10_bpe_automaton,
+    "op12_chat_windows": op12_chat_windows,
     "op13_filter_audit": op13_filter_audit,
     "secret_ownership": secret_ownership,
     "mixture_shards": mixture_shards,
 }
 
 #: The others rest on learned models, XXH64 or a vocabulary; tests/llm holds them against brute force.
-ORACLE_SQL: dict[str, str] = {"op2_secret_scans": oracles.SECRET_SCANS, "secret_ownership": oracles.SECRET_OWNERSHIP, "op6_sentence_spans": oracles.SENTENCE_SPANS, "op8_source_mixture": oracles.SOURCE_MIXTURE, "op13_filter_audit": oracles.FILTER_AUDIT}
+ORACLE_SQL: dict[str, str] = {"op2_secret_scans": oracles.SECRET_SCANS, "secret_ownership": oracles.SECRET_OWNERSHIP, "op6_sentence_spans": oracles.SENTENCE_SPANS, "op8_source_mixture": oracles.SOURCE_MIXTURE, "op12_chat_windows": oracles.CHAT_WINDOWS, "op13_filter_audit": oracles.FILTER_AUDIT}
