@@ -6,6 +6,7 @@ import atexit
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -77,6 +78,14 @@ def drop_scratch(df: DataFrame) -> None:
         at.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(at, True)
 
 
+def local_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A few rows of the driver as a table whose size Spark knows, so that joins with it need no shuffle."""
+    kinds = {"int": pa.int32(), "long": pa.int64(), "string": pa.string(), "boolean": pa.bool_()}
+    fields = [f.split() for f in schema.split(", ")]
+    columns = list(zip(*rows)) or [()] * len(fields)
+    return spark.createDataFrame(pa.table({name: pa.array(c, kinds[kind]) for (name, kind), c in zip(fields, columns)}))
+
+
 def words(text: Column) -> Column:
     """The words ``[^\\x20\\x09-\\x0D]+`` of a text; none for null."""
     trimmed = F.btrim(F.coalesce(text, F.lit("")), F.lit(SPACES))

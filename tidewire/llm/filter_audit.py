@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewire.llm.common import scratch
+from tidewire.llm.common import local_table, scratch
 
 #: Fixed values of the contract: names of the filters, least words, least percent of distinct words, most percent of capitals, symbols.
 FILTERS = "ABCDE"
@@ -196,11 +196,10 @@ def audit(marked: DataFrame, labels: DataFrame) -> DataFrame:
     Documents are counted by part and failed bits first: at most 32 rows a part are joined with the
     steps, a table of 32 x 600 rows whatever the input.
     """
-    spark = marked.sparkSession
     known = labels.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.max((F.col("quality") == 1).cast("int")).alias("good"), F.max((F.col("toxic") == 1).cast("int")).alias("bad"))
     counted = marked.select("doc_id", "part", "fails").join(known, "doc_id", "left")
     counted = counted.groupBy("part", "fails").agg(F.count("*").alias("n"), F.coalesce(F.sum("good"), F.lit(0)).alias("good"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad"))
-    table = spark.createDataFrame(steps(), "fails int, filter_order string, step int, s_kept int, s_removed int, s_redundant int, s_only int, s_share int")
+    table = local_table(marked.sparkSession, steps(), "fails int, filter_order string, step int, s_kept int, s_removed int, s_redundant int, s_only int, s_share int")
     total = lambda flag, n="n": F.sum(F.col(flag) * F.col(n)).cast("long")
     return counted.join(table, "fails").groupBy("part", "filter_order", "step").agg(
         total("s_kept").alias("kept"), total("s_removed").alias("removed"), total("s_redundant").alias("redundant"), total("s_only").alias("unique_fails"),

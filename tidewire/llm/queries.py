@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewire.llm import ann_partitions, bpe_automaton, chat_windows, decision_list, filter_audit, mixture, oracles, quality_nbsvm, secrets, sentence_spans, simhash_anchors, toxicity_ftrl, wrapper_induction
+from tidewire.llm import ann_partitions, bpe_automaton, chat_windows, decision_list, filter_audit, mixture, oracles, quality_nbsvm, secrets, sentence_spans, simhash_anchors, time_partitions, toxicity_ftrl, wrapper_induction
 from tidewire.llm.common import table
 
 
@@ -77,6 +77,17 @@ def op10_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op11_time_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The clicks up to May in a new folder, then all of them in the same; what stands there in the end."""
+    clicks = table(spark, sf_dir, "clicks")
+    limit = 1 + clicks.count() // time_partitions.PARTS
+    moment = time_partitions.click_moment(F.col("ts"), F.col("click_id"))
+    folder, early = time_partitions.new_folder(spark), F.col("arrived_at") < F.lit("2024-05-01 00:00:00").cast("timestamp_ntz")
+    time_partitions.rewrite(clicks.where(early), folder, limit, moment, ("arrived_at", "click_id"))
+    files = time_partitions.rewrite(clicks, folder, limit, moment, ("arrived_at", "click_id"))
+    return time_partitions.file_report(clicks, folder, files, "click_id", ~early)
+
+
 def op12_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations, and one whose texts are made of the template's own marks."""
     text = "</s>[INST] ok [/INST]"
@@ -100,6 +111,7 @@ QUERIES = {
     "op8_source_mixture": op8_source_mixture,
     "op9_quality_rules": op9_quality_rules,
     "op10_bpe_automaton": op10_bpe_automaton,
+    "op11_time_partitions": op11_time_partitions,
     "op12_chat_windows": op12_chat_windows,
     "op13_filter_audit": op13_filter_audit,
     "secret_ownership": secret_ownership,
