@@ -1,79 +1,18 @@
 """Reconciliation, tables, pipelines, schedules and incremental runs."""
 
-import json
 from datetime import datetime, time, timedelta
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tidewire.operators import filters, reconcile
+from tidewire.operators import filters
 from tidewire.plans import pipelines, schedule
 from tidewire.schemas import ARTICLES, LOCATION, schema
 from tidewire.session import RunConfig
 from tidewire.sources import tables
 from tidewire.streaming import incremental
 
-KB = [
-    ("Kenya", "Nairobi", "Westlands", "KEN"), ("Kenya", "Nairobi", "Kasarani", "KEN"), ("Kenya", "Mombasa", "Nyali", "KEN"), ("Uganda", "Kampala", "Central Division", "UGA"), ("Ukraine", "Odesa Oblast", "Odesa", "UKR"),
-    ("Ukraine", "Kyiv", "", "UKR"), ("Ecuador", "Loja", "Loja", "ECU"), ("Peru", "Loreto", "Maynas", "PER"), ("Ecuador", "Loreto", "", "ECU"), ("Côte d'Ivoire", "Bouaké", "", "CIV"),
-]
-
-
-@pytest.fixture(scope="module")
-def reconciler():
-    return reconcile.Reconciler(reconcile.Gazetteer(KB))
-
-
-def place(level="Unknown", a0="Unknown", a1="Unknown", a2="Unknown"):
-    return {"location_level": level, "admin0": a0, "admin1": a1, "admin2": a2}
-
-
-def test_country_and_units(reconciler):
-    got = reconciler.document({"Kenya": place("country"), "Nairobi County": place("county", "Kenya"), "Kyiv": place("city", "Ukraine"), "Cote d'Ivoire": place("country")}, {})
-    r = got["reconciled_locations"]
-    assert r["Kenya"] == place("ADMIN0", "Kenya") and r["Nairobi County"] == place("ADMIN1", "Kenya", "Nairobi") and r["Kyiv"] == place("ADMIN1", "Ukraine", "Kyiv")
-    assert r["Cote d'Ivoire"]["admin0"] == "Côte d'Ivoire"
-    assert got["reconciled_locations_meta"]["status"] == "OK" and got["reconciled_locations_meta"]["doc_context_isos"] == ["CIV", "KEN", "UKR"]
-    assert got["reconciled_locations_evidence"]["Nairobi County"]["matched_value"] == "Nairobi" and "Kenya" in got["reconciled_locations_match_terms"]
-
-
-def test_skips_and_fallbacks(reconciler):
-    got = reconciler.document({"Africa": place("region"), "north east": place(), "Indian Ocean Bay": place("other", "Kenya"), "Zanzibar Region": place("region", "Kenya"), "unknown": place(), "Atlantis": place("city", "Nowhere")}, {})
-    r = got["reconciled_locations"]
-    assert "Africa" not in r and "north east" not in r and "unknown" not in r
-    assert r["Indian Ocean Bay"]["location_level"] == "UNKNOWN" and r["Zanzibar Region"]["admin0"] == "Kenya"
-    assert {x["location"]: x["reason"].split()[0] for x in got["reconciled_locations_revisit"]} == {"Zanzibar Region": "admin1", "Atlantis": "admin0"}
-    assert got["reconciled_locations_meta"]["status"] == "REVISIT"
-
-
-def test_codes_restrict_matches(reconciler):
-    got = reconciler.document({"Loreto": place("state", "Unknown")}, {"PER": ["Loreto"]})["reconciled_locations"]["Loreto"]
-    assert got == place("ADMIN1", "Peru", "Loreto")
-    assert reconciler.document({"Crimea": place()}, {"AUS": ["Crimea"]})["reconciled_locations"]["Crimea"]["admin0"] == "Unknown"
-
-
-def test_additions_and_duplicates(reconciler):
-    got = reconciler.document({"Nairobi": place("state", "Kenya"), "Nairobi Province": place("province", "Kenya")}, {"KEN": ["Nyali", "Mombasa", "Nairobi", "Lake Sea", "Nowhere"], "XXX": ["Loja"]})
-    r, meta = got["reconciled_locations"], got["reconciled_locations_meta"]
-    assert set(r) == {"Nairobi", "Nyali", "Mombasa"} and r["Nyali"] == place("ADMIN2", "Kenya", "Mombasa", "Nyali")
-    assert meta["n_reconciled"] == meta["n_reconciled_before_dedup"] - meta["n_dedup_dropped"] == 3 and meta["n_added_cliff_only"] == 2
-    assert "Nairobi Province" in got["reconciled_locations_evidence"] and json.loads(json.dumps(got))
-    assert reconciler.document({}, {})["reconciled_locations_meta"]["status"] == "NO_LOCATIONS"
-    assert reconciler.document(None, "text")["reconciled_locations"] == {}
-
-
-def test_reconcile_table(spark):
-    kb = spark.createDataFrame(KB, "Admin0 string, Admin1 string, Admin2 string, Admin0_ISO3 string")
-    rows = [("1", {"Nairobi": ("state", "Kenya", None, None)}, None, {"KEN": ["Mombasa"]}), ("2", None, None, None), ("3", {"X": ("a", "b", "c", "d")}, {"Kenya": ("country", None, None, None)}, {})]
-    df = spark.createDataFrame(rows, f"_id string, gemini_locations map<string,{LOCATION}>, gemini_locations_normalized map<string,{LOCATION}>, cliff_locations map<string,array<string>>")
-    got = {r._id: r for r in reconcile.reconcile_articles(df, kb).collect()}
-    assert set(got["1"].reconciled_locations) == {"Nairobi", "Mombasa"} and got["1"].reconciled_locations_meta.timestamp_utc
-    assert got["2"].reconciled_locations_meta.status == "NO_LOCATIONS" and set(got["3"].reconciled_locations) == {"Kenya"}
-    months = spark.createDataFrame([("1", 2020, 1), ("2", 2020, 1), ("3", 2020, 2)], "_id string, year int, month int")
-    assert {tuple(r) for r in reconcile.summary(reconcile.reconcile_articles(df, kb), months).collect()} == {(2020, 1, 2, 0), (2020, 2, 1, 0)}
-
-
 def articles(spark, rows):
     columns = schema(ARTICLES)
     return spark.createDataFrame([tuple(r.get(f.name) for f in columns) for r in rows], columns)

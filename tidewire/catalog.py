@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewire.functions import nested, placecolumns, text
-from tidewire.operators import classify, curate, filters, geo, kb, reconcile, reports, translate
+from tidewire.operators import classify, curate, filters, geo, kb, reports, translate
 from tidewire.sources import tables
 
 QUERIES: dict = {}
@@ -420,18 +420,4 @@ def clean_phrases(spark, d):
     return rows.select("n_nationkey", placecolumns.clean_phrase(F.col("key")).alias("phrase"), placecolumns.content_overlap(F.col("key"), F.col("other")).alias("overlap"))
 
 
-@_query()
-def reconciled_locations(spark, d):
-    """Rows-only: places named by nations and suppliers against a ladder of regions, nations and suppliers."""
-    place = lambda level, a0, a1: F.struct(F.lit(level).alias("location_level"), a0.alias("admin0"), a1.alias("admin1"), F.lit("Unknown").alias("admin2"))
-    rows = _t(spark, d, "customer").join(_t(spark, d, "nation"), F.col("c_nationkey") == F.col("n_nationkey")).join(_t(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
-    unknown = F.lit("Unknown")
-    articles = rows.select(
-        F.col("c_custkey").cast("string").alias("_id"), F.create_map(F.initcap("n_name"), place("state", F.initcap("r_name"), unknown), F.concat(F.lit("Province of "), F.initcap("n_name")), place("Other", unknown, unknown), F.lit("Europe"), place("country", unknown, unknown)).alias("gemini_locations"),
-        F.create_map().cast("map<string,struct<location_level:string,admin0:string,admin1:string,admin2:string>>").alias("gemini_locations_normalized"), F.create_map(F.substring("r_name", 1, 3), F.array("n_name")).alias("cliff_locations"),
-    )
-    out = reconcile.reconcile_articles(articles, _ladder_kb(spark, d))
-    return out.select("_id", F.explode_outer("reconciled_locations").alias("name", "place"), F.col("reconciled_locations_meta.status").alias("status")).select("_id", "name", "place.*", "status")
-
-
-from tidewire import catalog_corpus, catalog_places  # noqa: E402, F401  add their queries to these
+from tidewire import catalog_corpus, catalog_places, catalog_units  # noqa: E402, F401  add their queries to these

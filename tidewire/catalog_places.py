@@ -6,14 +6,19 @@ from pyspark.sql import functions as F
 
 from tidewire.catalog import _ladder_kb, _query, _t
 from tidewire.functions import placecolumns, text
-from tidewire.operators import geo, grounding, kb, reconcile
+from tidewire.operators import geo, grounding, kb, unit_search
+from tidewire.plans.staging import staged
 from tidewire.sources import tables
 
 _LOCATION = "struct<location_level:string,admin0:string,admin1:string,admin2:string>"
 
 
 def _keyed(spark, d):
-    return kb.with_keys(_ladder_kb(spark, d))
+    return staged(kb.with_keys(_ladder_kb(spark, d)), "kb")
+
+
+def _units(spark, d):
+    return grounding.index_units(_keyed(spark, d))
 
 
 def _people(spark, d):
@@ -50,8 +55,8 @@ def unit_choices(spark, d):
 
 @_query(f"WITH {_CASES} SELECT k AS doc, array_to_string(ctx, ',') AS context FROM x WHERE len(ctx) > 0")
 def context_codes(spark, d):
-    articles, keyed = _articles(spark, d), _keyed(spark, d)
-    out = grounding.context_codes(grounding.mentions_of(articles, keyed), grounding.geoparsed(articles), keyed)
+    articles, units = _articles(spark, d), _units(spark, d)
+    out = grounding.context_codes(grounding.mentions_of(articles, units.keyed), grounding.geoparsed(articles), units)
     return out.select("doc", F.array_join("context", ",").alias("context"))
 
 
@@ -68,9 +73,9 @@ _TABLE = "known AS (SELECT DISTINCT r_name AS r FROM supplier JOIN nation ON s_n
 @_query(f"""WITH {_CASES}, {_TABLE}, c AS (SELECT m.*, CASE WHEN listed THEN 'EUROPE' WHEN k % 4 = 0 THEN r WHEN len(ctx) = 1 THEN (SELECT q.r FROM known q WHERE substr(q.r, 1, 3) = m.ctx[1]) ELSE 'Unknown' END AS a0 FROM m)
 SELECT k AS doc, name, CASE WHEN listed THEN 'ADMIN0' WHEN k % 4 < 2 THEN 'ADMIN1' ELSE 'UNKNOWN' END AS level, a0 AS admin0, 'Unknown' AS admin1 FROM c""")
 def place_candidates(spark, d):
-    articles, keyed = _articles(spark, d), _keyed(spark, d)
-    mentions = grounding.mentions_of(articles, keyed)
-    out = grounding.candidates(mentions, grounding.context_codes(mentions, grounding.geoparsed(articles), keyed), keyed)
+    articles, units = _articles(spark, d), _units(spark, d)
+    mentions = staged(grounding.mentions_of(articles, units.keyed), "mentions")
+    out = grounding.candidates(mentions, staged(grounding.context_codes(mentions, grounding.geoparsed(articles), units), "contexts"), units)
     return out.select("doc", "name", "level", "admin0", "admin1")
 
 
@@ -78,18 +83,14 @@ def place_candidates(spark, d):
 t AS (SELECT *, CASE WHEN listed THEN ['EUR'] WHEN k % 4 = 0 OR src = 'cliff_name' THEN [iso] ELSE ctx END AS isos FROM s)
 SELECT k AS doc, name, array_to_string(isos, ',') AS isos, src AS iso_source, src = 'gemini_admin0' OR src <> 'none' AND len(isos) <= 2 AS strict FROM t""")
 def iso_constraints(spark, d):
-    articles, keyed = _articles(spark, d), _keyed(spark, d)
-    mentions, places = grounding.mentions_of(articles, keyed), grounding.geoparsed(articles)
-    cands = grounding.candidates(mentions, grounding.context_codes(mentions, places, keyed), keyed)
-    out = grounding.anchored(grounding.constraints(cands, grounding.named_codes(mentions, places, keyed)), keyed)
-    return out.select("doc", "name", F.array_join("isos", ",").alias("isos"), "iso_source", "strict")
+    return grounding.prepare(_articles(spark, d), _ladder_kb(spark, d)).asked.select("doc", "name", F.array_join("isos", ",").alias("isos"), "iso_source", "strict")
 
 
 @_query("""SELECT c_custkey, CASE WHEN c_custkey % 6 IN (2, 4) THEN NULL ELSE r_name END AS country, CASE c_custkey % 6 WHEN 1 THEN 'iso3' WHEN 2 THEN 'no_match' WHEN 4 THEN 'empty' WHEN 5 THEN 'fuzzy' ELSE 'exact' END AS how FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey""")
 def resolved_countries(spark, d):
     k, r = F.col("c_custkey") % 6, F.col("r_name")
     rows = _people(spark, d).select("c_custkey", F.when(k == 0, F.lower(r)).when(k == 1, F.lower(F.substring(r, 1, 3))).when(k == 2, "Nowhere").when(k == 3, F.concat(F.initcap(r), F.lit("!"))).when(k == 4, " ").otherwise(F.concat(r, F.lit("s"))).alias("text"))
-    return rows.join(grounding.resolve_countries(rows, _keyed(spark, d)).drop("isos"), "text").select("c_custkey", "country", "how")
+    return rows.join(grounding.resolve_countries(rows, _units(spark, d)).drop("isos", "ckey"), "text").select("c_custkey", "country", "how")
 
 
 @_query("""SELECT c_custkey, CASE WHEN (c_custkey % 2 = 0 OR c_custkey % 3 <> 2) AND n_nationkey IN (SELECT s_nationkey FROM supplier) THEN n_name END AS value FROM customer JOIN nation ON c_nationkey = n_nationkey""")
@@ -98,7 +99,7 @@ def similar_units(spark, d):
     k, iso = F.col("c_custkey"), F.substring("r_name", 1, 3)
     isos = F.when(k % 3 == 0, F.array(iso)).when(k % 3 == 1, F.array(iso, F.lit("ZZZ"))).otherwise(F.array(F.lit("ZZZ")))
     rows = _people(spark, d).select("c_custkey", text.normalize_for_match(F.concat("n_name", F.lit("!"))).alias("key"), isos.alias("isos"), (k % 2 == 1).alias("strict"))
-    best = grounding.most_similar(rows, _keyed(spark, d), 1, F.col("strict")).where("score = 100")
+    best = grounding.most_similar(rows, _units(spark, d), (1,), F.col("strict"))
     return rows.withColumn("isos", F.array_sort("isos")).join(best, ["key", "isos", "strict"], "left").select("c_custkey", "value")
 
 
@@ -151,23 +152,23 @@ UNION ALL SELECT k, r, 'ADMIN0', r, 'Unknown', 'Unknown' FROM f WHERE r = 'AMERI
 
 @_query(f"WITH {_FOUND} SELECT k AS doc, name, level, admin0, admin1, admin2 FROM g")
 def added_places(spark, d):
-    articles, keyed = _found(spark, d), _keyed(spark, d)
-    return grounding.additions(grounding.geoparsed(articles), grounding.mentions_of(articles, keyed), keyed).select("doc", "name", "level", "admin0", "admin1", "admin2")
+    articles, units = _found(spark, d), _units(spark, d)
+    return grounding.additions(grounding.geoparsed(articles), grounding.mentions_of(articles, units.keyed), units).select("doc", "name", "level", "admin0", "admin1", "admin2")
 
 
 @_query(f"""WITH {_FOUND}, {_RESULTS}, c AS (SELECT k, count(*) AS n FROM g GROUP BY 1)
 SELECT v.k AS doc, CASE WHEN v.k % 4 = 0 THEN 1 ELSE 0 END AS n_gemini, coalesce(c.n, 0) AS n_added, CASE WHEN v.k % 4 <> 0 AND v.k % 10 = 9 THEN 'NO_LOCATIONS' WHEN reason <> 'generic' THEN 'REVISIT' ELSE 'OK' END AS status FROM v LEFT JOIN c ON c.k = v.k""")
 def article_status(spark, d):
-    articles, keyed = _found(spark, d), _keyed(spark, d)
-    added = grounding.additions(grounding.geoparsed(articles), grounding.mentions_of(articles, keyed), keyed)
-    return grounding.article_status(articles, grounding.review(_results(spark, d), keyed), added).select("doc", "n_gemini", "n_added", "status")
+    articles, units = _found(spark, d), _units(spark, d)
+    added = grounding.additions(grounding.geoparsed(articles), grounding.mentions_of(articles, units.keyed), units)
+    return grounding.article_status(articles, grounding.review(_results(spark, d), units.keyed), added).select("doc", "n_gemini", "n_added", "status")
 
 
 @_query("""SELECT CAST(year(o_orderdate) AS INTEGER) AS year, CAST(month(o_orderdate) AS INTEGER) AS month, count(*) AS processed, count(*) FILTER (o_orderkey % 3 = 0) AS revisit_docs FROM orders GROUP BY ALL""")
 def reconciled_by_month(spark, d):
     orders = _t(spark, d, "orders")
     done = orders.select(F.col("o_orderkey").alias("_id"), F.struct(F.when(F.col("o_orderkey") % 3 == 0, "REVISIT").otherwise("OK").alias("status")).alias("reconciled_locations_meta"))
-    return reconcile.summary(done, orders.select(F.col("o_orderkey").alias("_id"), F.year("o_orderdate").alias("year"), F.month("o_orderdate").alias("month")))
+    return unit_search.summary(done, orders.select(F.col("o_orderkey").alias("_id"), F.year("o_orderdate").alias("year"), F.month("o_orderdate").alias("month")))
 
 
 @_query("""SELECT p_partkey, CASE p_partkey % 5 WHEN 0 THEN 'feature' WHEN 1 THEN 'direction' WHEN 2 THEN 'generic' END AS skipped FROM part""")

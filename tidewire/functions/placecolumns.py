@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tidewire.functions import placenames as P
+from tidewire.functions.similarity import weighted_column
 
 
 def _in(c: Column, values) -> Column:
@@ -69,6 +70,14 @@ def words_may_match(key: Column, value: Column) -> Column:
     return ~lone | (F.size(added) < F.size(whole)) & F.forall(added, minor)
 
 
+def alias(a: Column, b: Column) -> Column:
+    """Plausibly one place: without qualifiers the names are equal, one holds the other, or they are very similar."""
+    x, y = clean_phrase(a), clean_phrase(b)
+    shorter = F.least(F.length(x), F.length(y))
+    holds = (F.contains(x, y) | F.contains(y, x)) & (shorter >= P.LEAST_HELD) & (F.greatest(F.length(x), F.length(y)) - shorter <= P.MOST_GAP)
+    return (x != "") & (y != "") & ((x == y) | holds | (weighted_column(x, y) >= P.ALIAS))
+
+
 def exonym(key: Column) -> Column:
     table = F.create_map(*[F.lit(x) for kv in P.EXONYMS.items() for x in kv])
     return F.coalesce(F.try_element_at(table, key), key)

@@ -1,14 +1,17 @@
 """String similarity from 0 to 100, by longest common subsequences.
 
-The weighted score is this library's own approximation of the usual one: plain, token-sorted,
-token-set and partial comparisons, scaled by how far the lengths differ. Any function of two strings
-may stand in its place.
+``weighted`` is the published weighted ratio: the best of the plain, token-sorted, token-set and partial
+comparisons, each scaled down by how much it overlooks. Names are compared as they are; normalize first.
 """
 
 from __future__ import annotations
 
 from functools import lru_cache
 
+import pandas as pd
+from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
+
 
 def common_length(a: str, b: str) -> int:
     """Length of the longest common subsequence, one machine word of bits a character of ``a``."""
@@ -31,8 +34,13 @@ def ratio(a: str, b: str) -> float:
 
 
 def partial_ratio(a: str, b: str) -> float:
-    """The best ratio of the shorter string with a window of the longer one, cut at its ends."""
-    short, long_ = (a, b) if len(a) <= len(b) else (b, a)
+    """The best ratio of the shorter string with a window of the longer one, cut at its ends; of equal lengths, either way."""
+    if len(a) == len(b):
+        return max(_windows(a, b), _windows(b, a))
+    return _windows(a, b) if len(a) < len(b) else _windows(b, a)
+
+
+def _windows(short: str, long_: str) -> float:
     if not short:
         return 0.0
     n, best = len(short), 0.0
@@ -62,10 +70,10 @@ def token_ratio(a: str, b: str) -> float:
 
 
 def partial_token_ratio(a: str, b: str) -> float:
-    x, y = set(a.split()), set(b.split())
-    if x & y:
+    x, y = a.split(), b.split()
+    if set(x) & set(y):
         return 100.0
-    return partial_ratio(_joined(x), _joined(y))
+    return max(partial_ratio(_joined(x), _joined(y)), partial_ratio(_joined(set(x)), _joined(set(y))))
 
 
 @lru_cache(maxsize=200_000)
@@ -78,3 +86,14 @@ def weighted(a: str, b: str) -> float:
         return max(best, 0.95 * token_ratio(a, b))
     scale = 0.9 if lengths <= 8 else 0.6
     return max(best, scale * partial_ratio(a, b), 0.95 * scale * partial_token_ratio(a, b))
+
+
+@F.pandas_udf(DoubleType())
+def weighted_column(a: pd.Series, b: pd.Series) -> pd.Series:
+    """``weighted`` of two columns; null where either is null."""
+    return pd.Series([None if x is None or y is None else weighted(x, y) for x, y in zip(a, b)], dtype=float)
+
+
+@F.pandas_udf(DoubleType())
+def ratio_column(a: pd.Series, b: pd.Series) -> pd.Series:
+    return pd.Series([None if x is None or y is None else ratio(x, y) for x, y in zip(a, b)], dtype=float)

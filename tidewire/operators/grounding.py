@@ -3,21 +3,22 @@
 Every step takes and gives tables with one row a mention, keyed by article and position. Texts are
 resolved and scored once for each distinct (text, codes) pair and joined back. The knowledge base
 stays a table: it is joined by key or by code, and Spark broadcasts what its measured size allows.
+``prepare`` computes what all later steps read, each once, as tables in the shared folder.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from dataclasses import dataclass
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewire.functions import nested, placecolumns
 from tidewire.functions import placenames as P
-from tidewire.functions.similarity import weighted
 from tidewire.functions.text import normalize_for_match
 from tidewire.operators import kb as units
+from tidewire.operators import simjoin
+from tidewire.plans.staging import staged
 
 #: Least scores of a match, of one without codes or country, of a country and of an added country,
 #: and of one common token by how many units hold it; most places added to an article.
@@ -25,8 +26,6 @@ MATCH, LOOSE, COUNTRY, ADDED_COUNTRY = 85.0, 88.0, 88.0, 90.0
 COMMON_TOKENS = ((25, 95.0), (12, 92.0))
 MOST_ADDED = 25
 LEVELS = ("Admin0", "Admin1", "Admin2")
-#: Queries that one task scores against the values of a code.
-CHUNK = 4096
 
 _CODES = "array<string>"
 
@@ -36,23 +35,26 @@ def _none(kind: str = _CODES) -> Column:
 
 
 def mentions_of(articles: DataFrame, keyed: DataFrame, id_col: str = "_id") -> DataFrame:
-    """One row a place: ``doc``, ``position``, ``name`` and its ``key``, the sanitized level and units, and
-    ``country_like``, whether its level or its name is a country's. Blank and unknown names are left out."""
+    """One row a place: ``doc``, ``position``, ``name`` and its ``key``, the sanitized level and units with their keys (null where unknown),
+    ``country_like``, whether its level or its name is a country's, and ``other``, whether the level says so. Blank and unknown names are left out."""
     places = nested.first_filled(F.col("gemini_locations_normalized"), F.col("gemini_locations"))
     rows = articles.select(F.col(id_col).alias("doc"), F.posexplode(places).alias("position", "name", "info"))
     key = lambda c: normalize_for_match(F.col(c))
     out = rows.select("doc", "position", "name", F.coalesce("info.location_level", F.lit("Unknown")).alias("raw"), *[F.col(f"info.admin{i}").alias(f"raw{i}") for i in range(3)])
     out = out.withColumns({"key": key("name"), "raw_key": key("raw"), **{f"k{i}": key(f"raw{i}") for i in range(3)}})
-    out = out.select("doc", "position", "name", "key", "raw_key", placecolumns.level(F.col("raw"), F.col("raw_key")).alias("level"), *[placecolumns.known(F.col(f"raw{i}"), F.col(f"k{i}")).alias(f"admin{i}") for i in range(3)])
+    units_ = [placecolumns.known(F.col(f"raw{i}"), F.col(f"k{i}")).alias(f"admin{i}") for i in range(3)]
+    out = out.select("doc", "position", "name", "key", "raw_key", placecolumns.level(F.col("raw"), F.col("raw_key")).alias("level"), *units_, "k0", "k1", "k2")
+    out = out.withColumns({f"key{i}": F.when(F.col(f"admin{i}") != "Unknown", F.col(f"k{i}")) for i in range(3)}).drop("k0", "k1", "k2")
     countries = keyed.where(F.col("Admin0_norm") != "").select(F.col("Admin0_norm").alias("ckey")).distinct()
     marked = out.where((F.col("key") != "") & (F.col("key") != "unknown")).join(countries, F.col("key") == F.col("ckey"), "left")
-    return marked.withColumn("country_like", F.col("raw_key").isin(sorted(P.COUNTRY_LEVELS)) | F.col("ckey").isNotNull()).drop("ckey", "raw_key")
+    return marked.withColumns({"country_like": F.col("raw_key").isin(sorted(P.COUNTRY_LEVELS)) | F.col("ckey").isNotNull(), "other": F.col("raw_key") == "other"}).drop("ckey", "raw_key")
 
 
 def geoparsed(articles: DataFrame, id_col: str = "_id", column: str = "cliff_locations") -> DataFrame:
-    """One row a code and place of the geoparser's map, in its order; codes without places have one row."""
+    """One row a code and place of the geoparser's map, with its ``key``, in its order; codes without places have one row."""
     entries = articles.select(F.col(id_col).alias("doc"), F.posexplode(F.map_entries(column)).alias("code_at", "e"))
-    return entries.select("doc", "code_at", F.upper(F.trim("e.key")).alias("iso"), placecolumns.iso_key(F.col("e.key")).alias("valid_iso"), F.posexplode_outer("e.value").alias("place_at", "place"))
+    out = entries.select("doc", "code_at", F.upper(F.trim("e.key")).alias("iso"), placecolumns.iso_key(F.col("e.key")).alias("valid_iso"), F.posexplode_outer("e.value").alias("place_at", "place"))
+    return out.withColumn("key", normalize_for_match(F.col("place")))
 
 
 def values_by_code(keyed: DataFrame, level: int) -> DataFrame:
@@ -61,69 +63,78 @@ def values_by_code(keyed: DataFrame, level: int) -> DataFrame:
     return keyed.where(F.col(name) != "").select(F.col("Admin0_ISO3").alias("iso"), F.col(name).alias("value"), F.col(f"{name}_norm").alias("vkey")).distinct()
 
 
-def most_similar(queries: DataFrame, keyed: DataFrame, level: int, strict: Column | bool = False, similarity: Callable[[str, str], float] = weighted) -> DataFrame:
-    """(key, isos, strict, value, score): for each distinct query the most similar value of a level.
+@dataclass(frozen=True)
+class Units:
+    """A knowledge base with keys and the index of its values, made once for all lookups."""
+
+    keyed: DataFrame
+    values: DataFrame
+    index: simjoin.Index
+
+
+def index_units(keyed: DataFrame) -> Units:
+    """The values of all levels under their codes and under ``simjoin.ANY``, with their similarity index."""
+    values = None
+    for level in range(3):
+        choices = values_by_code(keyed, level)
+        # Of values with one key the first one counts.
+        part = choices.groupBy("iso", "vkey").agg(F.min("value").alias("value")).unionByName(choices.groupBy("vkey").agg(F.min("value").alias("value")).withColumn("iso", F.lit(simjoin.ANY)))
+        part = part.select(F.lit(level).alias("level"), "iso", "vkey", "value")
+        values = part if values is None else values.unionByName(part)
+    values = staged(values, "values")
+    return Units(keyed, values, simjoin.build_index(values.select(F.col("vkey").alias("key"), _place(F.col("level"), F.col("iso")).alias("iso"))))
+
+
+def _place(level: Column, iso: Column) -> Column:
+    """Level and code as one code of the index."""
+    return F.concat(level.cast("string"), F.lit(":"), iso)
+
+
+def most_similar(queries: DataFrame, units_: Units, levels: tuple[int, ...], strict: Column | bool = False, least: float = MATCH) -> DataFrame:
+    """(level, key, isos, strict, value, vkey, score): for each distinct query the most similar value of each level, if its score is at least ``least``.
 
     ``queries`` has ``key``, a normalized text, and ``isos``, the codes to look under. Without codes
     all values count; so they do where the codes have none, unless ``strict``. Ties go to the value
-    that sorts first. Queries and values meet by code; a code with very many queries is split into
-    chunks, and only the best value of a chunk leaves it.
+    that sorts first. Pairs come from the similarity join, and are scored once whatever levels and codes.
     """
-    choices = values_by_code(keyed, level)
     asked = queries.select("key", F.array_sort(F.coalesce("isos", _none())).alias("isos"), (F.lit(strict) if isinstance(strict, bool) else strict).alias("strict")).where(F.col("key") != "").distinct()
-    every = choices.agg(F.array_sort(F.collect_set("iso")).alias("every"))  # one row: the codes of all countries
-    inside = asked.crossJoin(F.broadcast(every))
-    known = F.array_intersect("isos", "every")
-    under = F.when(F.size("isos") == 0, F.col("every")).when((F.size(known) > 0) | F.col("strict"), known).otherwise(F.col("every"))
-    spread = inside.select("key", "isos", "strict", F.explode(under).alias("iso"))
-    texts = spread.select("key", "iso").distinct()
-    chunks = texts.groupBy("iso").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("chunks"))
-    salted = texts.join(chunks, "iso").select("key", "iso", F.pmod(F.xxhash64("key"), F.col("chunks")).cast("int").alias("chunk"))
-    copied = choices.join(chunks, "iso").select("iso", "value", "vkey", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"))
-
-    def score(q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
-        c = c.sort_values("value")
-        pairs = list(zip(c["value"], c["vkey"]))
-        same: dict[str, str] = {}
-        for value, vkey in pairs:
-            same.setdefault(vkey, value)
-        out = []
-        for key in q["key"] if pairs else ():
-            if key in same:  # no other text is as similar as an equal one
-                out.append((key, same[key], 100.0))
-                continue
-            best, top = None, 0.0
-            for value, vkey in pairs:
-                if (s := similarity(key, vkey)) > top:
-                    best, top = value, s
-            if best is not None:
-                out.append((key, best, float(top)))
-        found = pd.DataFrame(out, columns=["key", "value", "score"])
-        found.insert(1, "iso", q["iso"].iloc[0] if len(q) else "")
-        return found
-
-    at = ["iso", "chunk"]
-    best = salted.groupBy(*at).cogroup(copied.groupBy(*at)).applyInPandas(score, "key string, iso string, value string, score double")
-    top = spread.join(best, ["key", "iso"]).groupBy("key", "isos", "strict").agg(F.min(F.struct((-F.col("score")).alias("s"), "value")).alias("b"))
-    return top.select("key", "isos", "strict", F.col("b.value").alias("value"), (-F.col("b.s")).alias("score"))
-
-
-def resolve_countries(texts: DataFrame, keyed: DataFrame, least: float = COUNTRY, isos: Column | None = None, similarity: Callable[[str, str], float] = weighted) -> DataFrame:
-    """Distinct ``text`` (and ``isos``) with ``country``, ``score`` and ``how``: by code, by equal key, or by similarity.
+    asked = asked.withColumn("level", F.explode(F.array(*map(F.lit, levels))))
+    codes = units_.values.select("level", "iso").distinct().withColumn("held", F.lit(True))
+    opened = asked.withColumn("iso", F.explode_outer("isos")).join(codes, ["level", "iso"], "left")
+    under = opened.groupBy("level", "key", "isos", "strict").agg(F.collect_set(F.when(F.col("held"), F.col("iso"))).alias("known"))
+    anywhere = F.array(F.lit(simjoin.ANY))
+    under = under.withColumn("under", F.when(F.size("isos") == 0, anywhere).when((F.size("known") > 0) | F.col("strict"), F.col("known")).otherwise(anywhere))
+    spread = under.select("level", "key", "isos", "strict", F.explode("under").alias("iso"))
+    pairs = simjoin.similar_pairs(spread.select("key", _place(F.col("level"), F.col("iso")).alias("iso")), units_.index, least)
+    hits = spread.join(pairs, "key").join(units_.values, ["level", "iso", "vkey"])
+    best = hits.groupBy("level", "key", "isos", "strict").agg(F.min(F.struct((-F.col("score")).alias("s"), "value", "vkey")).alias("b"))
+    return best.select("level", "key", "isos", "strict", F.col("b.value").alias("value"), F.col("b.vkey").alias("vkey"), (-F.col("b.s")).alias("score"))
+
+
+def resolve_countries(texts: DataFrame, units_: Units, least: float = COUNTRY, isos: Column | None = None) -> DataFrame:
+    """Distinct ``text`` (and ``isos``) with ``country``, its key ``ckey``, ``score`` and ``how``: by code, by equal key, or by similarity.
 
     Codes and equal keys count under any code; similar names only under those of ``isos`` where given.
+    A column ``key`` of normalized texts saves normalizing them.
     """
-    raw = texts.select(F.col("text"), F.array_sort(F.coalesce(_none() if isos is None else isos, _none())).alias("isos")).distinct().withColumns({"key": normalize_for_match(F.col("text")), "code": F.upper(F.trim("text"))})
+    key = F.col("key") if "key" in texts.columns else normalize_for_match(F.col("text"))
+    raw = texts.select("text", key.alias("key"), F.array_sort(F.coalesce(_none() if isos is None else isos, _none())).alias("isos")).distinct().withColumn("code", F.upper(F.trim("text")))
+    keyed = units_.keyed
     names = units.country_names(keyed).select(F.col("Admin0_ISO3").alias("code"), F.col("Admin0").alias("by_code"))
     exact = keyed.where(F.col("Admin0") != "").groupBy(F.col("Admin0_norm").alias("key")).agg(F.min("Admin0").alias("by_key"))
-    out = raw.join(names, "code", "left").join(exact, "key", "left")
-    open_ = out.where(F.col("by_code").isNull() & F.col("by_key").isNull())
-    near = most_similar(open_, keyed, 0, False, similarity).where(F.col("score") >= least).select("key", "isos", F.col("value").alias("by_score"), "score")
-    out = out.join(near, ["key", "isos"], "left")
+    out = staged(raw.join(names, "code", "left").join(exact, "key", "left"), "texts")
     by_code = F.col("by_code").isNotNull() & F.col("code").rlike("^[A-Z]{3}$")
+    left = out.where(~by_code & F.col("by_key").isNull() & (F.col("key") != ""))
+    if left.isEmpty():
+        out = out.withColumns({"by_score": F.lit(None).cast("string"), "score": F.lit(None).cast("double")})
+    else:
+        near = most_similar(left, units_, (0,), False, least).select("key", "isos", F.col("value").alias("by_score"), "score")
+        out = out.join(near, ["key", "isos"], "left")
     how = F.when(F.trim("text") == "", "empty").when(by_code, "iso3").when(F.col("by_key").isNotNull(), "exact").when(F.col("by_score").isNotNull(), "fuzzy").otherwise("no_match")
     country = F.when(how == "iso3", F.col("by_code")).when(how == "exact", F.col("by_key")).when(how == "fuzzy", F.col("by_score"))
-    return out.select("text", "isos", country.alias("country"), F.when(how.isin("iso3", "exact"), 100.0).when(how == "fuzzy", F.col("score")).otherwise(0.0).alias("score"), how.alias("how"))
+    out = out.select("text", "isos", country.alias("country"), F.when(how.isin("iso3", "exact"), 100.0).when(how == "fuzzy", F.col("score")).otherwise(0.0).alias("score"), how.alias("how"))
+    keys = keyed.select(F.col("Admin0").alias("country"), F.col("Admin0_norm").alias("ckey")).distinct()
+    return out.join(keys, "country", "left").select("text", "isos", "country", "ckey", "score", "how")
 
 
 def country_codes(keyed: DataFrame) -> DataFrame:
@@ -131,10 +142,11 @@ def country_codes(keyed: DataFrame) -> DataFrame:
     return units.membership(keyed, 0).select(F.col("Admin0_norm").alias("ckey"), F.col("isos").alias("country_isos"))
 
 
-def context_codes(mentions: DataFrame, places: DataFrame, keyed: DataFrame) -> DataFrame:
+def context_codes(mentions: DataFrame, places: DataFrame, units_: Units) -> DataFrame:
     """(doc, context): the valid codes of the geoparser and the codes of the countries that mentions resolve to, sorted."""
-    named = mentions.select("doc", F.when(F.col("admin0") != "Unknown", F.col("admin0")).when(F.col("country_like"), F.col("name")).alias("text")).where("text IS NOT NULL")
-    found = resolve_countries(named, keyed).where("country IS NOT NULL").select("text", normalize_for_match(F.col("country")).alias("ckey")).join(country_codes(keyed), "ckey").select("text", F.explode("country_isos").alias("iso"))
+    stated = F.col("admin0") != "Unknown"
+    named = mentions.where(stated | F.col("country_like")).select("doc", F.when(stated, F.col("admin0")).otherwise(F.col("name")).alias("text"), F.when(stated, F.col("key0")).otherwise(F.col("key")).alias("key"))
+    found = resolve_countries(named, units_).where("country IS NOT NULL").join(country_codes(units_.keyed), "ckey").select("text", F.explode("country_isos").alias("iso"))
     codes = named.join(found, "text").select("doc", "iso").unionByName(places.where("valid_iso IS NOT NULL").select("doc", F.col("valid_iso").alias("iso")))
     return codes.groupBy("doc").agg(F.array_sort(F.collect_set("iso")).alias("context"))
 
@@ -142,29 +154,36 @@ def context_codes(mentions: DataFrame, places: DataFrame, keyed: DataFrame) -> D
 def named_codes(mentions: DataFrame, places: DataFrame, keyed: DataFrame) -> DataFrame:
     """(doc, position, named): the codes under which the geoparser lists just this name, of those the knowledge base has."""
     codes = units.country_names(keyed).select(F.col("Admin0_ISO3").alias("iso"))
-    listed = places.where("place IS NOT NULL").join(codes, "iso", "left_semi").select("doc", "iso", normalize_for_match(F.col("place")).alias("key"))
+    listed = places.where("place IS NOT NULL").join(codes, "iso", "left_semi").select("doc", "iso", "key")
     hits = mentions.select("doc", "position", "key").join(listed, ["doc", "key"])
     return hits.groupBy("doc", "position").agg(F.array_sort(F.collect_set("iso")).alias("named"))
 
 
-def candidates(mentions: DataFrame, contexts: DataFrame, keyed: DataFrame) -> DataFrame:
+def candidates(mentions: DataFrame, contexts: DataFrame, units_: Units) -> DataFrame:
     """Mentions with their country resolved, or taken from the only code of the article.
 
     Similar names count only under the article's codes where these are at most four. Mentions like a
     country are of level ADMIN0, without units, if that country is known, and else of none.
     """
+    by_name = (F.col("admin0") == "Unknown") & F.col("country_like")
     rows = mentions.join(contexts, "doc", "left").withColumn("context", F.coalesce("context", _none()))
-    rows = rows.withColumns({"text": F.when((F.col("admin0") == "Unknown") & F.col("country_like"), F.col("name")).otherwise(F.col("admin0")), "under": F.when(F.size("context") <= 4, F.col("context")).otherwise(_none())})
-    due = rows.where("text <> 'Unknown'")
-    found = resolve_countries(due, keyed, isos=F.col("under")).select("text", F.col("isos").alias("under"), "country")
+    rows = rows.withColumns({"text": F.when(by_name, F.col("name")).otherwise(F.col("admin0")), "tkey": F.when(by_name, F.col("key")).otherwise(F.col("key0")), "under": F.when(F.size("context") <= 4, F.col("context")).otherwise(_none())})
+    due = rows.where("text <> 'Unknown'").select("text", F.col("tkey").alias("key"), "under")
+    keyed = units_.keyed
+    found = resolve_countries(due, units_, isos=F.col("under")).select("text", F.col("isos").alias("under"), "country", F.col("ckey").alias("found_key"))
     names = units.country_names(keyed).select(F.col("Admin0_ISO3").alias("only"), F.col("Admin0").alias("only_country"))
+    names = names.join(keyed.select(F.col("Admin0").alias("only_country"), F.col("Admin0_norm").alias("only_key")).distinct(), "only_country")
     rows = rows.withColumn("only", F.when(F.size("context") == 1, F.get("context", F.lit(0)))).join(found, ["text", "under"], "left").join(names, "only", "left")
-    admin0 = F.coalesce("country", F.when(F.col("admin0") != "Unknown", F.col("admin0")), "only_country", F.lit("Unknown"))
-    rows = rows.withColumn("a0", admin0).withColumn("ckey", normalize_for_match(F.when(F.col("a0") != "Unknown", F.col("a0")))).join(country_codes(keyed), "ckey", "left")
+    stated = F.col("admin0") != "Unknown"
+    rows = rows.withColumns({
+        "a0": F.coalesce("country", F.when(stated, F.col("admin0")), "only_country", F.lit("Unknown")),
+        "ckey": F.when(F.col("country").isNotNull(), F.col("found_key")).when(stated, F.col("key0")).otherwise(F.col("only_key")),
+    }).join(country_codes(keyed), "ckey", "left")
     grounded = F.col("country_isos").isNotNull()
     level = F.when(~F.col("country_like"), F.col("level")).when(grounded, "ADMIN0").otherwise("UNKNOWN")
-    unit = lambda c: F.when(F.col("country_like") & grounded, "Unknown").otherwise(F.col(c)).alias(c)
-    return rows.select("doc", "position", "name", "key", "country_like", "context", level.alias("level"), F.col("a0").alias("admin0"), unit("admin1"), unit("admin2"), F.coalesce("country_isos", _none()).alias("country_isos"))
+    blank = F.col("country_like") & grounded
+    unit = [x for i in (1, 2) for x in (F.when(blank, "Unknown").otherwise(F.col(f"admin{i}")).alias(f"admin{i}"), F.when(~blank, F.col(f"key{i}")).alias(f"key{i}"))]
+    return rows.select("doc", "position", "name", "key", "country_like", "other", "context", level.alias("level"), F.col("a0").alias("admin0"), "ckey", *unit, F.coalesce("country_isos", _none()).alias("country_isos"))
 
 
 def constraints(cands: DataFrame, named: DataFrame) -> DataFrame:
@@ -185,10 +204,35 @@ def constraints(cands: DataFrame, named: DataFrame) -> DataFrame:
 
 
 def anchored(constrained: DataFrame, keyed: DataFrame) -> DataFrame:
-    """Candidates without a country take that of their only code."""
+    """Candidates without a country take that of their only code; ``strong`` says whether the country is known, ``ckey`` is its key."""
     names = units.country_names(keyed).select(F.col("Admin0_ISO3").alias("only"), F.col("Admin0").alias("only_country"))
+    names = names.join(keyed.select(F.col("Admin0").alias("only_country"), F.col("Admin0_norm").alias("only_key")).distinct(), "only_country")
     only = F.when((F.col("admin0") == "Unknown") & F.col("iso_source").isin("cliff_name", "doc_context") & (F.size("isos") == 1), F.get("isos", F.lit(0)))
-    return constrained.withColumn("only", only).join(names, "only", "left").withColumn("admin0", F.coalesce("only_country", "admin0")).drop("only", "only_country")
+    out = constrained.withColumn("only", only).join(names, "only", "left")
+    return out.withColumns({"admin0": F.coalesce("only_country", "admin0"), "ckey": F.coalesce("only_key", "ckey"), "strong": F.col("only_country").isNotNull() | (F.size("country_isos") > 0)}).drop("only", "only_country", "only_key")
+
+
+@dataclass(frozen=True)
+class Prepared:
+    """The knowledge base with keys, mentions, the geoparser's places, the codes of articles, and mentions with country and codes."""
+
+    units: Units
+    mentions: DataFrame
+    places: DataFrame
+    contexts: DataFrame
+    named: DataFrame
+    asked: DataFrame
+
+
+def prepare(articles: DataFrame, kb: DataFrame, id_col: str = "_id") -> Prepared:
+    """The tables that the search, the review and the additions start from."""
+    known = index_units(staged(units.with_keys(kb), "kb"))
+    keyed = known.keyed
+    mentions = staged(mentions_of(articles, keyed, id_col), "mentions")
+    places = staged(geoparsed(articles, id_col), "places")
+    contexts = staged(context_codes(mentions, places, known), "contexts")
+    named = staged(named_codes(mentions, places, keyed), "named")
+    return Prepared(known, mentions, places, contexts, named, staged(anchored(constraints(candidates(mentions, contexts, known), named), keyed), "asked"))
 
 
 def skipped(key: Column) -> Column:
@@ -202,24 +246,40 @@ def least_score(has_codes: Column, has_country: Column, single: Column, frequenc
     return F.when(has_codes | has_country, threshold).otherwise(F.greatest(F.lit(threshold), *loose))
 
 
-def first_rows(wanted: DataFrame, keyed: DataFrame, level: int) -> DataFrame:
-    """The first row of the knowledge base for each request: ``value``, ``isos``, ``strict``, wished ``country`` and ``unit``.
+def unit_rows(keyed: DataFrame, levels: tuple[int, ...] = (0, 1, 2)) -> DataFrame:
+    """The first row of the knowledge base for each level, value, code, country and unit: what a request can tell apart."""
+    out = None
+    for level in levels:
+        name = LEVELS[level]
+        rows = keyed.where(F.col(name) != "").select(F.lit(level).alias("level"), F.col(f"{name}_norm").alias("vkey"), F.col(name).alias("held"), *LEVELS, "Admin0_ISO3", "Admin0_norm", "Admin1_norm")
+        out = rows if out is None else out.unionByName(rows)
+    return out.groupBy("level", "vkey", "held", "Admin0_ISO3", "Admin0_norm", "Admin1_norm").agg(F.min(F.struct(*LEVELS)).alias("row"))
 
-    Rows with the very value count before those with its key. Codes narrow the rows, entirely if
-    strict; the wished country and unit narrow them where any row fits. Adds the row's columns.
+
+def rows_for(requests: DataFrame, rows: DataFrame) -> DataFrame:
+    """``requests`` that have a row, with ``row``, ``row_iso`` and ``row_key``, the key of its country.
+
+    A request has ``level``, ``value``, its ``vkey``, ``isos``, ``strict``, and the keys ``ckey`` and ``ukey`` of the wished country
+    and unit (null for none). Rows with the very value count before those with its key. Codes narrow the rows, entirely if
+    strict; the wished country and unit narrow them where any row fits. Distinct requests are answered by one
+    aggregation that combines before its shuffle.
     """
-    name = LEVELS[level]
-    rows = keyed.select(*LEVELS, "Admin0_ISO3", "Admin0_norm", "Admin1_norm", F.col(f"{name}_norm").alias("vkey")).distinct()
-    wish = lambda c: F.when(F.col(c).isNotNull() & ~F.col(c).isin("", "Unknown"), normalize_for_match(F.col(c)))
-    asked = wanted.withColumns({"rid": F.monotonically_increasing_id(), "vkey": normalize_for_match(F.col("value")), "c": wish("country"), "u": wish("unit")})
-    joined = asked.join(rows, "vkey").where(F.col(name) != "")
+    names = ["level", "value", "vkey", "isos", "strict", "ckey", "ukey"]
+    asked = requests.select(*names).distinct()
     misses = lambda c: F.coalesce(c, F.lit(False)).cast("int")
     outside = (F.size("isos") > 0) & ~F.array_contains("isos", F.col("Admin0_ISO3"))
-    ranked = joined.withColumns({"other": misses(F.col(name) != F.col("value")), "outside": misses(outside)})
-    w = Window.partitionBy("rid")
-    ranked = ranked.withColumn("least", F.min("other").over(w)).where((F.col("other") == F.col("least")) & ~(F.col("strict") & (F.col("outside") == 1)))
-    order = w.orderBy("outside", misses(F.col("Admin0_norm") != F.col("c")), misses(F.col("Admin1_norm") != F.col("u")), *LEVELS, "Admin0_ISO3")
-    return ranked.withColumn("rank", F.row_number().over(order)).where("rank = 1").select(*wanted.columns, *LEVELS, "Admin0_ISO3")
+    order = F.struct(misses(F.col("held") != F.col("value")).alias("other"), misses(outside).alias("outside"), misses(F.col("Admin0_norm") != F.col("ckey")).alias("c"), misses(F.col("Admin1_norm") != F.col("ukey")).alias("u"), "row", F.col("Admin0_ISO3").alias("iso"), F.col("Admin0_norm").alias("key"))
+    best = asked.join(rows, ["level", "vkey"]).groupBy(*names).agg(F.min(order).alias("b")).where(~(F.col("strict") & (F.col("b.outside") == 1)))
+    found = best.select(*names[:5], F.coalesce("ckey", F.lit("")).alias("c_"), F.coalesce("ukey", F.lit("")).alias("u_"), F.col("b.row").alias("row"), F.col("b.iso").alias("row_iso"), F.col("b.key").alias("row_key"))
+    wished = requests.withColumns({"c_": F.coalesce("ckey", F.lit("")), "u_": F.coalesce("ukey", F.lit(""))})
+    return wished.join(found, [*names[:5], "c_", "u_"]).drop("c_", "u_")
+
+
+def first_rows(wanted: DataFrame, keyed: DataFrame, level: int) -> DataFrame:
+    """The first row of the knowledge base for each request: ``value``, ``isos``, ``strict``, wished ``country`` and ``unit``; see ``rows_for``. Adds the row's columns."""
+    wish = lambda c: F.when(F.col(c).isNotNull() & ~F.col(c).isin("", "Unknown"), normalize_for_match(F.col(c)))
+    asked = wanted.withColumns({"level": F.lit(level), "vkey": normalize_for_match(F.col("value")), "ckey": wish("country"), "ukey": wish("unit")})
+    return rows_for(asked, unit_rows(keyed, (level,))).select(*wanted.columns, *[F.col(f"row.{c}").alias(c) for c in LEVELS], F.col("row_iso").alias("Admin0_ISO3"))
 
 
 def ladders(keyed: DataFrame) -> DataFrame:
@@ -237,7 +297,7 @@ def review(results: DataFrame, keyed: DataFrame) -> DataFrame:
     """
     known = lambda c: ~F.col(c).isin("", "Unknown")
     key = lambda c: normalize_for_match(F.when(known(c), F.col(c)))
-    rows = results.withColumns({"rid": F.monotonically_increasing_id(), "x0": key("admin0"), "x1": key("admin1"), "x2": key("admin2"), "w1": key("was1"), "w2": key("was2")})
+    rows = results.withColumns({"x0": key("admin0"), "x1": key("admin1"), "x2": key("admin2"), "w1": key("was1"), "w2": key("was2")})
     table = ladders(keyed)
     for n in (1, 2, 3):
         depth = table.where(F.size("ladder") == n).select(F.col("ladder").alias(f"ladder{n}"), F.lit(True).alias(f"has{n}"))
@@ -257,17 +317,18 @@ def review(results: DataFrame, keyed: DataFrame) -> DataFrame:
     return rows.withColumn("reason", reason).select(*results.columns, "reason")
 
 
-def additions(places: DataFrame, mentions: DataFrame, keyed: DataFrame) -> DataFrame:
+def additions(places: DataFrame, mentions: DataFrame, units_: Units) -> DataFrame:
     """Places that only the geoparser found: countries, and units that are known under their code by exactly one row.
 
     The first find of a name counts, and of an article the first MOST_ADDED.
     """
+    keyed = units_.keyed
     codes = units.country_names(keyed).select(F.col("Admin0_ISO3").alias("iso"))
-    rows = places.where("place IS NOT NULL").withColumn("name", F.trim("place")).withColumn("key", normalize_for_match(F.col("name"))).join(codes, "iso", "left_semi")
+    rows = places.where("place IS NOT NULL").withColumn("name", F.trim("place")).join(codes, "iso", "left_semi")
     key = F.col("key")
     fit = (key != "") & (key != "unknown") & ~key.isin(sorted(P.UNTRUSTED | P.STOPWORDS)) & skipped(key).isNull()
-    rows = rows.where(fit).join(mentions.select("doc", "key").distinct(), ["doc", "key"], "left_anti").withColumn("isos", F.array("iso"))
-    country = resolve_countries(rows.withColumnRenamed("name", "text"), keyed, ADDED_COUNTRY, F.col("isos")).select(F.col("text").alias("name"), "isos", "country", F.col("how"))
+    rows = staged(rows.where(fit).join(mentions.select("doc", "key").distinct(), ["doc", "key"], "left_anti").withColumn("isos", F.array("iso")), "found")
+    country = resolve_countries(rows.withColumnRenamed("name", "text"), units_, ADDED_COUNTRY, F.col("isos")).select(F.col("text").alias("name"), "isos", "country", F.col("how"))
     rows = rows.join(country, ["name", "isos"], "left")
     for level in (1, 2):
         name = LEVELS[level]

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewire.functions.text import build_combined, final_text
-from tidewire.operators import classify, curate, filters, geo, reconcile
+from tidewire.operators import classify, curate, filters, geo, grounding, unit_search
 from tidewire.sources.tables import route_by_date
 
 
@@ -44,5 +44,5 @@ def geoparse_articles(articles: DataFrame, domains: DataFrame, parser: Callable,
     return out.withColumn("cliff_locations", patched).withColumn("cliff_locations", curate.west_africa_patch(F.col("cliff_locations"), title, body))
 
 
-def reconcile_corpus(articles: DataFrame, kb: DataFrame, force: bool = False, threshold: float = reconcile.MATCH) -> DataFrame:
-    return reconcile.reconcile_articles(articles.where(filters.for_reconciling(force)), kb, threshold)
+def reconcile_corpus(articles: DataFrame, kb: DataFrame, force: bool = False, threshold: float = grounding.MATCH) -> DataFrame:
+    return unit_search.reconcile_articles(articles.where(filters.for_reconciling(force)), kb, threshold)
