@@ -420,4 +420,4 @@ def clean_phrases(spark, d):
     return rows.select("n_nationkey", placecolumns.clean_phrase(F.col("key")).alias("phrase"), placecolumns.content_overlap(F.col("key"), F.col("other")).alias("overlap"))
 
 
-from tidewire import catalog_corpus, catalog_places, catalog_units  # noqa: E402, F401  add their queries to these
+from tidewire import catalog_corpus, catalog_places, catalog_runs, catalog_units  # noqa: E402, F401  add their queries to these
