@@ -148,3 +148,20 @@ def test_shards_query_holds_what_op8_takes(spark, sf_dir):
     assert Counter(r.doc_id for r in shards) == Counter(taken)
     assert {r.shard for r in shards} <= set(range(16)) and all(r["pass"] < taken[r.doc_id] for r in shards)
     assert sorted((r.doc_id, r["pass"], r.shard, r.place) for r in shards) == sorted((r.doc_id, r["pass"], r.shard, r.place) for r in queries.mixture_shards(spark, sf_dir).collect())
+
+
+def test_long_words_are_not_kept_and_the_cache_is_bounded(spark, monkeypatch):
+    """Distinct long words leave nothing behind; many short ones stay within the bytes that are set."""
+    from tidewire.llm import bpe_automaton, queries
+
+    _, vocab, arrays = bpe_automaton.load_automaton(spark, queries.vocabulary_path())
+    encoder = bpe_automaton.Encoder(vocab, arrays)
+    plain = bpe_automaton.Encoder(vocab, arrays)
+    for k in range(5):
+        text = f"{'ab' * 2000}{k} short {k}"
+        assert list(encoder.encode([text, text])) == [next(plain.encode([text]))] * 2
+    assert max(len(w) for w in encoder.cache) <= bpe_automaton.LONG_WORD and encoder.cached < 10_000
+    monkeypatch.setattr(bpe_automaton, "CACHE_BYTES", 50_000)
+    for k in range(200):
+        list(encoder.encode([" ".join(f"w{k}x{i}" for i in range(20))]))
+        assert encoder.cached <= 50_000 + 60 * (bpe_automaton._ENTRY + 100)

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 #: Pre-splitting pattern of byte-level BPE: fixed value of the vocabulary's format.
 PRE_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Words longer than this are encoded one at a time; the cache and the text taken at once are bounded.
-LONG_WORD, CACHE_WORDS, CHUNK_CHARS = 64, 250_000, 4_000_000
+LONG_WORD, CACHE_BYTES, CHUNK_CHARS = 64, 64 << 20, 4_000_000
 _PAGE = 16
 
 
@@ -118,8 +118,12 @@ def compile_automaton(vocab: dict) -> dict:
     return {"state": state, "kind": kind, "table": table, "page_of": page_of, "pages": pages, "token_at": np.array(token_at, np.int32), "length": np.array([len(x) for x in labels], np.int32)}
 
 
+#: About what an entry of the cache takes beside its texts.
+_ENTRY = 300
+
+
 class Encoder:
-    """Encodes texts with a compiled automaton; keeps the words seen last."""
+    """Encodes texts with a compiled automaton; keeps words of up to LONG_WORD bytes, in CACHE_BYTES at most and one chunk's more."""
 
     def __init__(self, vocab: dict, arrays: dict):
         import regex
@@ -130,7 +134,8 @@ class Encoder:
         self.added = vocab["added"]
         longest_first = sorted(self.added, key=len, reverse=True)
         self.cut = re.compile("(" + "|".join(map(re.escape, longest_first)) + ")") if self.added else None
-        self.cache: dict[str, tuple[str, bytes]] = {}
+        self.cache: dict[str | tuple, tuple[str, bytes]] = {}
+        self.cached = 0  # bytes
 
     def _states(self, words: list[bytes], width: int) -> np.ndarray:
         """For each word (sorted by length, longest first) and position the last token of the prefix."""
@@ -161,14 +166,15 @@ class Encoder:
                 last[e + 1, alive[named[arc]]] = token[arc]
         return last
 
-    def encode_words(self, words: list[str]) -> None:
-        """Put new words into the cache."""
+    def encode_words(self, words: list[str]) -> dict[str, tuple[str, bytes]]:
+        """Put new words into the cache; long ones are returned instead, as they hardly come again."""
+        long_words: dict[str, tuple[str, bytes]] = {}
         raw = [(w.encode("utf-8"), w) for w in words]
         short = sorted((x for x in raw if len(x[0]) <= LONG_WORD), key=lambda x: -len(x[0]))
         groups = [short[k : k + 20_000] for k in range(0, len(short), 20_000)] + [[x] for x in raw if len(x[0]) > LONG_WORD]
         for group in groups:
             if len(group[0][0]) > LONG_WORD:
-                self._put(group[0][1], self._encode_long(group[0][0]))
+                long_words[group[0][1]] = self._named(self._encode_long(group[0][0]))
                 continue
             width = len(group[0][0])
             last = self._states([b for b, _ in group], width)
@@ -179,7 +185,9 @@ class Encoder:
                 found.append(token)
                 at = at - np.where(at > 0, self.a["length"][token], 0)
             for (_, w), ids in zip(group, np.array(found[::-1]).T.tolist()):
-                self._put(w, [i for i in ids if i >= 0])
+                found = self.cache[w] = self._named([i for i in ids if i >= 0])
+                self.cached += len(w) + len(found[0]) + len(found[1]) + _ENTRY
+        return long_words
 
     def _encode_long(self, word: bytes) -> list[int]:
         """The same walk for one word; only the positions within a label's length stay in use."""
@@ -201,9 +209,9 @@ class Encoder:
             at -= int(a["length"][last[at]])
         return out[::-1]
 
-    def _put(self, word: str, ids: list[int]) -> None:
+    def _named(self, ids: list[int]) -> tuple[str, bytes]:
         names, labels = self.names, self.labels
-        self.cache[word] = (",".join([names[i] for i in ids]), b"".join([labels[i] for i in ids]))
+        return ",".join([names[i] for i in ids]), b"".join([labels[i] for i in ids])
 
     def encode(self, texts: list[str]) -> Iterator[tuple[int, str, bytes]]:
         """Number of tokens, ids joined by commas, and the emitted labels of each text."""
@@ -216,17 +224,18 @@ class Encoder:
                 pieces.append(parts)
             else:
                 pieces.append(self.split(text))
-        if len(self.cache) > CACHE_WORDS:
+        if self.cached > CACHE_BYTES:
             self.cache.clear()
+            self.cached = 0
         cache = self.cache
         new = {w for words in pieces for w in words if w not in cache}
         for special in [w for w in new if isinstance(w, tuple)]:
             new.discard(special)
             i = self.added[special[0]]
             cache[special] = (self.names[i], self.labels[i])
-        self.encode_words(list(new))
+        long_words = self.encode_words(list(new))
         for words in pieces:
-            got = [cache[w] for w in words]
+            got = [cache[w] if w in cache else long_words[w] for w in words] if long_words else [cache[w] for w in words]
             ids = ",".join([g[0] for g in got])
             yield (ids.count(",") + 1 if ids else 0), ids, b"".join([g[1] for g in got])
 
@@ -234,8 +243,8 @@ class Encoder:
 _compiled: dict[str, tuple[dict, dict]] = {}
 
 
-def load_automaton(spark: SparkSession, path: str) -> tuple[dict, dict]:
-    """Read the vocabulary on the driver and compile it in one task of an executor (about 0.5 GB for a minute at most)."""
+def load_automaton(spark: SparkSession, path: str) -> tuple[str, dict, dict]:
+    """The vocabulary's digest, the vocabulary and its automaton. Read the vocabulary on the driver and compile it in one task of an executor (about 0.5 GB for a minute at most)."""
     with open(path, "rb") as f:
         key = f"{path}:{hashlib.sha256(f.read()).hexdigest()}"
     if key not in _compiled:
@@ -248,10 +257,10 @@ def load_automaton(spark: SparkSession, path: str) -> tuple[dict, dict]:
         rows = spark.range(1).coalesce(1).mapInArrow(build, "name string, type string, shape array<bigint>, data binary").collect()
         _compiled.clear()
         _compiled[key] = (vocab, {r["name"]: np.frombuffer(bytes(r["data"]), r["type"]).reshape(r["shape"]) for r in rows})
-    return _compiled[key]
+    return key, *_compiled[key]
 
 
-_encoders: dict[int, Encoder] = {}
+_encoders: dict[str, Encoder] = {}
 
 
 def encode_decode(df: DataFrame, path: str, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
@@ -261,14 +270,14 @@ def encode_decode(df: DataFrame, path: str, text_col: str = "text", keep: tuple[
     alone, repeated ones too: no shuffle, bounded caches. Other columns are left out, so clashing names
     do no harm; an empty table gives an empty result.
     """
-    vocab, arrays = load_automaton(df.sparkSession, path)
+    name, vocab, arrays = load_automaton(df.sparkSession, path)
     shared = df.sparkSession.sparkContext.broadcast((vocab, arrays))  # fixed by the vocabulary, not by the data
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoders.get(id(shared.value))  # a reused worker keeps the value and the encoder
+        encoder = _encoders.get(name)  # a reused worker keeps the encoder of a vocabulary
         if encoder is None:
             _encoders.clear()
-            encoder = _encoders[id(shared.value)] = Encoder(*shared.value)
+            encoder = _encoders[name] = Encoder(*shared.value)
         for batch in batches:
             texts = batch.column("t").to_pylist()
             lo = 0
