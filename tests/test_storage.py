@@ -2,6 +2,7 @@
 
 import json
 import re
+import unicodedata
 from datetime import datetime
 
 import pytest
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidewire import catalog
 from tidewire.functions import variant
+from tidewire.functions.dates import parse_date
 from tidewire.plans import ledger
 from tidewire.sources import merge, search_index
 from tidewire.sources.folders import Folders
@@ -177,3 +179,28 @@ def test_indexed_names_query(spark, sf_dir):
 def test_resumed_runs_query(spark, sf_dir):
     want = sorted(repr((r["sale_id"], None if r["total"] is None else r["total"] > 100, f"{r['sold_at']:%Y-%m}")) for r in rows_of(spark, sf_dir, "sales") if r["sold_at"])
     assert sorted(repr((r.sale_id, r.large, r.of_month)) for r in catalog.QUERIES["resumed_runs"](spark, sf_dir).collect()) == want
+
+
+def test_months_read_query(spark, sf_dir):
+    want = sorted((r["sale_id"], r["sold_at"].year, r["sold_at"].month) for r in rows_of(spark, sf_dir, "sales") if r["sold_at"] and (2024, 2) <= (r["sold_at"].year, r["sold_at"].month) <= (2031, 12))
+    assert sorted(tuple(r) for r in catalog.QUERIES["months_read"](spark, sf_dir).select("sale_id", "year", "month").collect()) == want and want
+
+
+def test_tweet_files_query(spark, sf_dir):
+    found = spark.read.parquet(f"{sf_dir}/stamps.parquet").select("stamp_id", "zone", "raw", F.to_date(parse_date(F.col("raw"))).alias("day")).collect()
+    want = sorted((r.stamp_id, r.day, r.day.year, r.day.month, len('a "quoted", text\n' + r.raw)) for r in found if r.day and (r.zone or "").startswith("Am"))
+    got = sorted(tuple(r) for r in catalog.QUERIES["tweet_files"](spark, sf_dir).select("stamp_id", "date", "year", "month", "n_chars").collect())
+    # White space at the ends of a CSV field is read as it was written only inside quotes, which these texts have.
+    assert got == want and want
+
+
+def test_gazetteer_files_query(spark, sf_dir):
+    nation = {r["n_nationkey"]: r["n_name"] for r in rows_of(spark, sf_dir, "nation")}
+    got = {r.vendor_id: r for r in catalog.QUERIES["gazetteer_files"](spark, sf_dir).collect()}
+    vendors = {r["vendor_id"]: r for r in rows_of(spark, sf_dir, "vendors") if r["vendor_id"] is not None}
+    assert set(got) == set(vendors)
+    for i, r in got.items():
+        v = vendors[i]
+        assert (r.name, r.coordinates, r.country_code3, r.admin1_name) == (v["name"], "1.5,2.5", "KEN", nation.get(v["nation_id"], ""))
+        names = {v["name"], v["name"].upper()}
+        assert r.n_names == len(names | {"".join(c for c in unicodedata.normalize("NFKD", n) if not unicodedata.combining(c)) for n in names})

@@ -14,7 +14,8 @@ from tidewire.functions import dates, variant
 from tidewire.functions.text import normalize_for_match
 from tidewire.plans import ledger
 from tidewire.plans.staging import shared_folder
-from tidewire.sources import merge, search_index
+from tidewire.schemas import GEONAMES
+from tidewire.sources import merge, search_index, tables
 
 
 def _folder(spark, label):
@@ -57,6 +58,43 @@ def resumed_runs(spark, d):
     return ledger.read_chunks(spark, path).select("sale_id", "large", "of_month")
 
 
+@_query()
+def months_read(spark, d):
+    """Sales written as articles by month, of which the months from February 2024 on are read; months without any are skipped."""
+    sales = _t(spark, d, "sales").select(F.col("sale_id").alias("_id"), F.concat(F.lit("http://shop.example/"), "sale_id").alias("url"), F.col("sold_at").alias("date_publish"))
+    path = _folder(spark, "articles")
+    tables.write_articles(tables.route_by_date(sales, raw=None), path)
+    return tables.read_articles(spark, path, first=(2024, 2), last=(2031, 12)).select(F.col("_id").alias("sale_id"), "year", "month")
+
+
+@_query()
+def tweet_files(spark, d):
+    """Time stamps as tweets: written as CSV by language and month, one language read back."""
+    day = F.to_date(dates.parse_date(F.col("raw")))
+    rows = _t(spark, d, "stamps").select(F.col("stamp_id").cast("string").alias("_id"), day.alias("date"), F.substring("zone", 1, 2).alias("language"), F.concat(F.lit('a "quoted", text\n'), F.coalesce("raw", F.lit(""))).alias("text")).where("date IS NOT NULL AND language IS NOT NULL")
+    path = _folder(spark, "tweets")
+    tables.write_tweets(rows, path)
+    back = tables.read_tweets(spark, path)
+    return back.where("language = 'Am'").select(F.col("_id").cast("bigint").alias("stamp_id"), "date", "year", "month", F.length("text").alias("n_chars"))
+
+
+@_query()
+def gazetteer_files(spark, d):
+    """Vendors as a gazetteer's text files: read, enriched with the names of their units, written by country and read back."""
+    vendors = _t(spark, d, "vendors").where("vendor_id IS NOT NULL")
+    path = _folder(spark, "gazetteer")
+    fields = [f.split()[0] for f in GEONAMES.split(", ")]
+    known = {"geonameid": F.col("vendor_id").cast("string"), "name": F.col("name"), "alternatenames": F.concat_ws(",", "name", F.upper("name")), "latitude": F.lit("1.5"), "longitude": F.lit("2.5"), "country_code": F.lit("KE"), "admin1_code": F.col("nation_id").cast("string")}
+    vendors.select(*[known.get(c, F.lit(None).cast("string")).alias(c) for c in fields]).write.csv(f"{path}/all", sep="\t")
+    nation = _t(spark, d, "nation")
+    nation.select(F.concat(F.lit("KE."), F.col("n_nationkey").cast("string")), "n_name").write.csv(f"{path}/codes", sep="\t")
+    codes = tables.read_codes(spark, f"{path}/codes")
+    rich = tables.enrich_geonames(tables.read_geonames(spark, f"{path}/all"), codes, codes.limit(0), {"KE": "KEN"})
+    tables.write_gazetteer(rich, f"{path}/out")
+    back = spark.read.parquet(f"{path}/out")
+    return back.select(F.col("geonameid").cast("bigint").alias("vendor_id"), "name", "coordinates", "country_code3", "admin1_name", F.size("alternativenames").alias("n_names"))
+
+
 _KIND = lambda path: f"CASE json_type(j, '{path}') WHEN 'NULL' THEN 'null' WHEN 'VARCHAR' THEN 'string' WHEN 'BOOLEAN' THEN 'bool' WHEN 'ARRAY' THEN 'array' WHEN 'OBJECT' THEN 'object' ELSE CASE WHEN json_type(j, '{path}') IS NULL THEN 'missing' ELSE 'number' END END"
 
 

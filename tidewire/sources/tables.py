@@ -101,8 +101,14 @@ def errors_of(df: DataFrame, column: str = "error") -> DataFrame:
 
 
 def write_tweets(df: DataFrame, path: str) -> None:
-    """CSV by language, year and month."""
-    df.withColumns({"year": F.year("date"), "month": F.month("date")}).write.mode("overwrite").partitionBy("language", "year", "month").csv(path, header=True)
+    """CSV by language, year and month; quotes inside texts are doubled, as other readers expect, and blanks at their ends stay."""
+    df.withColumns({"year": F.year("date"), "month": F.month("date")}).write.mode("overwrite").partitionBy("language", "year", "month").csv(path, header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+
+
+def read_tweets(spark: SparkSession, path: str) -> DataFrame:
+    """What ``write_tweets`` wrote, line ends and quotes inside texts included."""
+    columns = "_id string, date date, text string, language string, year int, month int"
+    return spark.read.csv(path, header=True, multiLine=True, escape='"', schema=columns, enforceSchema=False)
 
 
 def read_kb(spark: SparkSession, path: str) -> DataFrame:
