@@ -8,12 +8,14 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidewire.catalog import _query, _t
+from tidewire.functions import placecolumns as C
 from tidewire.functions import placenames as P
 from tidewire.functions import text
 from tidewire.functions.similarity import ratio_column, weighted_column
 from tidewire.operators import grounding, kb, unit_search
 from tidewire.plans.staging import staged
-from tidewire.schemas import LOCATION
+from tidewire.schemas import GEONAMES, LOCATION
+from tidewire.sources import tables
 
 _quoted = lambda words: ", ".join(f"'{w}'" for w in sorted(words))
 _key = lambda c: rf"trim(regexp_replace(regexp_replace(lower(strip_accents({c})), '[^a-z0-9_\s]', ' ', 'g'), '\s+', ' ', 'g'))"
@@ -67,6 +69,64 @@ def name_similarity(spark, d):
     return rows.select("client_id", score(weighted_column, "a", "b").alias("with_city"), score(weighted_column, "a", "m").alias("name_only"), score(ratio_column, "a", "m").alias("plain"))
 
 
+#: Words of all lists, and none, in a fixed order: names put together from them meet every rule, alone and together.
+_WORDS = ["", *sorted(P.DIRECTIONS), *sorted(P.STOPWORDS - P.DIRECTIONS), *sorted(P.QUALIFIERS - P.STOPWORDS), *P.POI, *sorted(P.GENERIC), *sorted(P.EXONYMS), *sorted(P.UNTRUSTED), "dki", "n/a"]
+_any_of = lambda c, words: "(" + " OR ".join(f"contains({c}, '{w}')" for w in sorted(words)) + ")"
+_minor = f"lambda t: t = '' OR t = own OR t IN ({_quoted(P.QUALIFIERS)}) OR (regexp_full_match(t, '[a-z]{{1,3}}') AND t NOT IN ({_quoted(P.STOPWORDS)}))"
+
+
+@_query(f"""WITH l AS (SELECT [{", ".join(f"'{w}'" for w in _WORDS)}] AS w),
+n0 AS (SELECT client_id, updated_at, w[1 + (client_id * 7) % {len(_WORDS)}] AS a, w[1 + (client_id * 13 + 3) % {len(_WORDS)}] AS b, CASE WHEN client_id % 3 = 0 THEN '' ELSE coalesce(city, '') END AS city, coalesce(name, '') AS name FROM clients, l),
+n AS (SELECT client_id, {_key("a || ' ' || city || ' ' || b")} AS key, {_key('b')} AS value, {_key('city')} AS own, {_key("city || ' ' || b")} AS longer, {_key("name || ' ' || b")} AS other FROM n0)
+SELECT client_id, key IN ({_quoted(P.GENERIC)}) AS generic, key <> '' AND len(list_filter(string_split(key, ' '), lambda t: t NOT IN ({_quoted(P.DIRECTIONS)}))) = 0 AS direction,
+  NOT {_any_of('key', P.ADMIN_WORDS)} AND len(list_filter(string_split(key, ' '), lambda t: t IN ({_quoted(P.FEATURES)}))) > 0 AND len(list_filter(string_split(key, ' '), lambda t: t NOT IN ({_quoted(P.FEATURES | P.DIRECTIONS | {'of', 'the'})}))) <= 1 AS feature,
+  {_any_of('key', P.POI)} AS poi, {_any_of('key', P.ADMIN_WORDS)} AS admin_unit, {_clean('key')} AS phrase, len(list_intersect({_content('key')}, {_content('other')})) > 0 AS overlap,
+  NOT ((length(value) > 3 AND value NOT IN ({_quoted(P.STOPWORDS)})) OR (value <> '' AND value = key)) AS poor_target,
+  contains(own, ' ') OR own = '' OR NOT contains(longer, ' ') OR (list_contains(string_split(longer, ' '), own) AND len(list_filter(string_split(longer, ' '), {_minor})) = len(string_split(longer, ' '))) AS may_match,
+  CASE value {' '.join(f"WHEN '{k}' THEN '{v}'" for k, v in P.EXONYMS.items())} ELSE value END AS exonym FROM n""")
+def name_tests(spark, d):
+    """Every test on names, on names put together from the words of all lists and the clients' cities."""
+    words = F.array(*map(F.lit, _WORDS))
+    pick = lambda by, add: F.get(words, ((F.col("client_id") * by + add) % len(_WORDS)).cast("int"))
+    rows = _t(spark, d, "clients").select("client_id", pick(7, 0).alias("a"), pick(13, 3).alias("b"), F.when(F.col("client_id") % 3 == 0, "").otherwise(F.coalesce("city", F.lit(""))).alias("city"), F.coalesce("name", F.lit("")).alias("name"))
+    key = lambda *parts: text.normalize_for_match(F.concat_ws(" ", *parts))
+    rows = rows.select("client_id", key("a", "city", "b").alias("key"), key("b").alias("value"), key("city").alias("own"), key("city", "b").alias("longer"), key("name", "b").alias("other"))
+    k, value = F.col("key"), F.col("value")
+    return rows.select(
+        "client_id", C.is_generic(k).alias("generic"), C.is_directional(k).alias("direction"), C.is_feature(k).alias("feature"), C.is_poi(k).alias("poi"), C.is_admin_unit(k).alias("admin_unit"), C.clean_phrase(k).alias("phrase"),
+        C.content_overlap(k, F.col("other")).alias("overlap"), C.poor_target(value, k).alias("poor_target"), C.words_may_match(F.col("own"), F.col("longer")).alias("may_match"), C.exonym(value).alias("exonym"),
+    )
+
+
+_RAW = [*sorted(P.UNKNOWN), *sorted(P.LEVELS), "Admin1", " admin 2 ", "ADMIN2", "Oblast ", "N/A ", "not  sure", "?"]
+_CODES = ["ken", " KEN ", "unk", "NULL", "N/A", "KE", "KENY", "k3n", "none", "", "uga", "Éta"]
+
+
+@_query(f"""WITH l AS (SELECT [{", ".join(f"'{w}'" for w in _RAW)}] AS w, [{", ".join(f"'{w}'" for w in _CODES)}] AS c),
+r AS (SELECT client_id, CASE WHEN client_id % 4 = 3 THEN coalesce(city, name) ELSE w[1 + (client_id * 5) % {len(_RAW)}] END AS raw, c[1 + client_id % {len(_CODES)}] AS code FROM clients, l), k AS (SELECT *, {_key("coalesce(raw, '')")} AS key FROM r)
+SELECT client_id, CASE WHEN CASE key {' '.join(f"WHEN '{a}' THEN '{b}'" for a, b in P.LEVELS.items())} ELSE upper(trim(raw)) END IN ('ADMIN0', 'ADMIN1', 'ADMIN2') THEN CASE key {' '.join(f"WHEN '{a}' THEN '{b}'" for a, b in P.LEVELS.items())} ELSE upper(trim(raw)) END ELSE 'UNKNOWN' END AS level,
+  CASE WHEN trim(coalesce(raw, '')) = '' OR key IN ({_quoted(P.UNKNOWN)}) THEN 'Unknown' ELSE trim(raw) END AS value, CASE WHEN regexp_full_match(upper(trim(code)), '[A-Z]{{3}}') AND upper(trim(code)) NOT IN ({_quoted(P.NO_ISO)}) THEN upper(trim(code)) END AS iso FROM k""")
+def sanitized_values(spark, d):
+    """Levels, stand-ins for unknown values and codes as they may come, and cities, each by its rule."""
+    pick = lambda words, by: F.get(F.array(*map(F.lit, words)), ((F.col("client_id") * by) % len(words)).cast("int"))
+    rows = _t(spark, d, "clients").select("client_id", F.when(F.col("client_id") % 4 == 3, F.coalesce("city", "name")).otherwise(pick(_RAW, 5)).alias("raw"), pick(_CODES, 1).alias("code"))
+    rows = rows.withColumn("key", text.normalize_for_match(F.col("raw")))
+    return rows.select("client_id", C.level(F.col("raw"), F.col("key")).alias("level"), C.known(F.col("raw"), F.col("key")).alias("value"), C.iso_key(F.col("code")).alias("iso"))
+
+
+@_query("""WITH r AS (SELECT vendor_id, string_split(coalesce(name, '') || ',' || upper(coalesce(name, '')) || ',' || coalesce(name, ''), ',') AS names FROM vendors WHERE vendor_id IS NOT NULL)
+SELECT vendor_id, array_to_string(list_sort(list_distinct(list_concat(names, list_transform(names, lambda x: strip_accents(x))))), '|') AS names FROM r""")
+def accented_names(spark, d):
+    """Vendors' names in two spellings, with and without accents, each once."""
+    vendors = _t(spark, d, "vendors").where("vendor_id IS NOT NULL")
+    name = F.coalesce("name", F.lit(""))
+    blank = {c.split()[0]: F.lit("") for c in GEONAMES.split(", ")}
+    raw = vendors.select(F.col("vendor_id"), *[v.alias(c) for c, v in (blank | {"geonameid": F.col("vendor_id").cast("string"), "alternatenames": F.concat_ws(",", name, F.upper(name), name)}).items()])
+    codes = spark.createDataFrame([], "code string, name string")
+    out = tables.enrich_geonames(raw, codes, codes, {})
+    return out.select(F.col("geonameid").cast("bigint").alias("vendor_id"), F.array_join(F.array_sort("alternativenames"), "|").alias("names"))
+
+
 _code = lambda c: f"'N' || chr(65 + {c} // 5) || chr(65 + {c} % 5)"
 
 
