@@ -62,3 +62,13 @@ def test_pipeline_leaves_copied_boilerplate(spark):
     assert all(got[k].text == f"page {k} made with {token}" and got[k].n_chars == 5 for k in range(60))
     assert got[90].text == "my key [SECRET], [SECRET]" and got[90].n_chars == len(got[90].text)
     assert not re.search("[0-9]", got[90].text)
+
+
+def test_many_matches_in_one_text(spark):
+    """Thousands of matches of both sorts: tokens are compared with the spans near them, with the same result as with all."""
+    words = [w for i in range(1500) for w in (f"password={'p' * (i % 5)}assw0rd{i:06d}", f"A{'b1' * 11}{i:04d}", f"token: x1y2{i:030d}z", "plain")]
+    text = " ".join(words)
+    got = secrets.candidates(spark.createDataFrame([(1, text, "s")], "doc_id bigint, text string, source string"), keep=("doc_id",)).first()
+    base = [(x.start, x.end) for x in got.base]
+    tokens = [(m.start(), m.end()) for m in re.finditer(r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*[0-9])(?=[0-9+/_-]*[A-Za-z])[A-Za-z0-9_-]{20,}(?![A-Za-z0-9+/_-])", text)]
+    assert [(x.start, x.end) for x in got.more] == [(a, b) for a, b in tokens if not any(a < d and c < b for c, d in base)] and len(got.more) == 1500

@@ -82,6 +82,14 @@ def _found(text: Column, probe: str, kind: str, pattern: str, group: int = 0) ->
     return F.when(text.rlike(probe), _spans(text, kind, pattern, group)).otherwise(none)
 
 
+def _outside(tokens: Column, spans: Column) -> Column:
+    """The tokens, which are sorted and apart, that no span touches; a piece of them is compared with the spans of its own part of the text only."""
+    meets = lambda y, a, b: (y["start"] < b) & (y["end"] > a)
+    near = lambda piece: F.filter(spans, lambda y: meets(y, F.get(piece, F.lit(0))["start"], F.element_at(piece, -1)["end"]))
+    apart = lambda piece, some: F.filter(piece, lambda x: ~F.exists(some, lambda y: meets(y, x["start"], x["end"])))
+    return F.flatten(F.transform(_pieces(tokens), lambda piece: _let(near(piece), lambda some: apart(piece, some))))
+
+
 def candidates(df: DataFrame, text_col: str = "text", repo_col: str = "doc_id", owner_col: str = "source", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """Pattern spans (``base``) and opaque tokens outside them (``more``) of every text; null counts as empty."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
@@ -96,7 +104,7 @@ def candidates(df: DataFrame, text_col: str = "text", repo_col: str = "doc_id",
     base = found.select("k", "repo", "owner", F.concat("a", "b", "c").alias("base"), "d")
     outside = base.select(
         "k", "repo", "owner", "base",
-        F.when(F.size("d") == 0, F.col("d")).otherwise(F.filter("d", lambda x: ~F.exists("base", lambda y: (x["start"] < y["end"]) & (y["start"] < x["end"])))).alias("more"),
+        F.when((F.size("d") == 0) | (F.size("base") == 0), F.col("d")).otherwise(_outside(F.col("d"), F.col("base"))).alias("more"),
     )
     # As in text_statistics: later filters must not be pushed into the arrays.
     return outside.select(F.inline(F.array(F.struct("k", "repo", "owner", "base", "more"))))
