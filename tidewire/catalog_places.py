@@ -99,7 +99,7 @@ def similar_units(spark, d):
     k, iso = F.col("c_custkey"), F.substring("r_name", 1, 3)
     isos = F.when(k % 3 == 0, F.array(iso)).when(k % 3 == 1, F.array(iso, F.lit("ZZZ"))).otherwise(F.array(F.lit("ZZZ")))
     rows = _people(spark, d).select("c_custkey", text.normalize_for_match(F.concat("n_name", F.lit("!"))).alias("key"), isos.alias("isos"), (k % 2 == 1).alias("strict"))
-    best = grounding.most_similar(rows, _units(spark, d), (1,), F.col("strict"))
+    best = grounding.most_similar(rows, _units(spark, d), (1,), F.col("strict")).where("score = 100")
     return rows.withColumn("isos", F.array_sort("isos")).join(best, ["key", "isos", "strict"], "left").select("c_custkey", "value")
 
 
