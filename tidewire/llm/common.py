@@ -53,14 +53,29 @@ def scratch(df: DataFrame, label: str) -> DataFrame:
     return out
 
 
+def _from_files(df: DataFrame) -> bool:
+    """Whether rows come one by one from files, so that file and place name them."""
+    nodes = [line.lstrip(" :+-").split(" ")[0] for line in df._jdf.queryExecution().analyzed().toString().splitlines()]
+    return set(nodes) <= {"Project", "Filter", "SubqueryAlias", "Relation"} and nodes.count("Relation") == 1 and "Relation" in nodes[-1:]
+
+
+def placed(df: DataFrame, label: str) -> DataFrame:
+    """As ``numbered``, by two numbers that cost little: ``at_file``, a hash of the file's path, and ``at_row``."""
+    if _from_files(df):
+        try:
+            return df.select("*", F.xxhash64("_metadata.file_path").alias("at_file"), F.col("_metadata.row_index").alias("at_row"))
+        except AnalysisException:  # files of another format
+            pass
+    return scratch(df.withColumns({"at_file": F.lit(0).cast("long"), "at_row": F.monotonically_increasing_id()}), label)
+
+
 def numbered(df: DataFrame, label: str) -> DataFrame:
     """``df`` with ``rid``, a number of each row that stays the same however often the plan is run.
 
     Rows that come one by one from files are named by their file and place, and nothing is written.
     Other rows are written once, with a running number.
     """
-    nodes = [line.lstrip(" :+-").split(" ")[0] for line in df._jdf.queryExecution().analyzed().toString().splitlines()]
-    if set(nodes) <= {"Project", "Filter", "SubqueryAlias", "Relation"} and nodes.count("Relation") == 1 and "Relation" in nodes[-1:]:
+    if _from_files(df):
         try:
             file = F.concat_ws("#", F.col("_metadata.file_path"), F.col("_metadata.row_index").cast("string"))
             return df.select("*", F.unhex(F.md5(file)).alias("rid"))

@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType, TimestampNTZType, TimestampType
 
-from tidewire.llm.common import drop_scratch, local_table, numbered, scratch, scratch_root
+from tidewire.llm.common import drop_scratch, local_table, placed, scratch, scratch_root
 
 #: The limit is 1 + rows / PARTS: the fixed value of the contract.
 PARTS = 500
@@ -52,10 +52,15 @@ def micros(ts: Column) -> Column:
     return F.unix_date(F.to_date(ts)).cast("long") * DAY + seconds.cast("long") * SECOND + (F.date_part(F.lit("SECOND"), ts) * SECOND).cast("long")
 
 
+def _whole(at: Column, unit: int) -> Column:
+    """How many whole units lie before a moment; exact, as only multiples are divided."""
+    return ((at - F.pmod(at, F.lit(unit))) / unit).cast("long")
+
+
 def click_moment(ts: Column, click_id: Column) -> Column:
     """The contract's time of a click: some go back by whole days, some to the beginning of their week."""
     k, at = F.crc32(click_id.cast("string").cast("binary")) % 128, micros(ts)
-    day = F.floor(at / DAY).cast("long")
+    day = _whole(at, DAY)
     monday = (day - F.pmod(day + 3, F.lit(7))) * DAY  # day 0 was a Thursday
     return F.when(k < 16, at - (k + 6) * (k + 6) * (k + 6) * DAY).when(k > 111, monday).otherwise(at)
 
@@ -133,18 +138,15 @@ def with_keys(rows: DataFrame, moment: Column, order: tuple[str, ...]) -> tuple[
     columns = [F.col(f"`{c}`") for c in rows.columns]
     stamps = {f.name: isinstance(f.dataType, (TimestampType, TimestampNTZType)) for f in rows.schema.fields}
     content = F.xxhash64(*[x for c in columns for x in (c, c.isNull())])
-    parts = {"hour": F.floor(moment / HOUR).cast("long"), "key0": F.coalesce(F.pmod(moment, F.lit(HOUR)), F.lit(0)).cast("long")}
+    parts = {"hour": _whole(moment, HOUR), "key0": F.coalesce(F.pmod(moment, F.lit(HOUR)), F.lit(0)).cast("long")}
     for c in order:
         value = micros(F.col(f"`{c}`")) if stamps[c] else F.col(f"`{c}`").cast("long")
         parts |= {f"key{len(parts) - 1}": value.isNotNull().cast("long")}
         parts |= {f"key{len(parts) - 1}": F.coalesce(value, F.lit(0)).cast("long")}
     parts |= {f"key{len(parts) - 1}": content}
-    keyed = numbered(rows.select(F.struct(*columns).alias("row"), *[v.alias(k) for k, v in parts.items()]), "laid")
-    rid = F.hex(F.col("rid")) if dict(keyed.dtypes)["rid"] == "binary" else F.lpad(F.hex(F.col("rid")), 32, "0")
-    for k in (1, 17):  # the place of the row as two numbers
-        keyed = keyed.withColumn(f"key{len(parts) - 1}", F.conv(F.substring(rid, k, 16), 16, -10).cast("long"))
-        parts[f"key{len(parts) - 1}"] = None
-    return keyed.drop("rid"), [k for k in parts if k != "hour"]
+    keyed = placed(rows.select(F.struct(*columns).alias("row"), *[v.alias(k) for k, v in parts.items()]), "laid")
+    n = len(parts) - 1
+    return keyed.withColumnsRenamed({"at_file": f"key{n}", "at_row": f"key{n + 1}"}), [f"key{k}" for k in range(n + 2)]
 
 
 def _unsigned(x: int) -> int:
