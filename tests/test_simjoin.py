@@ -5,6 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from tidewire.functions import similarity
 from tidewire.functions.similarity import partial_ratio, partial_token_ratio, ratio, token_ratio, weighted
 from tidewire.operators import simjoin
 
@@ -84,3 +85,48 @@ def test_few_pairs_are_scored(spark):
     q = [x[:-1] for x in v[::3]]
     df = lambda names: spark.createDataFrame([(x, simjoin.ANY) for x in names], "key string, iso string")
     assert simjoin.candidates(df(q), simjoin.build_index(df(v)), 85.0).count() <= 0.01 * len(set(q)) * len(v)
+
+
+def test_scores_from_a_cutoff_compare_few_windows(monkeypatch):
+    """From the cutoff on the score is the whole one, by all windows; pairs below are told by their characters, mostly without comparing."""
+    compared, plain_ratio = [0], similarity.ratio
+
+    def counting(a, b):
+        compared[0] += 1
+        return plain_ratio(a, b)
+
+    def windows(a, b):
+        n = len(a)
+        return max(plain_ratio(a, b[max(0, i) : i + n]) for i in range(1 - n, len(b)))
+
+    monkeypatch.setattr(similarity, "ratio", counting)
+    pairs = [(a, b) for a in names(1, 60) for b in names(2, 60)]
+    for a, b in pairs:
+        short, long_ = sorted((a, b), key=len)
+        assert partial_ratio(a, b) == max(windows(short, long_), windows(long_, short) if len(a) == len(b) else 0)
+    scores = [similarity.weighted_from(a, b, 0.0) for a, b in pairs]
+    for cutoff in (80.0, 93.0):
+        compared[0] = 0
+        for (a, b), s in zip(pairs, scores):
+            got = similarity.weighted_from(a, b, cutoff)
+            assert got == s if s >= cutoff else got < cutoff
+        possible = sum(len(a) + len(b) - 1 for a, b in pairs)
+        assert compared[0] < possible / 5
+
+
+def test_marks_bound_the_shared_pairs(spark):
+    """Postings hold numbers for the bound, not lists of pairs; the bound is never below the pairs that are shared."""
+    for a in names(1, 60):
+        for b in names(2, 60) + ["ab" * 150]:
+            x, y = simjoin.pairs_of(a), simjoin.pairs_of(b)
+            p, q = simjoin.marks_of(x), simjoin.marks_of(y)
+            common = sum((p[f"m{i}"] & q[f"m{i}"] & (1 << 64) - 1).bit_count() for i in range(simjoin.MARKS))
+            assert len(set(x) & set(y)) <= common + min(p["spare"], q["spare"]) and all(-(2**63) <= p[f"m{i}"] < 2**63 for i in range(simjoin.MARKS))
+    index = simjoin.build_index(spark.createDataFrame([("santa rosa", "X"), ("a", "X")], "key string, iso string"))
+    assert not [f.name for f in index.postings.schema if f.dataType.typeName() == "array"]
+
+
+def test_each_pair_is_scored_once(spark):
+    df = spark.createDataFrame([("santa rosa", "X")], "key string, iso string")
+    plan = simjoin.similar_pairs(df, simjoin.build_index(df), 85.0)._jdf.queryExecution().executedPlan().toString()
+    assert "weighted_column" not in plan and plan.count("MapInPandas") == 1

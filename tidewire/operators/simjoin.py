@@ -8,21 +8,24 @@ the shorter one and a window of the longer one. Sorting a name's words, or dropp
 further forms to which the same holds; and names that share a word may reach the cutoff by that alone.
 
 Of the shorter string's pairs, only as many of the rarest are looked up as are sure to include a shared
-one. Candidates then must share as many pairs as the bound says; the ones that do are scored, each once.
+one. Candidates then must share as many pairs as the bound says; the ones that may are scored, each once.
+How many are shared at most is read off marks, one bit a pair, so postings hold numbers and no lists.
 The values' postings are made once, as an index, and serve all queries and all cutoffs from the least on.
 """
 
 from __future__ import annotations
 
 from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass
 from math import ceil, floor
+from zlib import crc32
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewire.functions.similarity import weighted_column
+from tidewire.functions.similarity import weighted_from
 from tidewire.plans.staging import staged
 
 #: Fixed values of the score: what partial and token comparisons are scaled by, from and up to which ratio of lengths parts count.
@@ -34,6 +37,9 @@ ANY = "*"
 #: So many of the most frequent pairs are told apart when a name's rarest are chosen; the choice changes no result.
 FREQUENT = 5000
 _EDGE = "\u0001"
+#: 64-bit words of a form's marks.
+MARKS = 4
+_MARKS = ["spare", *[f"m{i}" for i in range(MARKS)]]
 _EPSILON = 1e-9
 #: What a posting says: the query is the shorter one, or the value; a word; the query is a single character, or the value.
 _QUERY_SHORT, _VALUE_SHORT, _WORD, _QUERY_LONE, _VALUE_LONE = range(5)
@@ -49,6 +55,19 @@ def pairs_of(s: str) -> list[str]:
     return out
 
 
+def marks_of(pairs: list[str]) -> dict[str, int]:
+    """Words of marks, one bit for each pair by its hash, and ``spare``: how many pairs found their bit taken.
+
+    Two forms share at most as many pairs as they have marks in common and the lesser has spare ones: of
+    any of its pairs, no more than ``spare`` can lack a bit of their own.
+    """
+    bits = 0
+    for p in pairs:
+        bits |= 1 << crc32(p.encode()) % (64 * MARKS)
+    words = [bits >> 64 * i & (1 << 64) - 1 for i in range(MARKS)]
+    return {"spare": len(pairs) - bits.bit_count()} | {f"m{i}": w - (w >> 63 << 64) for i, w in enumerate(words)}
+
+
 def forms_of(key: str) -> list[str]:
     """The name, its words sorted, and its distinct words sorted."""
     words = key.split()
@@ -93,14 +112,14 @@ def _grouped(names: DataFrame) -> DataFrame:
 
 
 def _postings(names: DataFrame, query: bool, frequent: dict[str, int], cutoff: float) -> DataFrame:
-    """(iso, role, gram, key, n, pairs): under each code, what names are looked up by (``query``) or found under."""
+    """(iso, role, gram, key, n, and marks): under each code, what names are looked up by (``query``) or found under."""
 
-    @F.pandas_udf("array<struct<n:int,pairs:array<string>,rare:array<string>>>")
+    @F.pandas_udf(f"array<struct<n:int,spare:int,{','.join(f'm{i}:bigint' for i in range(MARKS))},pairs:array<string>,rare:array<string>>>")
     def forms(key: pd.Series) -> pd.Series:
         def one(s: str) -> dict:
             pairs = pairs_of(s)
             sure = max(1, len(s) + 2 - least_of_short(len(s), cutoff))  # so many can't all be unshared
-            return {"n": len(s), "pairs": pairs, "rare": sorted(pairs, key=lambda p: (frequent.get(p, 0), p))[:sure]}
+            return {"n": len(s), **marks_of(pairs), "pairs": pairs, "rare": sorted(pairs, key=lambda p: (frequent.get(p, 0), p))[:sure]}
 
         return key.map(lambda k: [one(s) for s in forms_of(k)])
 
@@ -109,13 +128,13 @@ def _postings(names: DataFrame, query: bool, frequent: dict[str, int], cutoff: f
     gram = lambda role, p: F.struct(F.lit(role).alias("role"), p.alias("gram"))
     rows = names.select("key", "codes", F.explode(forms("key")).alias("f"))
     by_pair = F.concat(F.transform("f.rare", lambda p: gram(own, p)), F.transform("f.pairs", lambda p: gram(other, p)))
-    out = rows.select("codes", "key", "f.n", "f.pairs", F.explode(by_pair).alias("g"))
+    out = rows.select("codes", "key", "f.n", *[f"f.{c}" for c in _MARKS], F.explode(by_pair).alias("g"))
     words = F.transform(F.filter(F.array_distinct(F.split("key", " ")), lambda w: w != ""), lambda w: gram(_WORD, w))
     # A single character, maybe a repeated one, stands in a longer name without sharing a pair.
     single = F.array_distinct(F.split(F.replace("key", F.lit(" "), F.lit("")), ""))
     chars = F.concat(F.transform(single, lambda c: gram(letters, c)), F.when(F.size(single) == 1, F.array(gram(lone, F.get(single, F.lit(0))))).otherwise(F.array().cast("array<struct<role:int,gram:string>>")))
-    rest = names.select("codes", "key", F.length("key").alias("n"), F.array().cast("array<string>").alias("pairs"), F.explode(F.concat(words, chars)).alias("g"))
-    return out.unionByName(rest).select(F.explode("codes").alias("iso"), "g.role", "g.gram", "key", "n", "pairs")
+    rest = names.select("codes", "key", F.length("key").alias("n"), F.lit(0).alias("spare"), *[F.lit(0).cast("long").alias(c) for c in _MARKS[1:]], F.explode(F.concat(words, chars)).alias("g"))
+    return out.unionByName(rest).select(F.explode("codes").alias("iso"), "g.role", "g.gram", "key", "n", *_MARKS)
 
 
 @dataclass(frozen=True)
@@ -147,10 +166,13 @@ def candidates(queries: DataFrame, index: Index, cutoff: float) -> DataFrame:
     if cutoff < index.cutoff:
         raise ValueError(f"cutoff below that of the index, {index.cutoff}")
     asked = _postings(_grouped(queries), True, index.frequent, cutoff)
-    values = index.postings.select("iso", "role", "gram", F.col("key").alias("vkey"), F.col("n").alias("vn"), F.col("pairs").alias("vpairs"))
+    values = index.postings.select("iso", "role", "gram", F.col("key").alias("vkey"), F.col("n").alias("vn"), *[F.col(c).alias(f"v{c}") for c in _MARKS])
     met = asked.join(values, ["iso", "role", "gram"])
     short, long_ = F.when(F.col("role") == _QUERY_SHORT, F.col("n")).otherwise(F.col("vn")), F.when(F.col("role") == _QUERY_SHORT, F.col("vn")).otherwise(F.col("n"))
-    by_pairs = (short <= long_) & (F.size(F.array_intersect("pairs", "vpairs")) >= least_shared(short, long_, cutoff))
+    shared = F.least("spare", "vspare")
+    for c in _MARKS[1:]:
+        shared = shared + F.bit_count(F.col(c).bitwiseAND(F.col(f"v{c}")))
+    by_pairs = (short <= long_) & (shared >= least_shared(short, long_, cutoff))
     # Names that share a word: by that alone if one is much longer, by the words that differ otherwise.
     wide = F.greatest("n", "vn") / F.least("n", "vn")
     by_word = (wide < LEAST_RATIO) if cutoff > 100 * PARTIAL * TOKENS else (wide <= MOST_RATIO)
@@ -160,4 +182,10 @@ def candidates(queries: DataFrame, index: Index, cutoff: float) -> DataFrame:
 
 def similar_pairs(queries: DataFrame, index: Index, cutoff: float) -> DataFrame:
     """(key, vkey, score) of all pairs under a common code whose score is at least ``cutoff``; each pair is scored once."""
-    return candidates(queries, index, cutoff).withColumn("score", weighted_column("key", "vkey")).where(F.col("score") >= cutoff)
+
+    def scored(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in batches:
+            score = pd.Series([weighted_from(a, b, cutoff) for a, b in zip(rows["key"], rows["vkey"])], index=rows.index, dtype=float)
+            yield rows.assign(score=score)[score >= cutoff]
+
+    return candidates(queries, index, cutoff).mapInPandas(scored, "key string, vkey string, score double")
