@@ -90,3 +90,22 @@ def test_months_ahead(spark):
 
 def test_output_fields():
     assert classify.field_of("env_binary") == "environmental_binary" and classify.field_of("anti-us_narrative_class") == "US_narrative_class" and classify.field_of("civic1") == "civic1"
+
+
+def test_models_get_texts_in_batches_of_bounded_bytes(spark):
+    """Long texts come to a worker a few at a time, with the rows they belong to; a session's own setting stays."""
+    key, own = classify.BATCH_BYTES[0], "1m"
+    texts = [(i, None if i == 7 else chr(97 + i % 26) * 2**20 if i < 30 else "short") for i in range(40)]
+    df = spark.createDataFrame(texts, "i int, t string").coalesce(1)
+    load = lambda: lambda items: np.array([[len(t), len(items), np.nan] for t in items])
+    spark.conf.unset(key)
+    try:
+        got = classify.score(df, F.col("t"), load).collect()
+        assert [r.logits[0] for r in sorted(got)] == [len(t or "") for _, t in texts] and all(r.logits[2] != r.logits[2] for r in got)
+        assert max(r.logits[1] for r in got if r.t and len(r.t) > 5) < 15
+        assert classify.score(df.where("i < 0"), F.col("t"), load).collect() == []
+        spark.conf.set(key, own)
+        classify.score(df, F.col("t"), load)
+        assert spark.conf.get(key) == own
+    finally:
+        spark.conf.unset(key)
