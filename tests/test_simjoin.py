@@ -110,8 +110,7 @@ def test_scores_from_a_cutoff_compare_few_windows(monkeypatch):
         for (a, b), s in zip(pairs, scores):
             got = similarity.weighted_from(a, b, cutoff)
             assert got == s if s >= cutoff else got < cutoff
-        possible = sum(len(a) + len(b) - 1 for a, b in pairs)
-        assert compared[0] < possible / 5
+        assert compared[0] < sum(len(a) + len(b) - 1 for a, b in pairs) / 5  # of all windows
 
 
 def test_marks_bound_the_shared_pairs(spark):
