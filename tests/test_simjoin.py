@@ -5,7 +5,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tidewire.functions import similarity
+from tidewire.functions import placecolumns, similarity
+from tidewire.functions import placenames as P
 from tidewire.functions.similarity import partial_ratio, partial_token_ratio, ratio, token_ratio, weighted
 from tidewire.operators import simjoin
 
@@ -129,3 +130,41 @@ def test_each_pair_is_scored_once(spark):
     df = spark.createDataFrame([("santa rosa", "X")], "key string, iso string")
     plan = simjoin.similar_pairs(df, simjoin.build_index(df), 85.0)._jdf.queryExecution().executedPlan().toString()
     assert "weighted_column" not in plan and plan.count("MapInPandas") == 1
+
+
+def test_marks_bound_the_shared_characters(spark):
+    """The bound is never below the characters in common; pairs of names that have too few of them are not scored."""
+    for a in names(1, 60) + ["Éa 1_é", "e" * 9]:
+        for b in names(2, 60) + ["ab" * 150, "e" * 7]:
+            p, q = simjoin.letter_marks(a), simjoin.letter_marks(b)
+            common = sum((p[f"c{i}"] & q[f"c{i}"] & (1 << 64) - 1).bit_count() for i in range(simjoin.LETTERS))
+            assert sum(min(a.count(c), b.count(c)) for c in set(a)) <= common + min(p["cspare"], q["cspare"])
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choice("bcdfghklmnprstvz") + rng.choice("aeiou") for _ in range(rng.randint(3, 6)))
+    df = lambda names: spark.createDataFrame([(x, "X") for x in names], "key string, iso string")
+    found = simjoin.candidates(df([word() for _ in range(1500)]), simjoin.build_index(df([word() for _ in range(1500)])), 80.0).collect()
+    held = lambda a, b: sum(min(a.count(c), b.count(c)) for c in set(a))
+    narrow = [(r.key, r.vkey) for r in found if 2 * max(len(r.key), len(r.vkey)) < 3 * min(len(r.key), len(r.vkey))]
+    few = [(a, b) for a, b in narrow if 200 * held(a, b) < 80 * (len(a) + len(b))]
+    assert len(narrow) > 20 and len(few) <= len(narrow) / 20  # a letter that stands five times and more may be taken for a shared one
+
+
+def test_few_names_are_dealt_over_all_cores(spark):
+    index = simjoin.build_index(spark.createDataFrame([(x, "X") for x in names(5, 200)], "key string, iso string"))
+    assert len(index.postings.inputFiles()) >= 4
+
+
+def test_word_lists_are_one_literal(spark):
+    """Tests on names are copied into many expressions, so their trees are small."""
+    df = spark.createDataFrame([("new york state", "york"), (None, "n/a"), ("", "")], "a string, b string")
+    plan = df.select(placecolumns.clean_phrase(F.col("a")), placecolumns.is_admin_unit(F.col("a")))._jdf.queryExecution().analyzed().toString()
+    assert plan.count(",") < 30
+    assert [tuple(r) for r in df.select(placecolumns.is_admin_unit(F.col("a")), placecolumns.one_of(F.col("b"), P.UNKNOWN)).collect()] == [(True, False), (None, True), (False, True)]
+
+
+def test_reaches_is_the_score_against_the_least(spark):
+    rows = [(a, b) for a in names(1, 30) for b in names(2, 30)] + [(None, "a"), ("", "a")]
+    df = spark.createDataFrame(rows, "a string, b string")
+    for least in (92, 95.0):
+        got = df.select("a", "b", similarity.reaches(F.col("a"), F.col("b"), least).alias("r")).collect()
+        assert all(r.r is None if r.a is None else r.r == (weighted(r.a, r.b) >= least) for r in got)

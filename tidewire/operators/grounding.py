@@ -104,8 +104,9 @@ def most_similar(queries: DataFrame, units_: Units, levels: tuple[int, ...], str
     under = opened.groupBy("level", "key", "isos", "strict").agg(F.collect_set(F.when(F.col("held"), F.col("iso"))).alias("known"))
     anywhere = F.array(F.lit(simjoin.ANY))
     under = under.withColumn("under", F.when(F.size("isos") == 0, anywhere).when((F.size("known") > 0) | F.col("strict"), F.col("known")).otherwise(anywhere))
-    spread = under.select("level", "key", "isos", "strict", F.explode("under").alias("iso"))
-    pairs = simjoin.similar_pairs(spread.select("key", _place(F.col("level"), F.col("iso")).alias("iso")), units_.index, least)
+    # Written, as both are read several times and a plan that holds them takes longer to make than to run.
+    spread = staged(under.select("level", "key", "isos", "strict", F.explode("under").alias("iso")), "spread")
+    pairs = staged(simjoin.similar_pairs(spread.select("key", _place(F.col("level"), F.col("iso")).alias("iso")), units_.index, least), "pairs")
     hits = spread.join(pairs, "key").join(units_.values, ["level", "iso", "vkey"])
     best = hits.groupBy("level", "key", "isos", "strict").agg(F.min(F.struct((-F.col("score")).alias("s"), "value", "vkey")).alias("b"))
     return best.select("level", "key", "isos", "strict", F.col("b.value").alias("value"), F.col("b.vkey").alias("vkey"), (-F.col("b.s")).alias("score"))

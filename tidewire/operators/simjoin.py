@@ -8,8 +8,9 @@ the shorter one and a window of the longer one. Sorting a name's words, or dropp
 further forms to which the same holds; and names that share a word may reach the cutoff by that alone.
 
 Of the shorter string's pairs, only as many of the rarest are looked up as are sure to include a shared
-one. Candidates then must share as many pairs as the bound says; the ones that may are scored, each once.
-How many are shared at most is read off marks, one bit a pair, so postings hold numbers and no lists.
+one. Candidates then must share as many pairs as the bound says, and as many characters, whatever their order,
+as the common subsequence has; the ones that may are scored, each once. How many are shared at most is read off
+marks, one bit a pair and one a character, so postings hold numbers and no lists.
 The values' postings are made once, as an index, and serve all queries and all cutoffs from the least on.
 """
 
@@ -37,9 +38,10 @@ ANY = "*"
 #: So many of the most frequent pairs are told apart when a name's rarest are chosen; the choice changes no result.
 FREQUENT = 5000
 _EDGE = "\u0001"
-#: 64-bit words of a form's marks.
-MARKS = 4
-_MARKS = ["spare", *[f"m{i}" for i in range(MARKS)]]
+#: 64-bit words of a form's marks of pairs, and of characters.
+MARKS, LETTERS = 4, 2
+_PAIRS, _CHARS = ["spare", *[f"m{i}" for i in range(MARKS)]], ["cspare", *[f"c{i}" for i in range(LETTERS)]]
+_MARKS = [*_PAIRS, *_CHARS]
 _EPSILON = 1e-9
 #: What a posting says: the query is the shorter one, or the value; a word; the query is a single character, or the value.
 _QUERY_SHORT, _VALUE_SHORT, _WORD, _QUERY_LONE, _VALUE_LONE = range(5)
@@ -64,8 +66,31 @@ def marks_of(pairs: list[str]) -> dict[str, int]:
     bits = 0
     for p in pairs:
         bits |= 1 << crc32(p.encode()) % (64 * MARKS)
-    words = [bits >> 64 * i & (1 << 64) - 1 for i in range(MARKS)]
-    return {"spare": len(pairs) - bits.bit_count()} | {f"m{i}": w - (w >> 63 << 64) for i, w in enumerate(words)}
+    return _words(_PAIRS, len(pairs), bits)
+
+
+def letter_marks(s: str) -> dict[str, int]:
+    """Likewise of characters: the first four of each of a to z have bits of their own, others share the rest."""
+    bits, seen = 0, Counter()
+    for c in s:
+        seen[c] += 1
+        k = ord(c) - ord("a")
+        bits |= 1 << (4 * k + min(seen[c], 4) - 1 if 0 <= k < 26 else 104 + (3 * ord(c) + seen[c]) % 24)
+    return _words(_CHARS, len(s), bits)
+
+
+def _words(names: list[str], n: int, bits: int) -> dict[str, int]:
+    """The 64-bit words of the marks of ``n`` things, and how many of these have no bit of their own."""
+    words = [bits >> 64 * i & (1 << 64) - 1 for i in range(len(names) - 1)]
+    return {names[0]: n - bits.bit_count()} | {c: w - (w >> 63 << 64) for c, w in zip(names[1:], words)}
+
+
+def shared_at_most(names: list[str]) -> Column:
+    """How many things a query's form and a value's (``v``) share at most, by their marks ``names``."""
+    out = F.least(names[0], f"v{names[0]}")
+    for c in names[1:]:
+        out = out + F.bit_count(F.col(c).bitwiseAND(F.col(f"v{c}")))
+    return out
 
 
 def forms_of(key: str) -> list[str]:
@@ -79,10 +104,10 @@ def least_common(n: Column, m: Column, cutoff: float) -> Column:
     return F.ceil(F.lit(cutoff / 200) * (n + m) - _EPSILON)
 
 
-def least_shared(n: Column, m: Column, cutoff: float) -> Column:
+def least_shared(n: Column, m: Column, cutoff: float, parts: Column | None = None) -> Column:
     """How many pairs forms of lengths n <= m share at least if their score reaches the cutoff; null if it can't.
 
-    Whether parts count depends on the lengths of the names, not of their forms, so it is left open here.
+    Whether ``parts`` count depends on the lengths of the names, not of their forms; if that isn't said, they may.
     """
     common = least_common(n, m, cutoff)
     whole = F.when(common <= n, common * 3 + 1 - n - m)
@@ -91,7 +116,15 @@ def least_shared(n: Column, m: Column, cutoff: float) -> Column:
         return whole
     # The window is at least r n / (2 - r) long, or its common subsequence would be longer than itself; the ends needn't be shared.
     inside = F.greatest(F.ceil((1.5 * r - 1) * 2 * n / (2 - r) - 1 - _EPSILON), F.lit(1))
-    return F.least(whole, inside)  # skips nulls
+    return F.least(whole, inside if parts is None else F.when(parts, inside))  # skips nulls
+
+
+def least_letters(n: Column, m: Column, cutoff: float, parts: Column) -> Column:
+    """How long the common subsequence of the forms is at least, of the longer one or of its window; null if they can't reach the cutoff."""
+    common = least_common(n, m, cutoff)
+    whole = F.when(common <= n, common)
+    r = cutoff / 100 / PARTIAL
+    return whole if r > 1 else F.least(whole, F.when(parts, F.ceil(r * n / (2 - r) - _EPSILON)))
 
 
 def least_of_short(n: int, cutoff: float) -> int:
@@ -107,19 +140,29 @@ def least_of_short(n: int, cutoff: float) -> int:
     return max(1, best or 1)
 
 
+def _kind(mark: str) -> str:
+    return "int" if mark.endswith("spare") else "bigint"
+
+
 def _grouped(names: DataFrame) -> DataFrame:
-    return names.where("key <> ''").groupBy("key").agg(F.collect_set("iso").alias("codes"))
+    """Names with their codes, dealt over all cores: few bytes, of which one task would be made, are much work here."""
+    return names.where("key <> ''").groupBy("key").agg(F.collect_set("iso").alias("codes")).repartition(_tasks(names), F.xxhash64("key"))
+
+
+def _tasks(df: DataFrame) -> int:
+    spark = df.sparkSession
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
 
 
 def _postings(names: DataFrame, query: bool, frequent: dict[str, int], cutoff: float) -> DataFrame:
     """(iso, role, gram, key, n, and marks): under each code, what names are looked up by (``query``) or found under."""
 
-    @F.pandas_udf(f"array<struct<n:int,spare:int,{','.join(f'm{i}:bigint' for i in range(MARKS))},pairs:array<string>,rare:array<string>>>")
+    @F.pandas_udf(f"array<struct<n:int,{','.join(f'{c}:{_kind(c)}' for c in _MARKS)},pairs:array<string>,rare:array<string>>>")
     def forms(key: pd.Series) -> pd.Series:
         def one(s: str) -> dict:
             pairs = pairs_of(s)
             sure = max(1, len(s) + 2 - least_of_short(len(s), cutoff))  # so many can't all be unshared
-            return {"n": len(s), **marks_of(pairs), "pairs": pairs, "rare": sorted(pairs, key=lambda p: (frequent.get(p, 0), p))[:sure]}
+            return {"n": len(s), **marks_of(pairs), **letter_marks(s), "pairs": pairs, "rare": sorted(pairs, key=lambda p: (frequent.get(p, 0), p))[:sure]}
 
         return key.map(lambda k: [one(s) for s in forms_of(k)])
 
@@ -133,7 +176,7 @@ def _postings(names: DataFrame, query: bool, frequent: dict[str, int], cutoff: f
     # A single character, maybe a repeated one, stands in a longer name without sharing a pair.
     single = F.array_distinct(F.split(F.replace("key", F.lit(" "), F.lit("")), ""))
     chars = F.concat(F.transform(single, lambda c: gram(letters, c)), F.when(F.size(single) == 1, F.array(gram(lone, F.get(single, F.lit(0))))).otherwise(F.array().cast("array<struct<role:int,gram:string>>")))
-    rest = names.select("codes", "key", F.length("key").alias("n"), F.lit(0).alias("spare"), *[F.lit(0).cast("long").alias(c) for c in _MARKS[1:]], F.explode(F.concat(words, chars)).alias("g"))
+    rest = names.select("codes", "key", F.length("key").alias("n"), *[F.lit(0).cast(_kind(c)).alias(c) for c in _MARKS], F.explode(F.concat(words, chars)).alias("g"))
     return out.unionByName(rest).select(F.explode("codes").alias("iso"), "g.role", "g.gram", "key", "n", *_MARKS)
 
 
@@ -169,15 +212,14 @@ def candidates(queries: DataFrame, index: Index, cutoff: float) -> DataFrame:
     values = index.postings.select("iso", "role", "gram", F.col("key").alias("vkey"), F.col("n").alias("vn"), *[F.col(c).alias(f"v{c}") for c in _MARKS])
     met = asked.join(values, ["iso", "role", "gram"])
     short, long_ = F.when(F.col("role") == _QUERY_SHORT, F.col("n")).otherwise(F.col("vn")), F.when(F.col("role") == _QUERY_SHORT, F.col("vn")).otherwise(F.col("n"))
-    shared = F.least("spare", "vspare")
-    for c in _MARKS[1:]:
-        shared = shared + F.bit_count(F.col(c).bitwiseAND(F.col(f"v{c}")))
-    by_pairs = (short <= long_) & (shared >= least_shared(short, long_, cutoff))
+    lengths = F.greatest(F.length("key"), F.length("vkey")) / F.least(F.length("key"), F.length("vkey"))
+    parts = lengths >= LEAST_RATIO
+    by_pairs = (short <= long_) & (shared_at_most(_PAIRS) >= least_shared(short, long_, cutoff, parts)) & (shared_at_most(_CHARS) >= least_letters(short, long_, cutoff, parts))
     # Names that share a word: by that alone if one is much longer, by the words that differ otherwise.
     wide = F.greatest("n", "vn") / F.least("n", "vn")
     by_word = (wide < LEAST_RATIO) if cutoff > 100 * PARTIAL * TOKENS else (wide <= MOST_RATIO)
     may = F.when(F.col("role").isin(_QUERY_SHORT, _VALUE_SHORT), by_pairs).when(F.col("role") == _WORD, by_word).otherwise(True)
-    return met.where(may).select("key", "vkey").distinct()
+    return met.where(may).select("key", "vkey").repartition(_tasks(queries), "key", "vkey").distinct()
 
 
 def similar_pairs(queries: DataFrame, index: Index, cutoff: float) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tidewire.functions import placecolumns as C
 from tidewire.functions import placenames as P
-from tidewire.functions.similarity import ratio_column, weighted_column
+from tidewire.functions.similarity import ratio_column, reaches, weighted_column
 from tidewire.operators import grounding, kb
 from tidewire.operators.grounding import LEVELS, MATCH
 from tidewire.plans.staging import staged
@@ -61,8 +61,9 @@ def query_variants(asked: DataFrame, keyed: DataFrame) -> DataFrame:
     ``alias_admin1``) and without qualifiers (``cleaned``); then their rarest words, three of each text
     (``token``), of which ``held`` units of the knowledge base have one. Texts with the same key are one.
     """
-    unit = lambda k: F.col(f"key{k}").isNotNull() & (F.col(f"key{k}") != "unknown") & (F.col(f"key{k}") != F.col("key")) & C.alias(F.col("key"), F.coalesce(F.col(f"key{k}"), F.lit("")))
-    rows = asked.select(*_ID, "name", "key", "admin1", "key1", "admin2", "key2").withColumns({"a2": unit(2), "a1": unit(1)})
+    unit = lambda k: F.col(f"key{k}").isNotNull() & (F.col(f"key{k}") != "unknown") & (F.col(f"key{k}") != F.col("key")) & C.one_place(F.col("clean"), F.col(f"clean{k}"))
+    rows = asked.select(*_ID, "name", "key", "admin1", "key1", "admin2", "key2", C.clean_phrase(F.col("key")).alias("clean"), *[C.clean_phrase(F.coalesce(F.col(f"key{k}"), F.lit(""))).alias(f"clean{k}") for k in (1, 2)])
+    rows = rows.withColumns({"a2": unit(2), "a1": unit(1)})
     rows = rows.withColumn("a1", F.col("a1") & ~(F.col("a2") & (F.col("key1") == F.col("key2"))))
 
     def forms(at: int, text: str, key: str, kind: str, use: Column) -> list[Column]:
@@ -75,7 +76,7 @@ def query_variants(asked: DataFrame, keyed: DataFrame) -> DataFrame:
     known = F.filter(F.array(*all_forms), lambda x: x.isNotNull() & ~x["key"].isin("", "unknown"))
     once = lambda x, i: ~F.exists(F.slice("forms", F.lit(1), i), lambda y: y["key"] == x["key"])
     texts = rows.withColumn("forms", known).select(*_ID, F.explode(F.filter("forms", once)).alias("v")).select(*_ID, "v.*")
-    long_words = F.filter(F.array_distinct(_words(F.col("key"))), lambda t: (F.length(t) >= 4) & ~t.isin(sorted(P.STOPWORDS)))
+    long_words = F.filter(F.array_distinct(_words(F.col("key"))), lambda t: (F.length(t) >= 4) & ~C.one_of(t, P.STOPWORDS))
     held = kb.token_frequency(keyed).select(F.col("token").alias("word"), F.col("n").alias("held"))
     words = texts.select(*_ID, "at", F.explode(long_words).alias("word")).join(held, "word", "left")
     rarity = F.struct(F.coalesce("held", F.lit(0)).alias("held"), (-F.length("word")).alias("shortness"), "word")
@@ -96,9 +97,9 @@ def token_units(texts: DataFrame, keyed: DataFrame, rows: DataFrame) -> DataFram
         held = part if held is None else held.unionByName(part)
     allowed = (F.col("kind") == "token") & (F.col("tight") | (F.col("held") <= RARE)) & F.col("held").between(1, MOST_HELD)
     found = texts.where(allowed).join(held, "key")
-    shares = C.content_overlap(F.col("name_key"), F.col("vkey")) | (weighted_column("key", "vkey") >= SAME)
-    found = found.where(C.alias(F.col("name_key"), F.col("vkey")) & shares)
-    alike = weighted_column(C.clean_phrase(F.col("name_key")), C.clean_phrase(F.col("vkey")))
+    shares = C.content_overlap(F.col("name_key"), F.col("vkey")) | reaches(F.col("key"), F.col("vkey"), SAME)
+    found = found.withColumns({"clean": C.clean_phrase(F.col("name_key")), "vclean": C.clean_phrase(F.col("vkey"))}).where(C.one_place(F.col("clean"), F.col("vclean")) & shares)
+    alike = weighted_column("clean", "vclean")
     found = grounding.rows_for(found, rows).withColumn("alike", alike)
     order = F.struct(((F.col("level") == 2) & F.coalesce(F.col("likely") == 2, F.lit(False))).alias("hinted"), "alike", "level", "value", "row", "row_iso")
     best = found.groupBy(*_ID, "at").agg(F.max(order).alias("b"), F.first("text").alias("text"), F.first("kind").alias("kind"))
@@ -119,8 +120,8 @@ def similar_hits(texts: DataFrame, units: grounding.Units, rows: DataFrame, thre
     key, value = F.col("key"), F.col("vkey")
     enough = F.col("score") >= grounding.least_score(F.size("isos") > 0, F.col("strong"), F.col("kind") == "token", F.coalesce("held", F.lit(0)), threshold)
     one_of_many = (F.size(_words(key)) > 1) & F.array_contains(_words(key), value)
-    plain = out.where(enough & ~C.poor_target(value, key) & C.words_may_match(key, value))
-    tested = plain.where(C.content_overlap(key, value) | (weighted_column("key", "vkey") >= SAME)).where(C.alias(F.col("name_key"), value)).where(~(one_of_many & (F.col("score") < CUT_SCORE) & (ratio_column("key", "vkey") < CUT_RATIO)))
+    plain = out.where(enough & ~C.poor_target(value, key) & C.words_may_match(key, value)).withColumns({"clean": C.clean_phrase(F.col("name_key")), "vclean": C.clean_phrase(value)})
+    tested = plain.where(C.content_overlap(key, value) | reaches(key, value, SAME)).where(C.one_place(F.col("clean"), F.col("vclean"))).where(~(one_of_many & (F.col("score") < CUT_SCORE) & (ratio_column("key", "vkey") < CUT_RATIO)))
     found = grounding.rows_for(tested, rows).where(~F.col("strong") | (F.col("row_key") == F.col("ckey")))
     hit = F.struct("score", "level", "value", "row", "text", "kind", F.lit(FUZZY).alias("by"))
     return found.select(*_ID, "at", "likely", hit.alias("hit"))
@@ -150,8 +151,8 @@ def search_units(asked: DataFrame, units: grounding.Units, threshold: float = MA
     facts = asked.select(*_ID, F.col("key").alias("name_key"), "isos", "strict", "strong", F.when(F.col("strong"), F.col("ckey")).alias("ckey"), F.col("key1").alias("ukey"), tight.alias("tight"), likely.alias("likely"))
     texts = staged(variants.join(facts, _ID).where(~C.is_directional(F.col("key"))), "texts")
     rows = staged(grounding.unit_rows(keyed, (1, 2)), "rows")
-    by_word = token_units(texts, keyed, rows)
-    by_score = best_hits(similar_hits(texts, units, rows, threshold))
+    by_word = staged(token_units(texts, keyed, rows), "by_word")
+    by_score = staged(best_hits(similar_hits(texts, units, rows, threshold)), "by_score")
     return by_score.withColumnRenamed("hit", "s").join(by_word, _ID, "full").select(*_ID, F.coalesce("hit", "s").alias("hit"))
 
 
