@@ -159,3 +159,29 @@ def test_no_rows(spark, tmp_path):
     df = spark.createDataFrame([], SCHEMA)
     files = time_partitions.rewrite(df, f"file://{tmp_path}/none", 5, time_partitions.click_moment(F.col("ts"), F.col("click_id")), ("arrived_at", "click_id"))
     assert files == [] and time_partitions.file_report(df, f"file://{tmp_path}/none", files, "click_id", F.lit(True)).count() == 0
+
+
+def test_plans_do_not_grow_with_the_digits(spark, tmp_path, monkeypatch):
+    """Digits, digits and then a sort, or a sort alone: the same files, and no plan that joins once for each digit before."""
+    rng = random.Random(5)
+    at = [datetime(2024, 3, 4) + timedelta(microseconds=rng.choice([0, 0, 7, rng.randrange(3_600_000_000)])) for _ in range(400)]
+    rows = [(rng.choice([1, 2, 2**40 + i]), t if i % 9 else None, MAY if i % 3 else MAY - timedelta(seconds=i), "x" if i % 2 else None, 0) for i, t in enumerate(at)]
+    spark.createDataFrame(rows + rows[:100], SCHEMA).repartition(3).write.parquet(f"{tmp_path}/in")
+    keyed, keys = time_partitions.with_keys(spark.read.parquet(f"{tmp_path}/in"), time_partitions.micros(F.col("ts")), ("arrived_at", "click_id"))
+    leaves = time_partitions.time_leaves(keyed.groupBy("hour").agg(F.count("*").alias("n")), 7)
+    kind, joins = type(keyed), []
+    collect = kind.collect
+
+    def counting(df):
+        joins.append(df._jdf.queryExecution().analyzed().toString().count("Join "))
+        return collect(df)
+
+    laid = []
+    for few in (0, 20, 1000):
+        monkeypatch.setattr(kind, "collect", counting)
+        bounds = time_partitions.boundaries(keyed, keys, leaves, 7, few)
+        monkeypatch.setattr(kind, "collect", collect)
+        routed, files = time_partitions.file_numbers(keyed, keys, leaves, bounds)
+        laid.append(sorted(tuple(r) for r in routed.select("file", *keys).collect()))
+        assert max(Counter(r[0] for r in laid[-1]).values()) <= 7 and len(files) > 60
+    assert laid[0] == laid[1] == laid[2] and len(joins) > 6 and max(joins) <= 3

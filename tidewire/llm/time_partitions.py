@@ -9,7 +9,8 @@ leaves alone the files that are there already with the same rows. No file has mo
 * Only single hours above the limit, and the rows without a time, have several parts. The sort key at every
   multiple of the limit is found by radix selection: the rows of these leaves are counted by the next digit
   of the key, the digit in which each wanted rank falls is chosen, and only the rows of that digit are
-  counted further. Keys end with the content and then the place of a row, so that even repeated rows
+  counted further, till they are few enough to be sorted at once. Each round joins the rows with what is decided, so that
+  plans don't grow with the rounds. Keys end with the content and then the place of a row, so that even repeated rows
   have an order of their own: ties are cut exactly, and nothing is ranked by a window.
 * A row finds its file by binary search in the boundaries, at most about 5 x ``PARTS`` of them. One shuffle
   brings the rows of the changed files together, where they are sorted and written.
@@ -43,6 +44,8 @@ SECOND = 1_000_000
 HOUR, DAY = 3600 * SECOND, 86400 * SECOND
 #: Bits of the key that one round of the selection decides.
 DIGIT = 16
+#: So many rows at most, as a node has digits, are sorted instead of counted further.
+FEW = 2**DIGIT
 _SIGN = -(2**63)
 
 
@@ -153,37 +156,62 @@ def _unsigned(x: int) -> int:
     return x - _SIGN
 
 
-def boundaries(keyed: DataFrame, keys: list[str], leaves: list[Leaf], limit: int) -> dict[int, list[tuple[int, ...]]]:
+def boundaries(keyed: DataFrame, keys: list[str], leaves: list[Leaf], limit: int, few: int = FEW) -> dict[int, list[tuple[int, ...]]]:
     """For each leaf above the limit the largest key of every part but the last, as unsigned numbers.
 
-    A boundary that falls on the end of a digit needs no further digits: its key is filled up with ones.
+    A boundary that falls on the end of a digit needs no further digits: its key is filled up with ones. Once at most
+    ``few`` rows are left among which boundaries are looked for, they are sorted.
     """
     big = [(k, leaf) for k, leaf in enumerate(leaves) if leaf.n > limit]
     if not big:
         return {}
     spark = keyed.sparkSession
     nodes = local_table(spark, [(k, None if leaf.name == "null" else leaf.first) for k, leaf in big], "node int, at long")
-    rows = scratch(keyed.join(nodes, F.col("hour").eqNullSafe(F.col("at"))).select("node", *keys), "keys")
-    spread = rows.agg(*[f(c) for c in keys for f in (F.min, F.max)]).first()
+    rows = keyed.join(nodes, F.col("hour").eqNullSafe(F.col("at"))).select("node", *keys)
     out: dict[int, list[tuple[int, ...]]] = {k: [] for k, _ in big}
     # Of each node: its leaf, the key as far as it is decided, and the ranks that are looked for among its rows.
-    open_ = {k: (k, (), 0, list(range(limit, leaf.n, limit))) for k, leaf in big}
-    left = rows
+    open_: dict[int, tuple[int, tuple[int, ...], int, list[int]]] = {k: (k, (), 0, list(range(limit, leaf.n, limit))) for k, leaf in big}
+
+    def wanted() -> DataFrame:
+        return local_table(spark, [(node, r) for node, (*_, ranks) in open_.items() for r in ranks], "node int, rank long")
+
+    def sort(left: DataFrame) -> None:
+        ranked = left.withColumn("rank", F.row_number().over(Window.partitionBy("node").orderBy(*keys)).cast("long"))  # of few rows
+        for node, *key in ranked.join(wanted(), ["node", "rank"]).select("node", *keys).collect():
+            out[open_[node][0]].append(tuple(map(_unsigned, key)))
+
+    if sum(leaf.n for _, leaf in big) <= few:
+        sort(rows)
+        return {k: sorted(v) for k, v in out.items()}
+    rows = scratch(rows, "keys")
+    spread = [_unsigned(x) for x in rows.agg(*[f(c) for c in keys for f in (F.min, F.max)]).first()]
+    varied = [i for i in range(len(keys)) if spread[2 * i] != spread[2 * i + 1]]
+
+    def held(i: int, bits: int) -> DataFrame:
+        """The rows of the open nodes, of whose keys the ``i`` first are decided and of the next all but ``bits`` bits: one join, however many digits were read."""
+        before = [j for j in varied if j < i]
+        found = [(leaf, node, *[done[j] + _SIGN for j in before], (x := stem >> bits) - (x >> 63 << 64)) for node, (leaf, done, stem, _) in open_.items()]
+        table = local_table(spark, found, "node int, child int, " + "".join(f"{keys[j]} long, " for j in before) + "top long")
+        top = F.shiftrightunsigned(F.col(keys[i]).bitwiseXOR(F.lit(_SIGN)), bits) if bits < 64 else F.lit(0).cast("long")
+        return rows.withColumn("top", top).join(table, ["node", *[keys[j] for j in before], "top"]).select(F.col("child").alias("node"), *keys)
+
     for i, c in enumerate(keys):
-        low, high = _unsigned(spread[2 * i]), _unsigned(spread[2 * i + 1])
+        if not open_:
+            break
+        low, high = spread[2 * i], spread[2 * i + 1]
         bits = (low ^ high).bit_length()
         stem = low >> bits << bits
         open_ = {node: (leaf, done, stem, ranks) for node, (leaf, done, _, ranks) in open_.items()}
         while bits and open_:
+            left = held(i, bits)
             step = min(DIGIT, bits)
             bits -= step
             digit = F.shiftrightunsigned(F.col(c).bitwiseXOR(F.lit(_SIGN)), bits).bitwiseAND(2**step - 1).cast("int")
-            left = left.withColumn("digit", digit)
-            counts = left.groupBy("node", "digit").agg(F.count("*").alias("n"))
+            counts = left.groupBy("node", digit.alias("digit")).agg(F.count("*").alias("n"))
             upto = counts.withColumn("upto", F.sum("n").over(Window.partitionBy("node").orderBy("digit")))  # over digits, not rows
-            ranks = local_table(spark, [(node, r) for node, (*_, wanted) in open_.items() for r in wanted], "node int, rank long")
-            hits = upto.join(ranks, "node").where("rank <= upto AND rank > upto - n").collect()
+            hits = upto.join(wanted(), "node").where("rank <= upto AND rank > upto - n").collect()
             found: dict[tuple[int, int], list[int]] = {}
+            among: dict[tuple[int, int], int] = {}
             for r in hits:
                 leaf, done, stem_, _ = open_[r["node"]]
                 inside = r["rank"] - (r["upto"] - r["n"])
@@ -191,10 +219,11 @@ def boundaries(keyed: DataFrame, keys: list[str], leaves: list[Leaf], limit: int
                     out[leaf].append((*done, stem_ | r["digit"] << bits | (1 << bits) - 1, *[2**64 - 1] * (len(keys) - len(done) - 1)))
                 else:
                     found.setdefault((r["node"], r["digit"]), []).append(inside)
-            deeper = {k: (open_[node][0], open_[node][1], open_[node][2] | digit << bits, sorted(ranks)) for k, ((node, digit), ranks) in enumerate(sorted(found.items()))}
-            table = local_table(spark, [(node, digit, k) for k, (node, digit) in enumerate(sorted(found))], "node int, digit int, child int")
-            left = left.join(table, ["node", "digit"]).select(F.col("child").alias("node"), *keys)
-            open_ = deeper
+                    among[r["node"], r["digit"]] = r["n"]
+            open_ = {k: (open_[node][0], open_[node][1], open_[node][2] | digit << bits, sorted(ranks)) for k, ((node, digit), ranks) in enumerate(sorted(found.items()))}
+            if open_ and sum(among.values()) <= few:
+                sort(held(i, bits))
+                open_ = {}
         open_ = {node: (leaf, (*done, stem), 0, ranks) for node, (leaf, done, stem, ranks) in open_.items()}
     if open_:
         raise ValueError("rows share content and place")
