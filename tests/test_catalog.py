@@ -71,6 +71,14 @@ def test_translation_of_letters_without_a_capital(spark, tmp_path):
     assert same_as_sql(spark, tmp_path / "b", "downloaded_pages", pages=pages)[0] is not None
 
 
+def test_final_texts_of_empty_parts(spark, tmp_path):
+    """SQL joins whatever language and text there are."""
+    rows = [("en", ""), ("en", None), ("en", '\n"\n“”'), ("en", "\n" * 1300 + "x"), (None, "x"), ("", "x"), ("", ""), ('e"n\n', "x"), ("fr", "😀é" * 700), ("de", "a\x00b\r\n"), ("es", "e\u0301" * 601)]
+    docs = spark.createDataFrame([(i, t, lang) for i, (lang, t) in enumerate(rows)], "doc_id bigint, text string, lang string")
+    found = {r.doc_id: r.combined for r in same_as_sql(spark, tmp_path, "final_text_en", documents=docs)}
+    assert found[0] == found[2] == found[3] == "en. " and found[1] is found[4] is None and found[5] == ". x"
+
+
 def test_alternative_names_of_customers_with_the_numbers_of_countries(spark, tmp_path):
     """Only customer 1 stands for the country with more names, whatever numbers others have."""
     keys = [1, 2, 3, 239880, 239881, 6252001]
