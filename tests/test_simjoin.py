@@ -154,6 +154,36 @@ def test_few_names_are_dealt_over_all_cores(spark):
     assert len(index.postings.inputFiles()) >= 4
 
 
+def test_many_postings_are_not_sent_to_the_driver(spark, monkeypatch):
+    """Files of postings are small, their rows are not: only so many as were counted are broadcast; the pairs are the same."""
+    df = lambda seed: spark.createDataFrame([(x, "X") for x in names(seed, 60)], "key string, iso string")
+    index = simjoin.build_index(df(2))
+    plan = lambda: simjoin.candidates(df(1), index, 85.0)._jdf.queryExecution().executedPlan().toString()
+    few, sent = plan(), simjoin.similar_pairs(df(1), index, 85.0).collect()
+    monkeypatch.setattr(simjoin, "SENT", index.rows - 1)
+    assert index.rows == index.postings.count() and "BroadcastHashJoin" in few and "BroadcastHashJoin" not in plan() and "SortMergeJoin" in plan()
+    assert sorted(simjoin.similar_pairs(df(1), index, 85.0).collect()) == sorted(sent)
+
+
+def test_an_index_serves_all_higher_cutoffs(spark):
+    """From one index no pair is lost at a higher cutoff; repeated words and characters, and very long names, are among them."""
+    q, v = [*names(1, 120), "san san ta ta", "x" * 250, "é é"], [*names(2, 120), "san ta", "ta san san", "x" * 251, "x" * 249 + "y", "lé"]
+    df = lambda keys: spark.createDataFrame([(k, "X") for k in keys], "key string, iso string")
+    index = simjoin.build_index(df(v))
+    for cutoff in (80.0, 88.0, 90.0, 94.0, 95.0, 96.0, 100.0):
+        got = {(r.key, r.vkey): r.score for r in simjoin.similar_pairs(df(q), index, cutoff).collect()}
+        assert got == pytest.approx({(a, b): s for a in q for b in v if (s := weighted(a, b)) >= cutoff})
+
+
+def test_names_that_share_a_word_have_enough_characters_in_common(spark):
+    """A shared first name alone is no reason to score two names of about the same length."""
+    rng = random.Random(6)
+    word = lambda: "".join(rng.choice("bcdfghklmnprstvz") + rng.choice("aeiou") for _ in range(4))
+    df = lambda keys: spark.createDataFrame([(k, "X") for k in keys], "key string, iso string")
+    q, v = [f"yu {word()}" for _ in range(100)], [f"yu {word()}" for _ in range(100)]
+    assert simjoin.candidates(df(q), simjoin.build_index(df(v)), 88.0).count() <= 0.05 * len(q) * len(v)
+
+
 def test_word_lists_are_one_literal(spark):
     """Tests on names are copied into many expressions, so their trees are small."""
     df = spark.createDataFrame([("new york state", "york"), (None, "n/a"), ("", "")], "a string, b string")

@@ -37,12 +37,16 @@ LEAST_CUTOFF = 80.0
 ANY = "*"
 #: So many of the most frequent pairs are told apart when a name's rarest are chosen; the choice changes no result.
 FREQUENT = 5000
+#: Up to this length it is looked up how many pairs of a value count at a higher cutoff than the index's.
+LONG = 200
 _EDGE = "\u0001"
 #: 64-bit words of a form's marks of pairs, and of characters.
 MARKS, LETTERS = 4, 2
 _PAIRS, _CHARS = ["spare", *[f"m{i}" for i in range(MARKS)]], ["cspare", *[f"c{i}" for i in range(LETTERS)]]
 _MARKS = [*_PAIRS, *_CHARS]
 _EPSILON = 1e-9
+#: Postings up to so many are sent to every task; more are met sorted, as the size of their files says little about the memory that they take.
+SENT = 50_000
 #: What a posting says: the query is the shorter one, or the value; a word; the query is a single character, or the value.
 _QUERY_SHORT, _VALUE_SHORT, _WORD, _QUERY_LONE, _VALUE_LONE = range(5)
 
@@ -140,6 +144,16 @@ def least_of_short(n: int, cutoff: float) -> int:
     return max(1, best or 1)
 
 
+def _sure(n: int, cutoff: float) -> int:
+    """Of a form's pairs so many can't all be unshared."""
+    return max(1, n + 2 - least_of_short(n, cutoff))
+
+
+def _is_sure(cutoff: float) -> Column:
+    """Whether the shorter form is looked up by its ``at``-th rarest pair at this cutoff; of very long forms, by each that the index has."""
+    return F.coalesce(F.col("at") < F.get(F.array(*[F.lit(_sure(n, cutoff)) for n in range(LONG)]), F.col("n")), F.lit(True))
+
+
 def _kind(mark: str) -> str:
     return "int" if mark.endswith("spare") else "bigint"
 
@@ -155,38 +169,46 @@ def _tasks(df: DataFrame) -> int:
 
 
 def _postings(names: DataFrame, query: bool, frequent: dict[str, int], cutoff: float) -> DataFrame:
-    """(iso, role, gram, key, n, and marks): under each code, what names are looked up by (``query``) or found under."""
+    """(iso, role, gram, key, own, at, n, and marks): under each code, what names are looked up by (``query``) or found under.
+
+    ``own`` says whether the form is the name itself, ``at`` which of its rarest pairs it is. Word postings of names with repeated words have ``n`` 0.
+    """
 
-    @F.pandas_udf(f"array<struct<n:int,{','.join(f'{c}:{_kind(c)}' for c in _MARKS)},pairs:array<string>,rare:array<string>>>")
+    @F.pandas_udf(f"array<struct<own:boolean,apart:boolean,n:int,{','.join(f'{c}:{_kind(c)}' for c in _MARKS)},pairs:array<string>,rare:array<string>>>")
     def forms(key: pd.Series) -> pd.Series:
-        def one(s: str) -> dict:
-            pairs = pairs_of(s)
-            sure = max(1, len(s) + 2 - least_of_short(len(s), cutoff))  # so many can't all be unshared
-            return {"n": len(s), **marks_of(pairs), **letter_marks(s), "pairs": pairs, "rare": sorted(pairs, key=lambda p: (frequent.get(p, 0), p))[:sure]}
+        def one(key: str, s: str) -> dict:
+            pairs, words = pairs_of(s), s.split()
+            rare = sorted(pairs, key=lambda p: (frequent.get(p, 0), p))[: _sure(len(s), cutoff)]
+            return {"own": s == key, "apart": s == " ".join(dict.fromkeys(words)), "n": len(s), **marks_of(pairs), **letter_marks(s), "pairs": pairs, "rare": rare}
 
-        return key.map(lambda k: [one(s) for s in forms_of(k)])
+        return key.map(lambda k: [one(k, s) for s in (forms_of(k) if cutoff <= 100 * TOKENS else [k])])
 
     own, other = (_QUERY_SHORT, _VALUE_SHORT) if query else (_VALUE_SHORT, _QUERY_SHORT)
     lone, letters = (_QUERY_LONE, _VALUE_LONE) if query else (_VALUE_LONE, _QUERY_LONE)
-    gram = lambda role, p: F.struct(F.lit(role).alias("role"), p.alias("gram"))
+    no_gram = F.array().cast("array<struct<role:int,gram:string,at:int>>")
+    gram = lambda role, p, at=None: F.struct(F.lit(role).alias("role"), p.alias("gram"), (F.lit(0) if at is None else at).alias("at"))
     rows = names.select("key", "codes", F.explode(forms("key")).alias("f"))
-    by_pair = F.concat(F.transform("f.rare", lambda p: gram(own, p)), F.transform("f.pairs", lambda p: gram(other, p)))
-    out = rows.select("codes", "key", "f.n", *[f"f.{c}" for c in _MARKS], F.explode(by_pair).alias("g"))
     words = F.transform(F.filter(F.array_distinct(F.split("key", " ")), lambda w: w != ""), lambda w: gram(_WORD, w))
+    by_pair = F.concat(F.transform("f.rare", lambda p, i: gram(own, p, i)), F.transform("f.pairs", lambda p: gram(other, p)), F.when(F.col("f.own"), words).otherwise(no_gram))
+    n = F.when((F.col("g.role") == _WORD) & ~F.col("f.apart"), 0).otherwise(F.col("f.n"))
+    out = rows.withColumn("g", F.explode(by_pair)).select("codes", "key", "f.own", n.alias("n"), *[f"f.{c}" for c in _MARKS], "g")
     # A single character, maybe a repeated one, stands in a longer name without sharing a pair.
     single = F.array_distinct(F.split(F.replace("key", F.lit(" "), F.lit("")), ""))
-    chars = F.concat(F.transform(single, lambda c: gram(letters, c)), F.when(F.size(single) == 1, F.array(gram(lone, F.get(single, F.lit(0))))).otherwise(F.array().cast("array<struct<role:int,gram:string>>")))
-    rest = names.select("codes", "key", F.length("key").alias("n"), *[F.lit(0).cast(_kind(c)).alias(c) for c in _MARKS], F.explode(F.concat(words, chars)).alias("g"))
-    return out.unionByName(rest).select(F.explode("codes").alias("iso"), "g.role", "g.gram", "key", "n", *_MARKS)
+    chars = F.concat(F.transform(single, lambda c: gram(letters, c)), F.when(F.size(single) == 1, F.array(gram(lone, F.get(single, F.lit(0))))).otherwise(no_gram))
+    rest = names.select("codes", "key", F.lit(True).alias("own"), F.length("key").alias("n"), *[F.lit(0).cast(_kind(c)).alias(c) for c in _MARKS], F.explode(chars).alias("g"))
+    if cutoff <= 100 * PARTIAL:  # only as parts of others
+        out = out.unionByName(rest)
+    return out.select(F.explode("codes").alias("iso"), "g.role", "g.gram", "key", "own", "g.at", "n", *_MARKS)
 
 
 @dataclass(frozen=True)
 class Index:
-    """The postings of values, good for all cutoffs from ``cutoff`` on, and how frequent their most frequent pairs are."""
+    """The postings of values, good for all cutoffs from ``cutoff`` on, how many they are, and how frequent their most frequent pairs are."""
 
     postings: DataFrame
     frequent: dict[str, int]
     cutoff: float
+    rows: int
 
 
 def build_index(values: DataFrame, cutoff: float = LEAST_CUTOFF) -> Index:
@@ -201,24 +223,37 @@ def build_index(values: DataFrame, cutoff: float = LEAST_CUTOFF) -> Index:
     names = _grouped(values)
     counted = names.select(F.explode(pairs("key")).alias("pair")).groupBy("pair").agg(F.count("*").alias("n"))
     frequent = {r["pair"]: r["n"] for r in counted.orderBy(F.desc("n"), "pair").limit(FREQUENT).collect()}
-    return Index(staged(_postings(names, False, frequent, cutoff), "postings"), frequent, cutoff)
+    postings = staged(_postings(names, False, frequent, cutoff), "postings", packed=True)
+    return Index(postings, frequent, cutoff, postings.count())
 
 
 def candidates(queries: DataFrame, index: Index, cutoff: float) -> DataFrame:
     """Distinct (key, vkey) that may reach the cutoff, among names that share a code."""
     if cutoff < index.cutoff:
         raise ValueError(f"cutoff below that of the index, {index.cutoff}")
-    asked = _postings(_grouped(queries), True, index.frequent, cutoff)
-    values = index.postings.select("iso", "role", "gram", F.col("key").alias("vkey"), F.col("n").alias("vn"), *[F.col(c).alias(f"v{c}") for c in _MARKS])
+    asked = _postings(_grouped(queries), True, index.frequent, cutoff).drop("own", "at")
+    values = index.postings.where((F.col("role") != _VALUE_SHORT) | _is_sure(cutoff))
+    whole, parts_count = cutoff > 100 * TOKENS, cutoff <= 100 * PARTIAL
+    if whole:  # the names as they are
+        asked, values = asked.where(F.col("role") < _WORD), values.where("own").where(F.col("role") < _WORD)
+    elif not parts_count:
+        values = values.where(F.col("role") <= _WORD)
+    values = values.select("iso", "role", "gram", F.col("key").alias("vkey"), F.col("n").alias("vn"), *[F.col(c).alias(f"v{c}") for c in _MARKS])
+    asked, values = (asked, F.broadcast(values)) if index.rows <= SENT else (asked.hint("merge"), values.hint("merge"))
     met = asked.join(values, ["iso", "role", "gram"])
     short, long_ = F.when(F.col("role") == _QUERY_SHORT, F.col("n")).otherwise(F.col("vn")), F.when(F.col("role") == _QUERY_SHORT, F.col("vn")).otherwise(F.col("n"))
     lengths = F.greatest(F.length("key"), F.length("vkey")) / F.least(F.length("key"), F.length("vkey"))
     parts = lengths >= LEAST_RATIO
-    by_pairs = (short <= long_) & (shared_at_most(_PAIRS) >= least_shared(short, long_, cutoff, parts)) & (shared_at_most(_CHARS) >= least_letters(short, long_, cutoff, parts))
-    # Names that share a word: by that alone if one is much longer, by the words that differ otherwise.
-    wide = F.greatest("n", "vn") / F.least("n", "vn")
-    by_word = (wide < LEAST_RATIO) if cutoff > 100 * PARTIAL * TOKENS else (wide <= MOST_RATIO)
-    may = F.when(F.col("role").isin(_QUERY_SHORT, _VALUE_SHORT), by_pairs).when(F.col("role") == _WORD, by_word).otherwise(True)
+    letters = shared_at_most(_CHARS)
+    by_pairs = (short <= long_) & (shared_at_most(_PAIRS) >= least_shared(short, long_, cutoff, parts)) & (letters >= least_letters(short, long_, cutoff, parts))
+    # Names that share a word: by that alone if one is much longer; else by the words that are shared or by those that differ as well,
+    # and of the characters of either name so many are in common as the shared words would have alone.
+    r = cutoff / 100 / TOKENS
+    by_word = (lengths < LEAST_RATIO) & (letters >= F.ceil(r / (2 - r) * F.least("n", "vn") - _EPSILON)) if not whole else F.lit(False)
+    if cutoff <= 100 * PARTIAL * TOKENS:
+        by_word = by_word | ((lengths >= LEAST_RATIO) & (lengths <= MOST_RATIO))
+    alone = lengths <= MOST_RATIO  # parts of names that are yet longer count too little
+    may = F.when(F.col("role").isin(_QUERY_SHORT, _VALUE_SHORT), by_pairs).when(F.col("role") == _WORD, by_word).otherwise(alone)
     return met.where(may).select("key", "vkey").repartition(_tasks(queries), "key", "vkey").distinct()
 
 
