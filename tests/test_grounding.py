@@ -7,6 +7,7 @@ from tidewire.functions import placecolumns as C
 from tidewire.functions.similarity import weighted
 from tidewire.functions.text import normalize_for_match
 from tidewire.operators import grounding, kb, unit_search
+from tidewire.plans.staging import staged
 from tidewire.schemas import LOCATION
 
 KB = [
@@ -177,6 +178,37 @@ def test_most_similar_against_all_values(spark, prepared):
     assert got == want and len(got) > 20
 
 
+def test_texts_are_settled_by_high_scores_first(spark, prepared, monkeypatch):
+    names = ["kampala", "kampalla", "lojja", "nairobi county", "westland", "loreto region", "central division", "central division x", "odesa", "odesa oblast", "peruu", "zzz"]
+    asked = spark.createDataFrame([(n, isos) for n in names for isos in ([], ["KEN"], ["ECU", "PER"])], "key string, isos array<string>")
+    cutoffs, similar_pairs = [], grounding.simjoin.similar_pairs
+    monkeypatch.setattr(grounding.simjoin, "similar_pairs", lambda q, i, c: (cutoffs.append(c), similar_pairs(q, i, c))[1])
+    found = lambda: sorted(map(repr, grounding.most_similar(asked, prepared.units, (1, 2), False, 80.0).collect()))
+    once = found()
+    monkeypatch.setattr(grounding, "MANY", 0)
+    assert found() == once and len(once) >= 20 and cutoffs == [80.0, *grounding.SETTLING, 80.0]
+
+
+def test_an_index_holds_the_levels_that_are_looked_up(spark):
+    """Texts are looked up among countries without any postings of their units."""
+    known = grounding.index_units(kb.with_keys(spark.createDataFrame(KB, KB_SCHEMA)))
+    assert not known.made
+    found = grounding.resolve_countries(spark.createDataFrame([("Kenyaa",), ("Nyalii",)], "text string"), known).collect()
+    assert {r.text: r.how for r in found} == {"Kenyaa": "fuzzy", "Nyalii": "no_match"} and list(known.made) == [(0,)]
+    assert {r.key for r in known.made[0,].postings.select("key").collect()} == {normalize_for_match_of(r[0]) for r in KB}
+
+
+def normalize_for_match_of(name):
+    return name.lower().replace("ô", "o").replace("'", " ")
+
+
+def test_staged_tables_are_as_large_as_their_rows(spark):
+    """Spark broadcasts what seems small: equal and similar names must not pack a table to a tenth of its size."""
+    df = spark.range(20_000).select("id", F.lit("Ouagadougou, Burkina Faso").alias("name"))
+    table = staged(df, "equal")
+    assert table.count() == 20_000 and int(table._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()) > 20_000 * 25
+
+
 def test_first_rows(spark, units):
     keyed = kb.with_keys(units)
     asked = [("Loreto", [], False, None, None), ("Loreto", ["PER"], False, None, None), ("loreto", ["ECU"], True, None, None), ("Loreto", ["KEN"], True, None, None), ("Loreto", ["KEN"], False, "Peru", None), ("Nairobi", [], False, None, "Nairobi")]

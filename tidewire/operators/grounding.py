@@ -8,7 +8,7 @@ stays a table: it is joined by key or by code, and Spark broadcasts what its mea
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -26,6 +26,8 @@ MATCH, LOOSE, COUNTRY, ADDED_COUNTRY = 85.0, 88.0, 88.0, 90.0
 COMMON_TOKENS = ((25, 95.0), (12, 92.0))
 MOST_ADDED = 25
 LEVELS = ("Admin0", "Admin1", "Admin2")
+#: Where texts times postings are more, pairs of these scores are looked for first; neither changes a result.
+MANY, SETTLING = 10_000_000_000, (96.0, 90.0)
 
 _CODES = "array<string>"
 
@@ -65,15 +67,21 @@ def values_by_code(keyed: DataFrame, level: int) -> DataFrame:
 
 @dataclass(frozen=True)
 class Units:
-    """A knowledge base with keys and the index of its values, made once for all lookups."""
+    """A knowledge base with keys, its values, and their index, made once for all lookups of the same levels."""
 
     keyed: DataFrame
     values: DataFrame
-    index: simjoin.Index
+    made: dict[tuple[int, ...], simjoin.Index] = field(default_factory=dict)
+
+    def index(self, levels: tuple[int, ...]) -> simjoin.Index:
+        if levels not in self.made:
+            held = self.values.where(F.col("level").isin(*levels))
+            self.made[levels] = simjoin.build_index(held.select(F.col("vkey").alias("key"), _place(F.col("level"), F.col("iso")).alias("iso")))
+        return self.made[levels]
 
 
 def index_units(keyed: DataFrame) -> Units:
-    """The values of all levels under their codes and under ``simjoin.ANY``, with their similarity index."""
+    """The values of all levels under their codes and under ``simjoin.ANY``; the similarity index of a level is made when it is first needed."""
     values = None
     for level in range(3):
         choices = values_by_code(keyed, level)
@@ -82,7 +90,7 @@ def index_units(keyed: DataFrame) -> Units:
         part = part.select(F.lit(level).alias("level"), "iso", "vkey", "value")
         values = part if values is None else values.unionByName(part)
     values = staged(values, "values")
-    return Units(keyed, values, simjoin.build_index(values.select(F.col("vkey").alias("key"), _place(F.col("level"), F.col("iso")).alias("iso"))))
+    return Units(keyed, values)
 
 
 def _place(level: Column, iso: Column) -> Column:
@@ -95,7 +103,8 @@ def most_similar(queries: DataFrame, units_: Units, levels: tuple[int, ...], str
 
     ``queries`` has ``key``, a normalized text, and ``isos``, the codes to look under. Without codes
     all values count; so they do where the codes have none, unless ``strict``. Ties go to the value
-    that sorts first. Pairs come from the similarity join, and are scored once whatever levels and codes.
+    that sorts first. Pairs come from the similarity join, and are scored once whatever levels and codes. Of many
+    texts and values the join finds first the pairs of high scores; texts that have one are settled, since no other pair is better.
     """
     asked = queries.select("key", F.array_sort(F.coalesce("isos", _none())).alias("isos"), (F.lit(strict) if isinstance(strict, bool) else strict).alias("strict")).where(F.col("key") != "").distinct()
     asked = asked.withColumn("level", F.explode(F.array(*map(F.lit, levels))))
@@ -106,10 +115,17 @@ def most_similar(queries: DataFrame, units_: Units, levels: tuple[int, ...], str
     under = under.withColumn("under", F.when(F.size("isos") == 0, anywhere).when((F.size("known") > 0) | F.col("strict"), F.col("known")).otherwise(anywhere))
     # Written, as both are read several times and a plan that holds them takes longer to make than to run.
     spread = staged(under.select("level", "key", "isos", "strict", F.explode("under").alias("iso")), "spread")
-    pairs = staged(simjoin.similar_pairs(spread.select("key", _place(F.col("level"), F.col("iso")).alias("iso")), units_.index, least), "pairs")
-    hits = spread.join(pairs, "key").join(units_.values, ["level", "iso", "vkey"])
-    best = hits.groupBy("level", "key", "isos", "strict").agg(F.min(F.struct((-F.col("score")).alias("s"), "value", "vkey")).alias("b"))
-    return best.select("level", "key", "isos", "strict", F.col("b.value").alias("value"), F.col("b.vkey").alias("vkey"), (-F.col("b.s")).alias("score"))
+    index, query, found = units_.index(levels), ["level", "key", "isos", "strict"], None
+    many = spread.count() * index.rows > MANY
+    for cutoff in [*(c for c in SETTLING if many and c > least), least]:
+        pairs = staged(simjoin.similar_pairs(spread.select("key", _place(F.col("level"), F.col("iso")).alias("iso")), index, cutoff), "pairs")
+        hits = spread.join(pairs, "key").join(units_.values, ["level", "iso", "vkey"])
+        best = hits.groupBy(*query).agg(F.min(F.struct((-F.col("score")).alias("s"), "value", "vkey")).alias("b"))
+        if cutoff > least:
+            best = staged(best, "best")
+            spread = staged(spread.join(best.select(*query), query, "left_anti"), "spread")
+        found = best if found is None else found.unionByName(best)
+    return found.select(*query, F.col("b.value").alias("value"), F.col("b.vkey").alias("vkey"), (-F.col("b.s")).alias("score"))
 
 
 def resolve_countries(texts: DataFrame, units_: Units, least: float = COUNTRY, isos: Column | None = None) -> DataFrame:
