@@ -109,9 +109,19 @@ def token_units(texts: DataFrame, keyed: DataFrame, rows: DataFrame) -> DataFram
 
 def similar_hits(texts: DataFrame, units: grounding.Units, rows: DataFrame, threshold: float) -> DataFrame:
     """doc, position, at, and ``hit``: the more similar unit of both levels for each text, where it passes all tests."""
-    queries = texts.select("key", "isos", "strict").distinct()
-    best = grounding.most_similar(queries, units, (1, 2), F.col("strict"), threshold - HINT_POINTS)  # a level may be so far behind and yet be chosen
-    best = best.groupBy("key", "isos", "strict").agg(*[F.max(F.when(F.col("level") == level, F.struct("level", "value", "vkey", "score"))).alias(f"best{level}") for level in (1, 2)])
+    query = ["key", "isos", "strict"]
+
+    def of_both(queries: DataFrame, least: float) -> DataFrame:
+        best = grounding.most_similar(queries, units, (1, 2), F.col("strict"), least)
+        return staged(best.groupBy(*query).agg(*[F.max(F.when(F.col("level") == level, F.struct("level", "value", "vkey", "score"))).alias(f"best{level}") for level in (1, 2)]), "best")
+
+    best = of_both(texts.select(*query).distinct(), threshold)
+    # A level may be some points behind and yet be chosen, and then fails; only the other level's score of less than so many points above the threshold lets it.
+    alone = F.col("best1").isNull() | F.col("best2").isNull()
+    near = alone & (F.coalesce("best1.score", "best2.score") < threshold + HINT_POINTS)
+    behind = best.where(near).select(*query)
+    if not behind.isEmpty():
+        best = best.where(~near).unionByName(of_both(behind, threshold - HINT_POINTS))
     out = texts.withColumn("isos", F.array_sort("isos")).join(best, ["key", "isos", "strict"])
     score = lambda k: F.coalesce(F.col(f"best{k}.score"), F.lit(0.0))
     lower = F.when(F.col("likely") == 2, F.col("best2").isNotNull() & (score(2) >= score(1) - HINT_POINTS)).when(F.col("likely") == 1, ~(F.col("best1").isNotNull() & (score(1) >= score(2) - HINT_POINTS))).otherwise(score(2) > score(1))
