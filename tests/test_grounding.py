@@ -189,6 +189,19 @@ def test_texts_are_settled_by_high_scores_first(spark, prepared, monkeypatch):
     assert found() == once and len(once) >= 20 and cutoffs == [80.0, *grounding.SETTLING, 80.0]
 
 
+def test_a_hinted_level_behind_the_other_is_found_below_the_threshold(spark):
+    """It is chosen and fails, whatever the other level scores; of a text without such a hint the other level's unit counts."""
+    one, two, key, level = "karamoja dalt", "karamoja sel", "karamoja delta", grounding.MATCH
+    known = grounding.index_units(kb.with_keys(spark.createDataFrame([("Land", one, two, "LAN"), ("Land", "Other", "Qqqq", "LAN")], KB_SCHEMA)))
+    assert weighted(key, one) - unit_search.HINT_POINTS <= weighted(key, two) < level <= weighted(key, one)
+    texts = spark.createDataFrame(
+        [(str(i), 0, 0, key, key, one, "surface", None, ["LAN"], True, False, None, None, False, i or None) for i in range(3)],
+        "doc string, position int, at int, text string, key string, name_key string, kind string, held long, isos array<string>, strict boolean, strong boolean, ckey string, ukey string, tight boolean, likely int",
+    )
+    got = {r.doc: r.hit.value for r in unit_search.similar_hits(texts, known, grounding.unit_rows(known.keyed, (1, 2)), level).collect()}
+    assert got == {"0": one, "1": one}
+
+
 def test_an_index_holds_the_levels_that_are_looked_up(spark):
     """Texts are looked up among countries without any postings of their units."""
     known = grounding.index_units(kb.with_keys(spark.createDataFrame(KB, KB_SCHEMA)))

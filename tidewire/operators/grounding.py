@@ -102,12 +102,13 @@ def most_similar(queries: DataFrame, units_: Units, levels: tuple[int, ...], str
     """(level, key, isos, strict, value, vkey, score): for each distinct query the most similar value of each level, if its score is at least ``least``.
 
     ``queries`` has ``key``, a normalized text, and ``isos``, the codes to look under. Without codes
-    all values count; so they do where the codes have none, unless ``strict``. Ties go to the value
-    that sorts first. Pairs come from the similarity join, and are scored once whatever levels and codes. Of many
+    all values count; so they do where the codes have none, unless ``strict``. A column ``level`` says which of
+    the levels a query is for. Ties go to the value that sorts first. Pairs come from the similarity join, and are scored once whatever levels and codes. Of many
     texts and values the join finds first the pairs of high scores; texts that have one are settled, since no other pair is better.
     """
-    asked = queries.select("key", F.array_sort(F.coalesce("isos", _none())).alias("isos"), (F.lit(strict) if isinstance(strict, bool) else strict).alias("strict")).where(F.col("key") != "").distinct()
-    asked = asked.withColumn("level", F.explode(F.array(*map(F.lit, levels))))
+    given = "level" in queries.columns
+    asked = queries.select("key", F.array_sort(F.coalesce("isos", _none())).alias("isos"), (F.lit(strict) if isinstance(strict, bool) else strict).alias("strict"), *["level"] * given).where(F.col("key") != "").distinct()
+    asked = asked if given else asked.withColumn("level", F.explode(F.array(*map(F.lit, levels))))
     codes = units_.values.select("level", "iso").distinct().withColumn("held", F.lit(True))
     opened = asked.withColumn("iso", F.explode_outer("isos")).join(codes, ["level", "iso"], "left")
     under = opened.groupBy("level", "key", "isos", "strict").agg(F.collect_set(F.when(F.col("held"), F.col("iso"))).alias("known"))

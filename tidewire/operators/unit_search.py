@@ -110,19 +110,18 @@ def token_units(texts: DataFrame, keyed: DataFrame, rows: DataFrame) -> DataFram
 def similar_hits(texts: DataFrame, units: grounding.Units, rows: DataFrame, threshold: float) -> DataFrame:
     """doc, position, at, and ``hit``: the more similar unit of both levels for each text, where it passes all tests."""
     query = ["key", "isos", "strict"]
-
-    def of_both(queries: DataFrame, least: float) -> DataFrame:
-        best = grounding.most_similar(queries, units, (1, 2), F.col("strict"), least)
-        return staged(best.groupBy(*query).agg(*[F.max(F.when(F.col("level") == level, F.struct("level", "value", "vkey", "score"))).alias(f"best{level}") for level in (1, 2)]), "best")
-
-    best = of_both(texts.select(*query).distinct(), threshold)
-    # A level may be some points behind and yet be chosen, and then fails; only the other level's score of less than so many points above the threshold lets it.
-    alone = F.col("best1").isNull() | F.col("best2").isNull()
-    near = alone & (F.coalesce("best1.score", "best2.score") < threshold + HINT_POINTS)
-    behind = best.where(near).select(*query)
+    texts = texts.withColumn("isos", F.array_sort("isos"))
+    best = grounding.most_similar(texts.select(*query).distinct(), units, (1, 2), F.col("strict"), threshold)
+    unit = F.struct("level", "value", "vkey", "score")
+    best = staged(best.groupBy(*query).agg(*[F.max(F.when(F.col("level") == level, unit)).alias(f"best{level}") for level in (1, 2)]), "best")
+    # The hinted level may be some points behind and yet be chosen, to fail then; so it is looked for below the threshold, where the other one has so few above it.
+    near = F.coalesce("best1.score", "best2.score") < threshold + HINT_POINTS
+    missing = F.when(F.col("best1").isNull(), 1).when(F.col("best2").isNull(), 2)
+    behind = staged(texts.join(best.where(near).select(*query, missing.alias("level")), query).where("level = likely").select(*query, "level").distinct(), "behind")
     if not behind.isEmpty():
-        best = best.where(~near).unionByName(of_both(behind, threshold - HINT_POINTS))
-    out = texts.withColumn("isos", F.array_sort("isos")).join(best, ["key", "isos", "strict"])
+        more = grounding.most_similar(behind, units, (1, 2), F.col("strict"), threshold - HINT_POINTS).select(*query, unit.alias("more"))
+        best = best.join(more, query, "left").withColumns({f"best{level}": F.coalesce(f"best{level}", F.when(F.col("more.level") == level, F.col("more"))) for level in (1, 2)}).drop("more")
+    out = texts.join(best, query)
     score = lambda k: F.coalesce(F.col(f"best{k}.score"), F.lit(0.0))
     lower = F.when(F.col("likely") == 2, F.col("best2").isNotNull() & (score(2) >= score(1) - HINT_POINTS)).when(F.col("likely") == 1, ~(F.col("best1").isNotNull() & (score(1) >= score(2) - HINT_POINTS))).otherwise(score(2) > score(1))
     out = out.withColumn("best", F.when(lower, F.col("best2")).otherwise(F.col("best1"))).where("best IS NOT NULL")
